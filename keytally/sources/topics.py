@@ -37,14 +37,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _is_dir(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).isDirectory(jpath)
+
+
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None,
                       schema: str | None = None) -> DataFrame:
-    """A table folder as a file stream.  ``sf_dir`` may hold the table as one
-    file (``<name>.parquet``) or as a folder of part files (``<name>/``)."""
+    """A table as a file stream.  ``sf_dir`` may hold the table as one file
+    (``<name>.parquet``, picked out of the folder by name) or as a folder of
+    part files (``<name>/``, read recursively -- new files are new data)."""
     reader = spark.readStream.schema(schema or TABLE_SCHEMAS[name])
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.option("pathGlobFilter", f"{name}*.parquet").option("recursiveFileLookup", "true").parquet(sf_dir)
+    folder = f"{sf_dir.rstrip('/')}/{name}"
+    if _is_dir(spark, folder):
+        return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(folder)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def read_topic(spark: SparkSession, topic: str, bootstrap_servers: str, *, stream: bool = True,
