@@ -17,7 +17,7 @@ whole-stage codegen; no Python runs per row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the separator pattern of the reference's word split.
@@ -45,3 +45,26 @@ def tokens(line, separator: str = WORD_SEPARATOR, lower: bool = True) -> Column:
         .when((F.size(trimmed) == 1) & (F.element_at(trimmed, 1) == F.lit("")), F.array().cast("array<string>"))
         .otherwise(trimmed)
     )
+
+
+def _fix_pieces(s: Column, parts: Column) -> Column:
+    n = F.size(parts)
+    trimmed = F.when(F.element_at(parts, -1) == F.lit(""), F.slice(parts, 1, n - 1)).otherwise(parts)
+    return (
+        F.when(s == F.lit(""), F.array(F.lit("")))
+        .when((F.size(trimmed) == 1) & (F.element_at(trimmed, 1) == F.lit("")), F.array().cast("array<string>"))
+        .otherwise(trimmed)
+    )
+
+
+def with_tokens(df: DataFrame, line: str, out: str = "tokens", keep=(), separator: str = WORD_SEPARATOR,
+                lower: bool = True) -> DataFrame:
+    """``df`` projected to ``keep`` columns plus ``out`` = :func:`tokens` of ``line``.
+
+    Same result as ``tokens()``, planned in two projections so the regex split
+    runs once per line: in one expression Spark re-evaluates the split inside
+    each CASE branch that uses it.
+    """
+    s = F.lower(F.col(line)) if lower else F.col(line)
+    staged = df.select(*keep, s.alias("_s"), F.split(s, separator, -1).alias("_parts"))
+    return staged.select(*keep, _fix_pieces(F.col("_s"), F.col("_parts")).alias(out))

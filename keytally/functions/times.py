@@ -35,10 +35,14 @@ def is_iso_instant(text) -> Column:
     return _col(text).rlike(ISO_INSTANT_PATTERN)
 
 
-def parse_iso_instant(text) -> Column:
-    """ISO text -> UTC ``timestamp_ntz``; null when the text is not an instant."""
+def parse_iso_instant(text, guarded: Column | None = None) -> Column:
+    """ISO text -> UTC ``timestamp_ntz``; null when the text is not an instant.
+
+    ``guarded`` may pass an already computed :func:`is_iso_instant` column.
+    """
     t = _col(text)
-    return F.when(is_iso_instant(t), utc_wallclock(F.try_to_timestamp(t)))
+    ok = is_iso_instant(t) if guarded is None else guarded
+    return F.when(ok, utc_wallclock(F.try_to_timestamp(t)))
 
 
 def truncate_millis(ts) -> Column:
@@ -49,12 +53,12 @@ def truncate_millis(ts) -> Column:
 def iso_instant(ts) -> Column:
     """``Instant.toString`` of a UTC ``timestamp_ntz``: ``...:ssZ``, ``.SSSZ`` or ``.SSSSSSZ``."""
     t = _col(ts)
+    base = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
     micros = F.date_format(t, "SSSSSS")
-    return (
-        F.when(micros == F.lit("000000"), F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        .when(F.substring(micros, 4, 3) == F.lit("000"), F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-        .otherwise(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
-    )
+    frac = (F.when(micros == F.lit("000000"), F.lit(""))
+            .when(F.endswith(micros, F.lit("000")), F.concat(F.lit("."), F.substring(micros, 1, 3)))
+            .otherwise(F.concat(F.lit("."), micros)))
+    return F.concat(base, frac, F.lit("Z"))
 
 
 def epoch_ntz() -> Column:

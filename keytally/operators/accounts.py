@@ -28,18 +28,26 @@ TX_COLUMNS = ("offset", "name", "amount", "time")
 
 
 def _with_parsed(records: DataFrame, key: str, value: str) -> DataFrame:
-    j = F.from_json(F.col(value), TRANSACTION_SCHEMA)
-    time_text = j.getField("time")
+    """Records plus ``_amount``, ``_time`` and ``_reason`` (null for a good record).
+
+    Staged projections: the JSON is parsed once into ``_j`` and the time text
+    checked once; every later field reads those columns.  (Written as one
+    expression, Catalyst would prune each field access into its own parse.)
+    """
+    parsed = records.select("*", F.from_json(F.col(value), TRANSACTION_SCHEMA).alias("_j"))
+    fields = parsed.select("*", F.col("_j.amount").alias("_amount"), F.col("_j.time").alias("_tt"),
+                           F.col("_j").isNull().alias("_nojson"))
+    checked = fields.select("*", is_iso_instant(F.col("_tt")).alias("_iso"))
+    timed = checked.select("*", truncate_millis(parse_iso_instant(F.col("_tt"), guarded=F.col("_iso")))
+                           .alias("_time"))
     reason = (F.when(F.col(key).isNull(), F.lit("null key"))
               .when(F.col(value).isNull(), F.lit("null value"))
-              .when(j.isNull(), F.lit("not a JSON object"))
-              .when(j.getField("amount").isNull(), F.lit("amount missing or not an integer"))
-              .when(time_text.isNull(), F.lit("time missing"))
-              .when(~is_iso_instant(time_text), F.lit("time not an ISO-8601 instant"))
-              .when(parse_iso_instant(time_text).isNull(), F.lit("time not a valid instant")))
-    return records.select("*", j.getField("amount").alias("_amount"),
-                          truncate_millis(parse_iso_instant(time_text)).alias("_time"),
-                          reason.alias("_reason"))
+              .when(F.col("_nojson"), F.lit("not a JSON object"))
+              .when(F.col("_amount").isNull(), F.lit("amount missing or not an integer"))
+              .when(F.col("_tt").isNull(), F.lit("time missing"))
+              .when(~F.col("_iso"), F.lit("time not an ISO-8601 instant"))
+              .when(F.col("_time").isNull(), F.lit("time not a valid instant")))
+    return timed.select(*records.columns, "_amount", "_time", reason.alias("_reason"))
 
 
 def parse_transactions(records: DataFrame, key: str = "key", value: str = "value", order: str = "offset",

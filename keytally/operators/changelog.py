@@ -53,7 +53,8 @@ def with_bucket(df: DataFrame, lead: str, bounds: tuple[int, int] | None = None,
     lo, hi = bounds if bounds is not None else order_bounds(df, lead)
     nb = buckets or default_buckets(df)
     width = max(1, -(-(hi - lo + 1) // nb))
-    return df.withColumn(BUCKET, F.floor((F.col(lead) - F.lit(lo)) / F.lit(width)).cast("long"))
+    # integer division: exact for any long range (lead >= lo, so div == floor)
+    return df.withColumn(BUCKET, F.expr(f"(CAST(`{lead}` AS BIGINT) - {lo}L) div {width}L"))
 
 
 # aggregate kinds: how a bucket total is formed and how totals/rows combine

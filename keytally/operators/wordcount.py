@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keytally.functions.text import tokens
+from keytally.functions.text import with_tokens
 from keytally.operators.changelog import running
 
 
@@ -35,7 +35,11 @@ def spread(df: DataFrame) -> DataFrame:
 
 def words(lines: DataFrame, value: str = "value") -> DataFrame:
     """One row per word (``word`` column); null lines carry no words."""
-    return lines.select(F.explode(tokens(value)).alias("word"))
+    # explode_outer + a null filter, not explode: for explode Catalyst infers a
+    # ``size(tokens) > 0`` filter and pushes it (with the whole split) below the
+    # repartition, onto the coarse scan.  Tokens are never null, so this is exact.
+    toks = with_tokens(lines, value, "_toks")
+    return toks.select(F.explode_outer("_toks").alias("word")).where(F.col("word").isNotNull())
 
 
 def word_count(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -48,8 +52,10 @@ def word_count(lines: DataFrame, value: str = "value") -> DataFrame:
 def line_tokens(lines: DataFrame, value: str = "value", order: str = "offset") -> DataFrame:
     """(offset, pos, word): the words of each line with their position."""
     src = spread(lines.where(F.col(value).isNotNull()))
-    return src.select(F.col(order), F.posexplode(tokens(value)).alias("pos", "word")) \
-              .withColumn("pos", F.col("pos").cast("long"))
+    toks = with_tokens(src, value, "_toks", keep=[order])
+    return (toks.select(F.col(order), F.posexplode_outer("_toks").alias("pos", "word"))
+            .where(F.col("pos").isNotNull())
+            .withColumn("pos", F.col("pos").cast("long")))
 
 
 def running_word_count(lines: DataFrame, value: str = "value", order: str = "offset", *,

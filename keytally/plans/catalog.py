@@ -21,6 +21,7 @@ from keytally.functions.records import summary_json
 from keytally.operators import accounts, tables, wordcount
 from keytally.operators.changelog import order_bounds
 from keytally.operators.pairs import split_pairs
+from keytally.operators.wordcount import spread
 from keytally.sources import sinks, topics
 
 # The colour stand-in's allowed values (event types).
@@ -28,7 +29,7 @@ COLOUR_VALUES = ("click", "view")
 
 
 def _events(spark, sf_dir):
-    return topics.read_table(spark, sf_dir, "events")
+    return spread(topics.read_table(spark, sf_dir, "events"))
 
 
 def _documents(spark, sf_dir):
