@@ -42,18 +42,38 @@ def _is_dir(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).isDirectory(jpath)
 
 
+def _table_path(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, bool]:
+    folder = f"{sf_dir.rstrip('/')}/{name}"
+    return (folder, True) if _is_dir(spark, folder) else (f"{folder}.parquet", False)
+
+
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None,
-                      schema: str | None = None) -> DataFrame:
+                      schema: str | None = None, spread: bool | None = None) -> DataFrame:
     """A table as a file stream.  ``sf_dir`` may hold the table as one file
     (``<name>.parquet``, picked out of the folder by name) or as a folder of
-    part files (``<name>/``, read recursively -- new files are new data)."""
-    reader = spark.readStream.schema(schema or TABLE_SCHEMAS[name])
+    part files (``<name>/``, read recursively -- new files are new data).
+
+    ``spread`` (default: decided by a probe) round-robins each micro-batch over
+    the cores when the files scan in fewer splits than cores -- e.g. one big
+    row group per file.  The probe only lists and plans (no data is read); with
+    a source of many splits, as at scale, nothing is shuffled.
+    """
+    sch = schema or TABLE_SCHEMAS[name]
+    reader = spark.readStream.schema(sch)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    folder = f"{sf_dir.rstrip('/')}/{name}"
-    if _is_dir(spark, folder):
-        return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(folder)
-    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    path, is_folder = _table_path(spark, sf_dir, name)
+    if is_folder:
+        df = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
+    else:
+        df = reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    cores = spark.sparkContext.defaultParallelism
+    if spread is None:
+        probe = spark.read.schema(sch)
+        if is_folder:
+            probe = probe.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        spread = probe.parquet(path).rdd.getNumPartitions() < 2 * cores
+    return df.repartition(2 * cores) if spread else df
 
 
 def read_topic(spark: SparkSession, topic: str, bootstrap_servers: str, *, stream: bool = True,

@@ -19,9 +19,11 @@ group.  Spark shuffles by key to get there, so keys spread over all tasks.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -53,7 +55,8 @@ class CurrentValueProcessor(StatefulProcessor):
 
         out_vals: list[str] = []
         out_deltas: list[int] = []
-        old_val, old_ver = (self.current.get() if self.current.exists() else (None, None))
+        stored = self.current.get()  # None when the key has no state yet
+        old_val, old_ver = (stored[0], stored[1]) if stored is not None else (None, None)
         if best_off is not None and (old_ver is None or best_off > old_ver):
             if old_val != best_val:
                 if old_val is not None:
@@ -76,6 +79,8 @@ class CurrentValueProcessor(StatefulProcessor):
 def current_value_deltas(records: DataFrame, key: str = "key", value: str = "value",
                          order: str = "offset") -> DataFrame:
     """Stream of (value, delta) from keyed records (null keys skipped)."""
+    # ship this module's code with the task: workers need not have the package
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     src = records.where(F.col(key).isNotNull()).select(
         F.col(key).alias("key"), F.col(value).alias("value"), F.col(order).cast("long").alias("offset"))
     return src.groupBy("key").transformWithStateInPandas(
