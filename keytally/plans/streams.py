@@ -19,15 +19,6 @@ from keytally.plans.oracle import ORACLE_SQL
 from keytally.sources import topics
 from keytally.streaming import jobs
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def _use_rocksdb(spark: SparkSession) -> None:
-    """Per-key state on RocksDB (spills to disk, needed by transformWithState)."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, None) != ROCKSDB:
-        spark.conf.set(key, ROCKSDB)
-
 
 def stream_word_count(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     lines = topics.text_lines(topics.read_table_stream(spark, sf_dir, "documents", max_files_per_trigger))
@@ -62,7 +53,6 @@ def stream_account_summary(spark: SparkSession, sf_dir: str, max_files_per_trigg
 
 def stream_current_value_count(spark: SparkSession, sf_dir: str,
                                max_files_per_trigger: int | None = None) -> DataFrame:
-    _use_rocksdb(spark)
     events = topics.read_table_stream(spark, sf_dir, "events", max_files_per_trigger)
     pairs = split_pairs(topics.colour_lines(events), allowed=COLOUR_VALUES)
     out = jobs.current_value_count_job(pairs, "stream_current_value_count", fresh=True).run_to_end(spark)

@@ -58,7 +58,6 @@ def test_restart_on_same_checkpoint_counts_once(spark, scratch):
     def start():
         ev = topics.read_table_stream(spark, d, "events", 1)
         pairs = split_pairs(topics.colour_lines(ev), allowed=catalog.COLOUR_VALUES)
-        streams._use_rocksdb(spark)
         return jobs.current_value_count_job(pairs, name, fresh=False)
 
     first = start()
