@@ -27,8 +27,17 @@ def _col(c) -> Column:
 
 
 def utc_wallclock(ts) -> Column:
-    """An instant (``timestamp``) as its UTC wall clock (``timestamp_ntz``)."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _col(ts).cast("timestamp_ntz"))
+    """An instant (``timestamp``) as its UTC wall clock (``timestamp_ntz``).
+
+    Micro-second arithmetic from the epoch: exact in every session time zone
+    (a cast through the session zone would be ambiguous in DST overlaps).
+    """
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_col(ts)), epoch_ntz())
+
+
+def _micros_of_second(t: Column) -> Column:
+    """0..999999 for a ``timestamp_ntz`` (field extraction: no time zone involved)."""
+    return (F.extract(F.lit("SECOND"), t) * F.lit(1000000)).cast("long") % F.lit(1000000)
 
 
 def is_iso_instant(text) -> Column:
@@ -46,18 +55,23 @@ def parse_iso_instant(text, guarded: Column | None = None) -> Column:
 
 
 def truncate_millis(ts) -> Column:
-    """Cut to milliseconds (``toEpochMilli``), keeping ``timestamp_ntz``."""
-    return F.date_trunc("millisecond", _col(ts)).cast("timestamp_ntz")
+    """Cut a ``timestamp_ntz`` to milliseconds (``toEpochMilli`` floors)."""
+    t = _col(ts)
+    return F.timestamp_add("MICROSECOND", -(_micros_of_second(t) % F.lit(1000)), t)
 
 
 def iso_instant(ts) -> Column:
-    """``Instant.toString`` of a UTC ``timestamp_ntz``: ``...:ssZ``, ``.SSSZ`` or ``.SSSSSSZ``."""
+    """``Instant.toString`` of a UTC ``timestamp_ntz``: ``...:ssZ``, ``.SSSZ`` or ``.SSSSSSZ``.
+
+    Built from the fields of the wall clock, so no session time zone applies.
+    """
     t = _col(ts)
-    base = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(t, "SSSSSS")
-    frac = (F.when(micros == F.lit("000000"), F.lit(""))
-            .when(F.endswith(micros, F.lit("000")), F.concat(F.lit("."), F.substring(micros, 1, 3)))
-            .otherwise(F.concat(F.lit("."), micros)))
+    base = F.format_string("%04d-%02d-%02dT%02d:%02d:%02d", F.year(t), F.month(t), F.dayofmonth(t),
+                           F.hour(t), F.minute(t), F.second(t))
+    us = _micros_of_second(t)
+    frac = (F.when(us == F.lit(0), F.lit(""))
+            .when(us % F.lit(1000) == F.lit(0), F.format_string(".%03d", (us / F.lit(1000)).cast("long")))
+            .otherwise(F.format_string(".%06d", us)))
     return F.concat(base, frac, F.lit("Z"))
 
 

@@ -91,8 +91,9 @@ def read_topic(spark: SparkSession, topic: str, bootstrap_servers: str, *, strea
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     raw = reader.load()
-    # Within one partition the offset is the read order; across partitions the
-    # reference itself has no order, so (timestamp, partition, offset) breaks ties.
+    # Within one partition the offset is the read order.  Records of one key
+    # written with that key share a partition, so "latest per key" is exact;
+    # across partitions the reference itself has no defined order either.
     return raw.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),

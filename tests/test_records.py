@@ -31,3 +31,26 @@ def test_summary_json(spark):
     assert df.select(summary_json("c", "b", "t")).first()[0] == \
         '{"count":3,"balance":22,"time":"2024-01-01T00:00:02Z"}'
     assert df.select(F.lit(1)).count() == 1
+
+
+def test_instants_do_not_depend_on_session_time_zone(spark):
+    from keytally.functions.times import parse_iso_instant, truncate_millis
+    ts = [dt.datetime(2024, 3, 10, 2, 30, 0, 500000), dt.datetime(2024, 11, 3, 1, 30),
+          dt.datetime(1969, 12, 31, 23, 59, 59, 999999)]
+    texts = ["2024-11-03T05:30:00Z", "2024-11-03T06:30:00Z", "2024-03-10T07:30:00Z"]
+    results = []
+    try:
+        for tz in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            a = [tuple(r) for r in spark.createDataFrame([(t,) for t in ts], "t timestamp_ntz")
+                 .select(iso_instant("t"), truncate_millis("t")).collect()]
+            b = [r[0] for r in spark.createDataFrame([(s,) for s in texts], "s string")
+                 .select(parse_iso_instant("s")).collect()]
+            results.append((a, b))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert results[0] == results[1] == results[2]
+    a, b = results[0]
+    assert a[0][0] == "2024-03-10T02:30:00.500Z"
+    assert a[2][1] == dt.datetime(1969, 12, 31, 23, 59, 59, 999000)
+    assert b == [dt.datetime(2024, 11, 3, 5, 30), dt.datetime(2024, 11, 3, 6, 30), dt.datetime(2024, 3, 10, 7, 30)]
