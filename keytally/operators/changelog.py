@@ -6,24 +6,28 @@ one task.  With few keys (the colour count has a handful) or one hot key (a
 third of all rows) that is one task for most of the data.  So every running
 aggregate here is computed in two levels over buckets of the order column:
 
-1. ``bucket = floor((lead - lo) / width)`` -- ``lead`` is the leading order
-   column, ``width`` is chosen so there are at most ``buckets`` buckets;
-2. totals per (key, bucket) -- a partial + final hash aggregate;
+1. ``bucket = (lead - lo) div width`` -- ``lead`` is the leading order column,
+   ``width`` is chosen so there are at most ``buckets`` buckets;
+2. totals per (key, bucket) -- a partial + final hash aggregate, so only one
+   row per (key, bucket) and task crosses the shuffle;
 3. an exclusive prefix over those totals per key, ordered by bucket.  A key has
    at most ``buckets`` rows here, so that window is bounded whatever the skew;
-4. the prefix is joined back on (key, bucket) and a window *inside*
-   (key, bucket) finishes the job.  The join's hash partitioning on
-   (key, bucket) is the one the window needs, so there is no second exchange.
+4. the prefix of each (key, bucket) enters the window of that (key, bucket) as
+   one leading *carry* row (a union, not a join), and a window inside
+   (key, bucket) finishes the job; the carry rows are then dropped.
 
-Rows of one key in one bucket share a narrow range of the order column (for
-tokens: one document), which bounds the last window's partitions.
+The rows are shuffled once (by key and bucket, for the last window); the totals
+are small.  No join, so nothing is broadcast and no side's size matters.  Rows
+of one key in one bucket share a narrow range of the order column (for tokens:
+one document), which bounds the last window's partitions.
 
-The same scheme gives the previous value per key (``lag``) for retractions.
+The same scheme gives the previous value per key (``lag``): the carry row holds
+the last value of the key's earlier buckets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,18 +61,11 @@ def with_bucket(df: DataFrame, lead: str, bounds: tuple[int, int] | None = None,
     return df.withColumn(BUCKET, F.expr(f"(CAST(`{lead}` AS BIGINT) - {lo}L) div {width}L"))
 
 
-# aggregate kinds: how a bucket total is formed and how totals/rows combine
-_TOTAL = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
-_PREFIX = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
-_INNER = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
+DATA = "_kt_data"  # 0 for a carry row, 1 for an input row
 
 
-def _combine(kind: str, carry: Column, inner: Column) -> Column:
-    if kind in ("sum", "count"):
-        return F.coalesce(carry, F.lit(0)) + inner
-    if kind == "max":
-        return F.greatest(carry, inner)  # greatest skips nulls
-    return F.least(carry, inner)
+def _bucket_window(keys, order):
+    return Window.partitionBy(*keys, BUCKET).orderBy(DATA, *order)
 
 
 def running(df: DataFrame, partition_by, order_by, aggs: dict[str, tuple[str, str]], *,
@@ -78,29 +75,37 @@ def running(df: DataFrame, partition_by, order_by, aggs: dict[str, tuple[str, st
     (``rows between unbounded preceding and current row``).
 
     ``aggs`` maps an output name to ``(kind, column)`` with kind in
-    sum/count/max/min.  ``lead`` (default: first order column) must be an
-    integral column that never decreases along ``order_by``.  Partition keys
-    must be non-null (keyed operators drop null keys first).
+    sum/count/max/min (count counts non-null values).  ``lead`` (default: first
+    order column) must be an integral column that never decreases along
+    ``order_by``.  Partition keys must be non-null (keyed operators drop null
+    keys first).
     """
     keys = _names(partition_by)
     order = _names(order_by)
     lead = lead or order[0]
     b = with_bucket(df, lead, bounds, buckets)
 
-    totals = b.groupBy(*keys, BUCKET).agg(
-        *[_TOTAL[kind](F.col(c)).alias(f"_t_{name}") for name, (kind, c) in aggs.items()])
+    # per-row contribution of each aggregate; count becomes a sum of 0/1
+    contrib = {name: (F.when(F.col(c).isNotNull(), F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))
+                      if kind == "count" else F.col(c)) for name, (kind, c) in aggs.items()}
+    roll = {name: ("sum" if kind == "count" else kind) for name, (kind, _) in aggs.items()}
+    fn = {"sum": F.sum, "max": F.max, "min": F.min}
+
+    rows = b.select("*", *[e.alias(f"_v_{n}") for n, e in contrib.items()], F.lit(1).alias(DATA))
+    totals = rows.groupBy(*keys, BUCKET).agg(*[fn[roll[n]](f"_v_{n}").alias(f"_t_{n}") for n in aggs])
     before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(
-        *keys, BUCKET,
-        *[_PREFIX[kind](F.col(f"_t_{name}")).over(before).alias(f"_c_{name}") for name, (kind, _) in aggs.items()])
+    carry = totals.select(*keys, BUCKET, *[fn[roll[n]](f"_t_{n}").over(before).alias(f"_v_{n}") for n in aggs])
+    # a key's first bucket has nothing before it: no carry row
+    present = reduce(lambda x, y: x | y, [F.col(f"_v_{n}").isNotNull() for n in aggs])
+    carry = carry.where(present).select("*", F.lit(0).alias(DATA))
 
-    joined = b.join(carry, on=[*keys, BUCKET], how="inner")
-    inside = Window.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding,
-                                                                           Window.currentRow)
-    out = joined
-    for name, (kind, c) in aggs.items():
-        out = out.withColumn(name, _combine(kind, F.col(f"_c_{name}"), _INNER[kind](F.col(c)).over(inside)))
-    return out.drop(BUCKET, *[f"_c_{n}" for n in aggs])
+    both = rows.unionByName(carry, allowMissingColumns=True)
+    upto = _bucket_window(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = both.select("*", *[fn[roll[n]](f"_v_{n}").over(upto).alias(f"_r_{n}") for n in aggs])
+    out = out.where(F.col(DATA) == F.lit(1))
+    for n, (kind, _) in aggs.items():
+        out = out.withColumn(n, F.col(f"_r_{n}").cast("long") if kind == "count" else F.col(f"_r_{n}"))
+    return out.drop(BUCKET, DATA, *[f"_v_{n}" for n in aggs], *[f"_r_{n}" for n in aggs])
 
 
 def previous_value(df: DataFrame, partition_by, order_by, value: str, out: str = "previous", *,
@@ -108,8 +113,7 @@ def previous_value(df: DataFrame, partition_by, order_by, value: str, out: str =
                    buckets: int | None = None) -> DataFrame:
     """Add ``out`` = ``value`` of the previous row of the same key in read order
     (``lag(value)``; null for the first row of a key), in two levels as above.
-    A null ``value`` of a previous row is kept as null (a struct tells it apart
-    from "no previous row")."""
+    A null ``value`` of a previous row is kept as null."""
     keys = _names(partition_by)
     order = _names(order_by)
     lead = lead or order[0]
@@ -118,9 +122,10 @@ def previous_value(df: DataFrame, partition_by, order_by, value: str, out: str =
     ordkey = F.struct(*[F.col(c) for c in order])
     last = b.groupBy(*keys, BUCKET).agg(F.max_by(F.struct(F.col(value).alias("v")), ordkey).alias("_last"))
     by_bucket = Window.partitionBy(*keys).orderBy(BUCKET)
-    carry = last.select(*keys, BUCKET, F.lag("_last", 1).over(by_bucket).alias("_carry"))
-
-    joined = b.join(carry, on=[*keys, BUCKET], how="inner")
-    inside = Window.partitionBy(*keys, BUCKET).orderBy(*order)
-    prev = F.coalesce(F.lag(F.struct(F.col(value).alias("v")), 1).over(inside), F.col("_carry"))
-    return joined.withColumn(out, prev.getField("v")).drop(BUCKET, "_carry")
+    carry = (last.select(*keys, BUCKET, F.lag("_last", 1).over(by_bucket).alias("_carry"))
+             .where(F.col("_carry").isNotNull())
+             .select(*keys, BUCKET, F.col("_carry.v").alias(value), F.lit(0).alias(DATA)))
+    rows = b.select("*", F.lit(1).alias(DATA))
+    both = rows.unionByName(carry, allowMissingColumns=True)
+    res = both.select("*", F.lag(value, 1).over(_bucket_window(keys, order)).alias(out))
+    return res.where(F.col(DATA) == F.lit(1)).drop(BUCKET, DATA)
