@@ -107,3 +107,38 @@ def test_failure_in_sink_replays_to_same_table(spark, scratch):
     # compaction keeps the answer
     assert compact(spark, out, schema, ["name"]) is not None
     assert rows(read_upsert(spark, out, schema, ["name"])) == rows(catalog.account_summary(spark, SF_CHECK))
+
+
+def test_current_value_stream_with_deletes_and_late_files(spark, scratch):
+    """Tombstones in the stateful step: a delete removes the key's value, an
+    older row arriving later does not bring it back, a newer one does."""
+    from keytally.operators import tables
+    from keytally.streaming.upsert import read_upsert as read
+    batches = [
+        [(0, "ann", "red"), (1, "bob", "white"), (2, "cat", "red")],
+        [(3, "ann", None), (4, "bob", "red"), (9, "cat", "white")],
+        [(5, "ann", "white"), (6, "cat", "red"), (7, "dan", None)],  # cat@6 is older than cat@9
+        [(8, "ann", None), (10, "dan", "white"), (11, "bob", "red")],
+    ]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, "offset long, key string, value string").coalesce(1) \
+            .write.parquet(f"{scratch}/recs/b{i}")
+    stream = spark.readStream.schema("offset long, key string, value string") \
+        .option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{scratch}/recs")
+    job = jobs.current_value_count_job(stream, "cv_deletes_" + os.path.basename(scratch), fresh=True)
+    got = sorted(tuple(r) for r in job.run_to_end(spark).collect())
+    allrows = [r for b in batches for r in b]
+    want = sorted(tuple(r) for r in tables.count_by_current_value(
+        spark.createDataFrame(allrows, "offset long, key string, value string")).collect())
+    assert got == want == [("red", 1), ("white", 2)]
+    assert len(job.query.recentProgress) >= 4
+
+
+def test_bad_transaction_stops_the_stream(spark, scratch):
+    rows = [(0, "a", '{"name":"a","amount":1,"time":"2024-01-01T00:00:00Z"}'),
+            (1, "a", '{"name":"a","amount":1.5,"time":"2024-01-01T00:00:00Z"}')]
+    spark.createDataFrame(rows, "offset long, key string, value string").write.parquet(f"{scratch}/tx")
+    stream = spark.readStream.schema("offset long, key string, value string").parquet(f"{scratch}/tx")
+    job = jobs.account_balance_job(stream, "bad_" + os.path.basename(scratch), fresh=True)
+    with pytest.raises(Exception, match="bad transaction at offset 1"):
+        job.run_to_end(spark)
