@@ -91,7 +91,7 @@ def summaries(tx: DataFrame) -> DataFrame:
     )
 
 
-def running_summaries(tx: DataFrame, *, bounds: tuple[int, int] | None = None,
+def running_summaries(tx: DataFrame, *, bounds: tuple[int, ...] | None = None,
                       buckets: int | None = None) -> DataFrame:
     """(offset, name, count, balance, time) after each transaction of the account."""
     t = tx.withColumn("_one", F.lit(1).cast("long"))
@@ -101,7 +101,7 @@ def running_summaries(tx: DataFrame, *, bounds: tuple[int, int] | None = None,
                       F.greatest(epoch_ntz(), F.col("_tmax")).alias("time"))
 
 
-def running_balances(tx: DataFrame, *, bounds: tuple[int, int] | None = None,
+def running_balances(tx: DataFrame, *, bounds: tuple[int, ...] | None = None,
                      buckets: int | None = None) -> DataFrame:
     """(offset, name, balance) after each transaction of the account."""
     out = running(tx, "name", "offset", {"balance": ("sum", "amount")}, bounds=bounds, buckets=buckets)

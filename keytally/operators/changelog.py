@@ -34,28 +34,36 @@ from pyspark.sql import functions as F
 
 BUCKET = "_kt_bucket"
 DEFAULT_BUCKETS_PER_PARTITION = 4
+# rows of the order column's table per bucket at most (by default): with n rows,
+# about n / ROWS_PER_BUCKET buckets, so at 10^12 rows both window levels hold
+# about 10^6 rows per key and bucket
+ROWS_PER_BUCKET = 1_000_000
 
 
 def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def order_bounds(df: DataFrame, lead: str) -> tuple[int, int]:
-    """(min, max) of the lead order column: one small aggregate, one row back."""
-    row = df.agg(F.min(lead).alias("lo"), F.max(lead).alias("hi")).first()
-    lo, hi = row["lo"], row["hi"]
-    return (0, 0) if lo is None else (int(lo), int(hi))
+def order_bounds(df: DataFrame, lead: str) -> tuple[int, int, int]:
+    """(min, max, count) of the lead order column: one small aggregate, one row back."""
+    row = df.agg(F.min(lead).alias("lo"), F.max(lead).alias("hi"), F.count(lead).alias("n")).first()
+    lo, hi, n = row["lo"], row["hi"], row["n"]
+    return (0, 0, 0) if lo is None else (int(lo), int(hi), int(n))
 
 
-def default_buckets(df: DataFrame) -> int:
+def default_buckets(df: DataFrame, rows: int | None = None) -> int:
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, n * DEFAULT_BUCKETS_PER_PARTITION)
+    by_parts = max(1, n * DEFAULT_BUCKETS_PER_PARTITION)
+    by_rows = -(-rows // ROWS_PER_BUCKET) if rows else 0
+    return max(by_parts, by_rows)
 
 
-def with_bucket(df: DataFrame, lead: str, bounds: tuple[int, int] | None = None,
+def with_bucket(df: DataFrame, lead: str, bounds: tuple[int, ...] | None = None,
                 buckets: int | None = None) -> DataFrame:
-    lo, hi = bounds if bounds is not None else order_bounds(df, lead)
-    nb = buckets or default_buckets(df)
+    """``bounds`` is ``(lo, hi)`` or ``(lo, hi, rows)`` as from :func:`order_bounds`."""
+    bounds = bounds if bounds is not None else order_bounds(df, lead)
+    lo, hi = bounds[0], bounds[1]
+    nb = buckets or default_buckets(df, bounds[2] if len(bounds) > 2 else None)
     width = max(1, -(-(hi - lo + 1) // nb))
     # integer division: exact for any long range (lead >= lo, so div == floor)
     return df.withColumn(BUCKET, F.expr(f"(CAST(`{lead}` AS BIGINT) - {lo}L) div {width}L"))
@@ -69,7 +77,7 @@ def _bucket_window(keys, order):
 
 
 def running(df: DataFrame, partition_by, order_by, aggs: dict[str, tuple[str, str]], *,
-            lead: str | None = None, bounds: tuple[int, int] | None = None,
+            lead: str | None = None, bounds: tuple[int, ...] | None = None,
             buckets: int | None = None) -> DataFrame:
     """Add running aggregates per ``partition_by`` in ``order_by`` order
     (``rows between unbounded preceding and current row``).
@@ -109,7 +117,7 @@ def running(df: DataFrame, partition_by, order_by, aggs: dict[str, tuple[str, st
 
 
 def previous_value(df: DataFrame, partition_by, order_by, value: str, out: str = "previous", *,
-                   lead: str | None = None, bounds: tuple[int, int] | None = None,
+                   lead: str | None = None, bounds: tuple[int, ...] | None = None,
                    buckets: int | None = None) -> DataFrame:
     """Add ``out`` = ``value`` of the previous row of the same key in read order
     (``lag(value)``; null for the first row of a key), in two levels as above.

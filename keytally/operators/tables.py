@@ -49,7 +49,7 @@ def count_by_current_value(records: DataFrame, key: str = "key", value: str = "v
 
 def current_value_changelog(records: DataFrame, key: str = "key", value: str = "value",
                             order: str = "offset", count: str = "count", *,
-                            bounds: tuple[int, int] | None = None, buckets: int | None = None) -> DataFrame:
+                            bounds: tuple[int, ...] | None = None, buckets: int | None = None) -> DataFrame:
     """(offset, step, value, count): the change stream of
     :func:`count_by_current_value` with one update per value touched.
 

@@ -59,7 +59,7 @@ def line_tokens(lines: DataFrame, value: str = "value", order: str = "offset") -
 
 
 def running_word_count(lines: DataFrame, value: str = "value", order: str = "offset", *,
-                       bounds: tuple[int, int] | None = None, buckets: int | None = None) -> DataFrame:
+                       bounds: tuple[int, ...] | None = None, buckets: int | None = None) -> DataFrame:
     """The word-count changelog: for every word occurrence, in read order
     (line order, then position), the count of that word so far.
 
