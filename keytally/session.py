@@ -52,9 +52,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder is created and registered on the session, so every later job of this
     session uses the same root.
     """
-    root = spark.sparkContext.getCheckpointDir()
+    # the configured folder itself: stable across restarts (getCheckpointDir()
+    # adds a per-context random subfolder, so a restarted job would not find
+    # its checkpoint there)
+    root = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not root:
-        root = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+        root = spark.sparkContext.getCheckpointDir()  # set in code, e.g. by tests
     if not root:
         root = tempfile.mkdtemp(prefix="keytally-ckpt-")
         spark.sparkContext.setCheckpointDir(root)

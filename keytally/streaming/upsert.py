@@ -8,9 +8,12 @@ idempotent per batch id -- exactly-once output without a transactional format.
 Reading takes, per key, the row of the highest batch id.  A row whose value
 columns are all null is a delete.
 
-:func:`compact` folds all batches up to the newest into one snapshot folder
-(``batch_id=<n>`` again, holding every key and delete), so reads stay cheap on a
-long-running job; older folders can then be removed by the operator.
+:func:`compact` folds all batches up to a *committed* batch ``n`` into one
+snapshot written as ``batch_id=<n>`` (every key, deletes included).  Readers
+then pass ``since=n`` and skip the older folders (partition pruning), so reads
+stay cheap on a long-running job; the older folders can be removed by whoever
+owns the table.  Only a committed batch may be compacted: a replay of an
+uncommitted batch would overwrite its folder again.
 """
 
 from __future__ import annotations
@@ -39,15 +42,20 @@ def _with_batch(schema: StructType) -> StructType:
 
 
 def read_upsert(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
-                drop_deletes: bool = True) -> DataFrame:
+                drop_deletes: bool = True, since: int | None = None, up_to: int | None = None) -> DataFrame:
     """The current table: per key the row of the newest batch.
 
     One partial + final aggregate per key (``max_by`` on the batch id), so a key
-    updated in every batch costs one row per task on the shuffle.
+    updated in every batch costs one row per task on the shuffle.  ``since``
+    skips folders before a snapshot; ``up_to`` ignores later batches.
     """
     keys = list(keys)
     values = [f.name for f in schema.fields if f.name not in keys]
     raw = spark.read.schema(_with_batch(schema)).parquet(path)
+    if since is not None:
+        raw = raw.where(F.col(BATCH_COL) >= F.lit(since))
+    if up_to is not None:
+        raw = raw.where(F.col(BATCH_COL) <= F.lit(up_to))
     latest = raw.groupBy(*keys).agg(
         F.max_by(F.struct(*[F.col(v) for v in values]), F.col(BATCH_COL)).alias("_row"))
     out = latest.select(*keys, *[F.col(f"_row.{v}").alias(v) for v in values])
@@ -60,19 +68,18 @@ def read_upsert(spark: SparkSession, path: str, schema: StructType, keys: Sequen
     return out
 
 
-def compact(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]) -> int | None:
-    """Write the current table as one snapshot under the newest batch id.
+def compact(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
+            up_to: int) -> int:
+    """Write the table as of committed batch ``up_to`` as one snapshot folder
+    ``batch_id=<up_to>`` and return ``up_to`` (read later with ``since=up_to``).
 
-    Returns that batch id (None for an empty table).  Safe to rerun: the snapshot
-    holds the same rows as the batches it replaces.
+    Safe to rerun: the snapshot holds the same answer as the batches it replaces.
+    The snapshot is staged in a ``_compact_<n>`` folder (ignored by readers)
+    before it replaces the batch folder.
     """
-    raw = spark.read.schema(_with_batch(schema)).parquet(path)
-    top = raw.agg(F.max(BATCH_COL)).first()[0]
-    if top is None:
-        return None
     # deletes stay in the snapshot: older folders may still hold the old values
-    snap = read_upsert(spark, path, schema, keys, drop_deletes=False)
-    tmp = f"{path.rstrip('/')}/_compact_{top}"
+    snap = read_upsert(spark, path, schema, keys, drop_deletes=False, up_to=up_to)
+    tmp = f"{path.rstrip('/')}/_compact_{up_to}"
     snap.write.mode("overwrite").parquet(tmp)
-    spark.read.schema(schema).parquet(tmp).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={top}")
-    return int(top)
+    spark.read.schema(schema).parquet(tmp).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={up_to}")
+    return up_to

@@ -104,9 +104,13 @@ def test_failure_in_sink_replays_to_same_table(spark, scratch):
     assert q.exception() is None
     got = read_upsert(spark, out, schema, ["name"])
     assert rows(got) == rows(catalog.account_summary(spark, SF_CHECK))
-    # compaction keeps the answer
-    assert compact(spark, out, schema, ["name"]) is not None
-    assert rows(read_upsert(spark, out, schema, ["name"])) == rows(catalog.account_summary(spark, SF_CHECK))
+    # compaction up to the last committed batch keeps the answer, read in full
+    # or from the snapshot on
+    last = q.lastProgress["batchId"]
+    assert compact(spark, out, schema, ["name"], up_to=last) == last
+    want = rows(catalog.account_summary(spark, SF_CHECK))
+    assert rows(read_upsert(spark, out, schema, ["name"])) == want
+    assert rows(read_upsert(spark, out, schema, ["name"], since=last)) == want
 
 
 def test_current_value_stream_with_deletes_and_late_files(spark, scratch):
