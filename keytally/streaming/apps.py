@@ -1,8 +1,8 @@
 """The reference's applications as long-running Structured Streaming jobs.
 
     python -m keytally.streaming.apps word-count \\
-        --bootstrap-servers host:9092 --input-topic streams-plaintext-input \\
-        --output-topic streams-wordcount-output
+        --bootstrap-servers host:9092 --input-topic text-lines \\
+        --output-topic word-counts
 
     python -m keytally.streaming.apps colour-count --input-path /data/colours --output-path /data/out
 
@@ -38,13 +38,14 @@ from keytally.streaming.upsert import UpsertSink
 
 RECORD_SCHEMA = "key string, value string, offset long"
 
-# The reference's application ids (job identities).
+# Default job identities (query name and checkpoint folder); --application-id
+# overrides them.  Two jobs with the same id share their progress.
 DEFAULT_IDS = {
-    "word-count": "stream-word-count-app",
-    "colour-count": "stream-colour-app",
-    "balance": "stream-bank-balance-app",
-    "summary": "udemy-stream-bank-balance-app",
-    "publish-transactions": "bank-balance-producer",
+    "word-count": "word-count",
+    "colour-count": "colour-count",
+    "balance": "balance",
+    "summary": "summary",
+    "publish-transactions": "publish-transactions",
 }
 
 
