@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: the separator pattern of the reference's word split.
 WORD_SEPARATOR = r"\W+"
+# Option: letters and digits of every script are word characters.
+UNICODE_WORD_SEPARATOR = r"(?U)\W+"
 
 
 def _col(c) -> Column:

@@ -24,8 +24,6 @@ from keytally.functions.records import TRANSACTION_SCHEMA
 from keytally.functions.times import epoch_ntz, is_iso_instant, parse_iso_instant, truncate_millis
 from keytally.operators.changelog import running
 
-TX_COLUMNS = ("offset", "name", "amount", "time")
-
 
 def _with_parsed(records: DataFrame, key: str, value: str) -> DataFrame:
     """Records plus ``_amount``, ``_time`` and ``_reason`` (null for a good record).

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keytally.functions.text import with_tokens
+from keytally.functions.text import UNICODE_WORD_SEPARATOR, WORD_SEPARATOR, with_tokens
 from keytally.operators.changelog import running
 
 
@@ -33,26 +33,33 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-def words(lines: DataFrame, value: str = "value") -> DataFrame:
-    """One row per word (``word`` column); null lines carry no words."""
+def _sep(unicode: bool) -> str:
+    return UNICODE_WORD_SEPARATOR if unicode else WORD_SEPARATOR
+
+
+def words(lines: DataFrame, value: str = "value", unicode: bool = False) -> DataFrame:
+    """One row per word (``word`` column); null lines carry no words.
+    ``unicode=True`` treats letters of every script as word characters (the
+    reference's ``\\W`` is ASCII-only)."""
     # explode_outer + a null filter, not explode: for explode Catalyst infers a
     # ``size(tokens) > 0`` filter and pushes it (with the whole split) below the
     # repartition, onto the coarse scan.  Tokens are never null, so this is exact.
-    toks = with_tokens(lines, value, "_toks")
+    toks = with_tokens(lines, value, "_toks", separator=_sep(unicode))
     return toks.select(F.explode_outer("_toks").alias("word")).where(F.col("word").isNotNull())
 
 
-def word_count(lines: DataFrame, value: str = "value") -> DataFrame:
+def word_count(lines: DataFrame, value: str = "value", unicode: bool = False) -> DataFrame:
     """(word, count) over all lines; ``""`` is a word when a line is empty or
     starts with a separator, as in the reference."""
-    return (words(spread(lines.where(F.col(value).isNotNull())), value)
+    return (words(spread(lines.where(F.col(value).isNotNull())), value, unicode)
             .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
 
 
-def line_tokens(lines: DataFrame, value: str = "value", order: str = "offset") -> DataFrame:
+def line_tokens(lines: DataFrame, value: str = "value", order: str = "offset",
+                unicode: bool = False) -> DataFrame:
     """(offset, pos, word): the words of each line with their position."""
     src = spread(lines.where(F.col(value).isNotNull()))
-    toks = with_tokens(src, value, "_toks", keep=[order])
+    toks = with_tokens(src, value, "_toks", keep=[order], separator=_sep(unicode))
     return (toks.select(F.col(order), F.posexplode_outer("_toks").alias("pos", "word"))
             .where(F.col("pos").isNotNull())
             .withColumn("pos", F.col("pos").cast("long")))

@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 
 from keytally.functions.records import transaction_json
 
-RECORD_COLUMNS = ("key", "value", "offset")
-
 # Schemas of the driver tables read as streams.
 TABLE_SCHEMAS = {
     "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",

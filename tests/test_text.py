@@ -82,3 +82,11 @@ def test_word_count_on_documents_plan_is_partial_then_final(spark):
     scan = df._jdf.queryExecution().sparkPlan().toString()
     assert "ReadSchema: struct<text:string>" in scan or "struct<text:string>" in scan
     assert df.count() > 0
+
+
+def test_unicode_option(spark):
+    df = spark.createDataFrame([(0, "Xin chào, thế giới!")], "offset long, value string")
+    ascii_words = sorted(r["word"] for r in wordcount.line_tokens(df).collect())
+    uni_words = sorted(r["word"] for r in wordcount.line_tokens(df, unicode=True).collect())
+    assert ascii_words == sorted(["xin", "ch", "o", "th", "gi", "i"])
+    assert uni_words == sorted(["xin", "chào", "thế", "giới"])
