@@ -19,16 +19,32 @@ from keytally.plans.oracle import ORACLE_SQL
 from keytally.sources import topics
 from keytally.streaming import jobs
 
+# input bytes per state partition for a one-shot run over a table
+BYTES_PER_STATE_PARTITION = 128 * 1024 * 1024
+
+
+def _state_partitions(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """State partitions for a one-shot run: enough for the table's size, at
+    least twice the cores, never more than the session's shuffle partitions."""
+    path, _ = topics._table_path(spark, sf_dir, name)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(jpath).getLength()
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(2 * spark.sparkContext.defaultParallelism, -(-size // BYTES_PER_STATE_PARTITION))
+    return min(configured, wanted)
+
 
 def stream_word_count(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     lines = topics.text_lines(topics.read_table_stream(spark, sf_dir, "documents", max_files_per_trigger))
-    return jobs.word_count_job(lines, "stream_word_count", fresh=True).run_to_end(spark)
+    return jobs.word_count_job(lines, "stream_word_count", fresh=True,
+                               state_partitions=_state_partitions(spark, sf_dir, "documents")).run_to_end(spark)
 
 
 def stream_latest_by_key(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     events = topics.read_table_stream(spark, sf_dir, "events", max_files_per_trigger)
     pairs = split_pairs(topics.colour_lines(events), allowed=COLOUR_VALUES)
-    out = jobs.latest_by_key_job(pairs, "stream_latest_by_key", fresh=True).run_to_end(spark)
+    out = jobs.latest_by_key_job(pairs, "stream_latest_by_key", fresh=True,
+            state_partitions=_state_partitions(spark, sf_dir, "events")).run_to_end(spark)
     return out.withColumnRenamed("value", "colour")
 
 
@@ -36,26 +52,30 @@ def stream_latest_with_deletes(spark: SparkSession, sf_dir: str,
                                max_files_per_trigger: int | None = None) -> DataFrame:
     events = topics.read_table_stream(spark, sf_dir, "events", max_files_per_trigger)
     recs = topics.tombstone_records(events)
-    return jobs.latest_by_key_job(recs, "stream_latest_with_deletes", fresh=True).run_to_end(spark)
+    return jobs.latest_by_key_job(recs, "stream_latest_with_deletes", fresh=True,
+            state_partitions=_state_partitions(spark, sf_dir, "events")).run_to_end(spark)
 
 
 def stream_account_balance(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     events = topics.read_table_stream(spark, sf_dir, "events", max_files_per_trigger)
     recs = topics.transaction_records(events)
-    return jobs.account_balance_job(recs, "stream_account_balance", fresh=True).run_to_end(spark)
+    return jobs.account_balance_job(recs, "stream_account_balance", fresh=True,
+            state_partitions=_state_partitions(spark, sf_dir, "events")).run_to_end(spark)
 
 
 def stream_account_summary(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     events = topics.read_table_stream(spark, sf_dir, "events", max_files_per_trigger)
     recs = topics.transaction_records(events)
-    return jobs.account_summary_job(recs, "stream_account_summary", fresh=True).run_to_end(spark)
+    return jobs.account_summary_job(recs, "stream_account_summary", fresh=True,
+            state_partitions=_state_partitions(spark, sf_dir, "events")).run_to_end(spark)
 
 
 def stream_current_value_count(spark: SparkSession, sf_dir: str,
                                max_files_per_trigger: int | None = None) -> DataFrame:
     events = topics.read_table_stream(spark, sf_dir, "events", max_files_per_trigger)
     pairs = split_pairs(topics.colour_lines(events), allowed=COLOUR_VALUES)
-    out = jobs.current_value_count_job(pairs, "stream_current_value_count", fresh=True).run_to_end(spark)
+    out = jobs.current_value_count_job(pairs, "stream_current_value_count", fresh=True,
+            state_partitions=_state_partitions(spark, sf_dir, "events")).run_to_end(spark)
     return out.select(F.col("value").alias("colour"), "count")
 
 

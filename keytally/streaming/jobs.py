@@ -56,11 +56,16 @@ class StreamJob:
 
 
 def start_upsert(df: DataFrame, keys, job_name: str, *, fresh: bool = False, available_now: bool = True,
-                 processing_time: str | None = None, output_mode: str = "update") -> StreamJob:
+                 processing_time: str | None = None, output_mode: str = "update",
+                 state_partitions: int | None = None) -> StreamJob:
     """Start ``df`` (a streaming aggregate or changelog) into an upsert table.
 
     ``fresh=False`` reuses the job's stable folder (restartable job);
     ``fresh=True`` runs in a new folder (a one-shot run over a table).
+    ``state_partitions`` fixes the number of state-store partitions of a *new*
+    checkpoint (a restart keeps the checkpoint's own); default: the session's
+    ``spark.sql.shuffle.partitions``.  The query runs on a clone of the session
+    taken at start, so the setting does not leak into the caller's session.
     """
     spark = df.sparkSession
     base = job_dir(spark, job_name, fresh=fresh)
@@ -73,7 +78,14 @@ def start_upsert(df: DataFrame, keys, job_name: str, *, fresh: bool = False, ava
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    q = w.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if state_partitions:
+        spark.conf.set(key, str(state_partitions))
+    try:
+        q = w.start()
+    finally:
+        spark.conf.set(key, before)
     return StreamJob(q, out, ckpt, df.schema, tuple([keys] if isinstance(keys, str) else keys))
 
 
