@@ -78,7 +78,7 @@ def _bucket_window(keys, order):
 
 def running(df: DataFrame, partition_by, order_by, aggs: dict[str, tuple[str, str]], *,
             lead: str | None = None, bounds: tuple[int, ...] | None = None,
-            buckets: int | None = None) -> DataFrame:
+            buckets: int | None = None, initial: DataFrame | None = None) -> DataFrame:
     """Add running aggregates per ``partition_by`` in ``order_by`` order
     (``rows between unbounded preceding and current row``).
 
@@ -87,6 +87,10 @@ def running(df: DataFrame, partition_by, order_by, aggs: dict[str, tuple[str, st
     order column) must be an integral column that never decreases along
     ``order_by``.  Partition keys must be non-null (keyed operators drop null
     keys first).
+
+    ``initial`` (keys + one column per aggregate name) holds totals from
+    before ``df`` -- e.g. earlier micro-batches.  It enters as a bucket before
+    the first one: one more row per key in the bounded prefix window.
     """
     keys = _names(partition_by)
     order = _names(order_by)
@@ -101,6 +105,9 @@ def running(df: DataFrame, partition_by, order_by, aggs: dict[str, tuple[str, st
 
     rows = b.select("*", *[e.alias(f"_v_{n}") for n, e in contrib.items()], F.lit(1).alias(DATA))
     totals = rows.groupBy(*keys, BUCKET).agg(*[fn[roll[n]](f"_v_{n}").alias(f"_t_{n}") for n in aggs])
+    if initial is not None:
+        totals = totals.unionByName(initial.select(
+            *keys, F.lit(-1).cast("long").alias(BUCKET), *[F.col(n).alias(f"_t_{n}") for n in aggs]))
     before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*keys, BUCKET, *[fn[roll[n]](f"_t_{n}").over(before).alias(f"_v_{n}") for n in aggs])
     # a key's first bucket has nothing before it: no carry row

@@ -17,7 +17,7 @@ from keytally.operators.pairs import split_pairs
 from keytally.plans.catalog import COLOUR_VALUES
 from keytally.plans.oracle import ORACLE_SQL
 from keytally.sources import topics
-from keytally.streaming import jobs
+from keytally.streaming import changelogs, jobs
 
 # input bytes per state partition for a one-shot run over a table
 BYTES_PER_STATE_PARTITION = 128 * 1024 * 1024
@@ -79,6 +79,28 @@ def stream_current_value_count(spark: SparkSession, sf_dir: str,
     return out.select(F.col("value").alias("colour"), "count")
 
 
+def stream_running_summary(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    events = topics.read_table_stream(spark, sf_dir, "events", max_files_per_trigger)
+    out = changelogs.running_summary_job(topics.transaction_records(events), "stream_running_summary",
+                                         fresh=True).run_to_end(spark)
+    return out.withColumnRenamed("offset", "event_id")
+
+
+def stream_running_balance(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    events = topics.read_table_stream(spark, sf_dir, "events", max_files_per_trigger)
+    out = changelogs.running_balance_job(topics.transaction_records(events), "stream_running_balance",
+                                         fresh=True).run_to_end(spark)
+    return out.withColumnRenamed("offset", "event_id")
+
+
+def stream_running_word_count(spark: SparkSession, sf_dir: str,
+                              max_files_per_trigger: int | None = None) -> DataFrame:
+    docs = topics.read_table_stream(spark, sf_dir, "documents", max_files_per_trigger)
+    out = changelogs.running_word_count_job(topics.text_lines(docs), "stream_running_word_count",
+                                            fresh=True).run_to_end(spark)
+    return out.withColumnRenamed("offset", "doc_id")
+
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_word_count": stream_word_count,
     "stream_latest_by_key": stream_latest_by_key,
@@ -86,6 +108,9 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_account_balance": stream_account_balance,
     "stream_account_summary": stream_account_summary,
     "stream_current_value_count": stream_current_value_count,
+    "stream_running_summary": stream_running_summary,
+    "stream_running_balance": stream_running_balance,
+    "stream_running_word_count": stream_running_word_count,
 }
 
 STREAM_ORACLE: dict[str, str] = {
@@ -95,4 +120,7 @@ STREAM_ORACLE: dict[str, str] = {
     "stream_account_balance": ORACLE_SQL["account_balance"],
     "stream_account_summary": ORACLE_SQL["account_summary"],
     "stream_current_value_count": ORACLE_SQL["current_value_count"],
+    "stream_running_summary": ORACLE_SQL["running_summary"],
+    "stream_running_balance": ORACLE_SQL["running_balance"],
+    "stream_running_word_count": ORACLE_SQL["running_word_count"],
 }
