@@ -7,7 +7,10 @@
     python -m keytally.streaming.apps colour-count --input-path /data/colours --output-path /data/out
 
 Applications: ``word-count``, ``colour-count``, ``balance``, ``summary`` and
-``publish-transactions`` (records of a table -> keyed JSON on a topic).
+``publish-transactions`` (records of a table -> keyed JSON on a topic).  The
+``*-log`` forms (``word-count-log``, ``balance-log``, ``summary-log``) emit one
+update per input record, as the reference does with its record cache off; their
+output folder holds ``changelog/`` and the running ``totals/``.
 
 Input: a Kafka topic (``--bootstrap-servers`` + ``--input-topic``; the connector
 must be on the classpath -- unverified in this build's container) or a folder
@@ -46,6 +49,9 @@ DEFAULT_IDS = {
     "balance": "balance",
     "summary": "summary",
     "publish-transactions": "publish-transactions",
+    "word-count-log": "word-count-log",
+    "balance-log": "balance-log",
+    "summary-log": "summary-log",
 }
 
 
@@ -58,7 +64,7 @@ def read_input(spark: SparkSession, args) -> DataFrame:
         lines = spark.readStream.text(args.input_path)
         return lines.select(F.lit(None).cast("string").alias("key"), F.col("value"),
                             F.lit(None).cast("long").alias("offset"))
-    reader = spark.readStream.schema(RECORD_SCHEMA)
+    reader = spark.readStream.schema(RECORD_SCHEMA).option("recursiveFileLookup", "true")
     if args.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(args.max_files_per_trigger))
     return reader.parquet(args.input_path)
@@ -81,10 +87,34 @@ def build(app: str, recs: DataFrame, allowed: Sequence[str]) -> tuple[DataFrame,
     raise ValueError(f"unknown application {app!r}")
 
 
+def start_log(spark: SparkSession, args, app_id: str, recs: DataFrame):
+    """The per-record changelog applications (see :mod:`.changelogs`)."""
+    from keytally.streaming import changelogs
+    base = args.output_path or args.checkpoint or f"{checkpoint_root(spark).rstrip('/')}/{app_id}"
+    extra = None
+    if args.output_topic:
+        enc = {"word-count-log": lambda b: sinks.long_records(b, "word", "count"),
+               "balance-log": lambda b: sinks.long_records(b, "name", "balance"),
+               "summary-log": lambda b: sinks.json_records(b, "name", summary_json("count", "balance", "time"))}[args.app]
+
+        def extra(batch: DataFrame, batch_id: int) -> None:
+            sinks.write_topic(enc(batch), args.output_topic, args.bootstrap_servers,
+                              options={"kafka.acks": "all", "kafka.enable.idempotence": "true"})
+    kw = dict(job_name=app_id, base=base, extra_sink=extra, available_now=args.available_now,
+              processing_time=args.trigger)
+    if args.app == "word-count-log":
+        return changelogs.running_word_count_job(recs, **kw).query
+    if args.app == "balance-log":
+        return changelogs.running_balance_job(recs, **kw).query
+    return changelogs.running_summary_job(recs, **kw).query
+
+
 def start(spark: SparkSession, args):
     app_id = args.application_id or DEFAULT_IDS[args.app]
     ckpt = args.checkpoint or f"{checkpoint_root(spark).rstrip('/')}/{app_id}"
     recs = read_input(spark, args)
+    if args.app.endswith("-log"):
+        return start_log(spark, args, app_id, recs)
     out, _keys = build(args.app, recs, tuple(args.allowed.split(",")))
     mode = "append" if args.app == "publish-transactions" else "update"
 

@@ -55,9 +55,10 @@ class _RunningBatch:
     the totals of earlier batches."""
 
     def __init__(self, base: str, keys: list[str], order: list[str], aggs: dict, totals_schema: StructType,
-                 finish):
+                 finish, out_schema: StructType | None = None, extra_sink=None):
         self.base, self.keys, self.order, self.aggs = base, keys, order, aggs
         self.totals_schema, self.finish = totals_schema, finish
+        self.out_schema, self.extra_sink = out_schema, extra_sink
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -70,7 +71,10 @@ class _RunningBatch:
             prev = read_upsert(spark, f"{self.base}/totals", self.totals_schema, keys, up_to=batch_id - 1)
             initial = prev.join(batch.select(*keys).distinct(), on=keys, how="left_semi")
         out = running(batch, keys, self.order, self.aggs, initial=initial)
-        self.finish(out).write.mode("overwrite").parquet(f"{self.base}/changelog/{BATCH_COL}={batch_id}")
+        log_path = f"{self.base}/changelog/{BATCH_COL}={batch_id}"
+        self.finish(out).write.mode("overwrite").parquet(log_path)
+        if self.extra_sink is not None:  # e.g. a topic; fed from the written rows
+            self.extra_sink(spark.read.schema(self.out_schema).parquet(log_path), batch_id)
         # new totals of the touched keys: the batch's totals on top of the previous ones
         fn = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
         contrib = batch.select(*keys, *[
@@ -84,8 +88,10 @@ class _RunningBatch:
 
 
 def _start(df: DataFrame, step: _RunningBatch, out_schema: StructType, base: str, job_name: str,
-           available_now: bool, processing_time: str | None) -> ChangelogJob:
-    w = (df.writeStream.queryName(f"{job_name}_{base.rsplit('/', 1)[-1]}")
+           available_now: bool, processing_time: str | None, fresh: bool = True,
+           extra_sink=None) -> ChangelogJob:
+    step.out_schema, step.extra_sink = out_schema, extra_sink
+    w = (df.writeStream.queryName(f"{job_name}_{base.rsplit('/', 1)[-1]}" if fresh else job_name)
          .option("checkpointLocation", f"{base}/checkpoint").foreachBatch(step))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 second")
     return ChangelogJob(w.start(), base, out_schema)
@@ -93,10 +99,11 @@ def _start(df: DataFrame, step: _RunningBatch, out_schema: StructType, base: str
 
 def running_summary_job(records: DataFrame, job_name: str = "running_summary", *, fresh: bool = False,
                         on_bad: str = "fail", available_now: bool = True,
-                        processing_time: str | None = None) -> ChangelogJob:
+                        processing_time: str | None = None, base: str | None = None,
+                        extra_sink=None) -> ChangelogJob:
     """JSON transactions -> (offset, name, count, balance, time) per transaction."""
     spark = records.sparkSession
-    base = job_dir(spark, job_name, fresh=fresh)
+    base = base or job_dir(spark, job_name, fresh=fresh)
     tx = accounts.parse_transactions(records, on_bad=on_bad).withColumn("_one", F.lit(1).cast("long"))
     aggs = {"count": ("sum", "_one"), "balance": ("sum", "amount"), "_tmax": ("max", "time")}
 
@@ -107,15 +114,16 @@ def running_summary_job(records: DataFrame, job_name: str = "running_summary", *
     totals_schema = StructType.fromDDL("name string, count long, balance long, _tmax timestamp_ntz")
     out_schema = StructType.fromDDL("offset long, name string, count long, balance long, time timestamp_ntz")
     step = _RunningBatch(base, ["name"], ["offset"], aggs, totals_schema, finish)
-    return _start(tx, step, out_schema, base, job_name, available_now, processing_time)
+    return _start(tx, step, out_schema, base, job_name, available_now, processing_time, fresh, extra_sink)
 
 
 def running_balance_job(records: DataFrame, job_name: str = "running_balance", *, fresh: bool = False,
                         on_bad: str = "fail", available_now: bool = True,
-                        processing_time: str | None = None) -> ChangelogJob:
+                        processing_time: str | None = None, base: str | None = None,
+                        extra_sink=None) -> ChangelogJob:
     """JSON transactions -> (offset, name, balance) per transaction."""
     spark = records.sparkSession
-    base = job_dir(spark, job_name, fresh=fresh)
+    base = base or job_dir(spark, job_name, fresh=fresh)
     tx = accounts.parse_transactions(records, on_bad=on_bad)
 
     def finish(out):
@@ -124,14 +132,15 @@ def running_balance_job(records: DataFrame, job_name: str = "running_balance", *
     step = _RunningBatch(base, ["name"], ["offset"], {"balance": ("sum", "amount")},
                          StructType.fromDDL("name string, balance long"), finish)
     return _start(tx, step, StructType.fromDDL("offset long, name string, balance long"), base, job_name,
-                  available_now, processing_time)
+                  available_now, processing_time, fresh, extra_sink)
 
 
 def running_word_count_job(lines: DataFrame, job_name: str = "running_word_count", *, fresh: bool = False,
-                           available_now: bool = True, processing_time: str | None = None) -> ChangelogJob:
+                           available_now: bool = True, processing_time: str | None = None,
+                           base: str | None = None, extra_sink=None) -> ChangelogJob:
     """Text lines -> (offset, pos, word, count) per word occurrence."""
     spark = lines.sparkSession
-    base = job_dir(spark, job_name, fresh=fresh)
+    base = base or job_dir(spark, job_name, fresh=fresh)
     toks = wordcount.line_tokens(lines).withColumn("_one", F.lit(1).cast("long"))
 
     def finish(out):
@@ -140,4 +149,4 @@ def running_word_count_job(lines: DataFrame, job_name: str = "running_word_count
     step = _RunningBatch(base, ["word"], ["offset", "pos"], {"count": ("sum", "_one")},
                          StructType.fromDDL("word string, count long"), finish)
     return _start(toks, step, StructType.fromDDL("offset long, pos long, word string, count long"), base,
-                  job_name, available_now, processing_time)
+                  job_name, available_now, processing_time, fresh, extra_sink)

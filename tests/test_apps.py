@@ -36,3 +36,18 @@ def test_word_count_app_on_text_files(spark, scratch):
     schema = StructType([StructField("word", StringType()), StructField("count", LongType())])
     got = dict(tuple(r) for r in read_upsert(spark, f"{scratch}/out", schema, ["word"]).collect())
     assert got == {"hello": 2, "world": 1, "": 2, "the": 1, "end": 1}
+
+
+def test_summary_log_app_emits_one_row_per_record(spark, scratch):
+    ev = topics.read_table(spark, SF_CHECK, "events")
+    recs = topics.transaction_records(ev)
+    for i, (lo, hi) in enumerate([(0, 5000), (5000, 10000)]):
+        recs.where(f"offset >= {lo} and offset < {hi}").coalesce(1).write.parquet(f"{scratch}/in/p{i}")
+    args = apps.parse_args(["summary-log", "--input-path", f"{scratch}/in", "--output-path", f"{scratch}/out",
+                            "--available-now", "--max-files-per-trigger", "1"])
+    q = apps.start(spark, args)
+    q.awaitTermination()
+    assert q.exception() is None
+    got = spark.read.parquet(f"{scratch}/out/changelog").drop("batch_id").withColumnRenamed("offset", "event_id")
+    want = catalog.running_summary(spark, SF_CHECK)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
