@@ -5,7 +5,6 @@ import datetime as dt
 import pytest
 from pyspark.errors import PySparkException
 
-from keytally.functions.records import TRANSACTION_SCHEMA  # noqa: F401
 from keytally.functions.times import parse_iso_instant
 from keytally.operators import accounts
 
