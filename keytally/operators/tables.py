@@ -7,8 +7,9 @@
   struct keeps a null value apart from "no row".
 * :func:`count_by_current_value` -- ``table.groupBy((k, v) -> (v, k)).count()``:
   how many keys hold each value now.  A value whose last holder moved away
-  stays with count 0.  Planned without a join: every row contributes 0 to its
-  value, every current (key, value) contributes 1, one ``sum`` per value.
+  stays with count 0.  Planned without a join: every (key, value) seen
+  contributes 0 to its value, every current (key, value) contributes 1, one
+  ``sum`` per value -- all from one reduced (key, value) table.
 * :func:`current_value_changelog` -- the same count as a changelog: for each
   input row, the old value loses one and the new value gains one, each with the
   running count of that value (two-level prefix sums, since there are only a
@@ -40,11 +41,28 @@ def latest_by_key(records: DataFrame, key: str = "key", value: str = "value", or
 def count_by_current_value(records: DataFrame, key: str = "key", value: str = "value",
                            order: str = "offset", count: str = "count") -> DataFrame:
     """(value, count): keys currently holding each value; values ever seen keep
-    a row, with 0 once nobody holds them."""
-    keyed = records.where(F.col(key).isNotNull())
-    current = latest_by_key(keyed, key, value, order).select(F.col(value), F.lit(1).cast("long").alias("_d"))
-    seen = keyed.where(F.col(value).isNotNull()).select(F.col(value), F.lit(0).cast("long").alias("_d"))
-    return current.unionByName(seen).groupBy(value).agg(F.sum("_d").alias(count))
+    a row, with 0 once nobody holds them.
+
+    One pass over the input: rows are first reduced to one row per
+    (key, value) with its newest offset (partial aggregate, so a hot key costs
+    one row per value and task); both the current value per key and the set of
+    values seen come from that reduced table, whose exchange Spark reuses.
+    """
+    pairs = (records.where(F.col(key).isNotNull())
+             .groupBy(key, value).agg(F.max(order).alias("_last")))
+    current = (pairs.groupBy(key)
+               .agg(F.max_by(F.struct(F.col(value).alias("v")), F.col("_last")).alias("_cur"))
+               .select(F.col("_cur.v").alias(value), F.lit(1).cast("long").alias("_d"))
+               .where(F.col(value).isNotNull()))
+    # A value counts as seen at a known read position, as for the current value
+    # (max_by skips null orderings).  Both branches must read ``pairs`` alike to
+    # share its aggregate and exchange, so nothing is filtered on the grouping
+    # columns here (Catalyst would push it below the aggregate); the null value
+    # (a delete) is dropped after the final sum instead, by a predicate that also
+    # reads the sum and so stays there.
+    seen = pairs.where(F.col("_last").isNotNull()).select(F.col(value), F.lit(0).cast("long").alias("_d"))
+    counts = current.unionByName(seen).groupBy(value).agg(F.sum("_d").alias(count))
+    return counts.where(F.col(value).isNotNull() | F.col(count).isNull())
 
 
 def current_value_changelog(records: DataFrame, key: str = "key", value: str = "value",
