@@ -54,3 +54,12 @@ def test_running_queries_have_no_join(spark, plan):
     for name in ("running_word_count", "running_summary", "current_value_changelog"):
         p = plan(catalog.BATCH_QUERIES[name](spark, SF_SMALL))
         assert "Join" not in p, name
+
+
+@pytest.mark.parametrize("name", ["current_value_count", "running_word_count"])
+def test_shared_input_exchange_is_reused(spark, name):
+    """Both branches of these plans read one exchange of the input (AQE final plan)."""
+    df = catalog.BATCH_QUERIES[name](spark, SF_SMALL)
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    assert "ReusedExchange" in qe.executedPlan().toString()
