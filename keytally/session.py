@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -74,3 +75,27 @@ def job_dir(spark: SparkSession, job_name: str, fresh: bool = True) -> str:
     if fresh:
         base = base + "/" + uuid.uuid4().hex
     return base
+
+
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Apply SQL settings for the duration of a block, then restore them.
+
+    Used around ``writeStream.start()``: a streaming query runs on a clone of
+    the session taken at start, so its settings stay with the query and the
+    caller's session is left as it was.
+    """
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

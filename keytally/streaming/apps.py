@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from keytally.functions.records import summary_json
 from keytally.operators import accounts, wordcount
 from keytally.operators.pairs import split_pairs
-from keytally.session import checkpoint_root
+from keytally.session import ROCKSDB_PROVIDER, checkpoint_root, session_conf
 from keytally.sources import sinks, topics
 from keytally.streaming.upsert import UpsertSink
 
@@ -130,7 +130,9 @@ def start(spark: SparkSession, args):
     w = (out.writeStream.queryName(app_id).outputMode(mode).option("checkpointLocation", f"{ckpt}/checkpoint")
          .foreachBatch(each_batch))
     w = w.trigger(availableNow=True) if args.available_now else w.trigger(processingTime=args.trigger)
-    return w.start()
+    # state in RocksDB for every stateful application (required by the colour count)
+    with session_conf(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}):
+        return w.start()
 
 
 def build_records(app: str, batch: DataFrame) -> DataFrame:

@@ -29,8 +29,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 STATE_SCHEMA = StructType([StructField("value", StringType(), True), StructField("version", LongType(), True)])
 DELTA_SCHEMA = StructType([StructField("value", StringType(), True), StructField("delta", LongType(), True)])
 
@@ -80,11 +78,11 @@ class CurrentValueProcessor(StatefulProcessor):
 
 def current_value_deltas(records: DataFrame, key: str = "key", value: str = "value",
                          order: str = "offset") -> DataFrame:
-    """Stream of (value, delta) from keyed records (null keys skipped)."""
-    # transformWithState keeps its state in RocksDB (spills to disk)
-    conf = records.sparkSession.conf
-    if conf.get("spark.sql.streaming.stateStore.providerClass", None) != ROCKSDB:
-        conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    """Stream of (value, delta) from keyed records (null keys skipped).
+
+    The query must start with the RocksDB state store provider
+    (``keytally.session.ROCKSDB_PROVIDER``); the job starters set it.
+    """
     # ship this module's code with the task: workers need not have the package
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     src = records.where(F.col(key).isNotNull()).select(

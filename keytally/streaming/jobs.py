@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from keytally.operators import accounts, tables, wordcount
-from keytally.session import job_dir
+from keytally.session import ROCKSDB_PROVIDER, job_dir, session_conf
 from keytally.streaming.upsert import UpsertSink, read_upsert
 
 
@@ -57,7 +57,7 @@ class StreamJob:
 
 def start_upsert(df: DataFrame, keys, job_name: str, *, fresh: bool = False, available_now: bool = True,
                  processing_time: str | None = None, output_mode: str = "update",
-                 state_partitions: int | None = None) -> StreamJob:
+                 state_partitions: int | None = None, conf: dict[str, str] | None = None) -> StreamJob:
     """Start ``df`` (a streaming aggregate or changelog) into an upsert table.
 
     ``fresh=False`` reuses the job's stable folder (restartable job);
@@ -78,14 +78,11 @@ def start_upsert(df: DataFrame, keys, job_name: str, *, fresh: bool = False, ava
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
+    settings = dict(conf or {})
     if state_partitions:
-        spark.conf.set(key, str(state_partitions))
-    try:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    with session_conf(spark, settings):
         q = w.start()
-    finally:
-        spark.conf.set(key, before)
     return StreamJob(q, out, ckpt, df.schema, tuple([keys] if isinstance(keys, str) else keys))
 
 
@@ -124,4 +121,6 @@ def current_value_count_job(records: DataFrame, job_name: str = "current_value_c
     from keytally.streaming.current_value import current_value_deltas
     deltas = current_value_deltas(records)
     counts = deltas.groupBy("value").agg(F.sum("delta").alias("count"))
-    return start_upsert(counts, ["value"], job_name, **kw)
+    # transformWithState keeps its state in RocksDB (spills to disk)
+    conf = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER, **kw.pop("conf", {})}
+    return start_upsert(counts, ["value"], job_name, conf=conf, **kw)
