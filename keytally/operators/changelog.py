@@ -125,10 +125,11 @@ def running(df: DataFrame, partition_by, order_by, aggs: dict[str, tuple[str, st
 
 def previous_value(df: DataFrame, partition_by, order_by, value: str, out: str = "previous", *,
                    lead: str | None = None, bounds: tuple[int, ...] | None = None,
-                   buckets: int | None = None) -> DataFrame:
+                   buckets: int | None = None, initial: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = ``value`` of the previous row of the same key in read order
     (``lag(value)``; null for the first row of a key), in two levels as above.
-    A null ``value`` of a previous row is kept as null."""
+    A null ``value`` of a previous row is kept as null.  ``initial`` (keys +
+    ``value``) gives each key's value from before ``df`` (earlier batches)."""
     keys = _names(partition_by)
     order = _names(order_by)
     lead = lead or order[0]
@@ -136,6 +137,9 @@ def previous_value(df: DataFrame, partition_by, order_by, value: str, out: str =
 
     ordkey = F.struct(*[F.col(c) for c in order])
     last = b.groupBy(*keys, BUCKET).agg(F.max_by(F.struct(F.col(value).alias("v")), ordkey).alias("_last"))
+    if initial is not None:
+        last = last.unionByName(initial.select(*keys, F.lit(-1).cast("long").alias(BUCKET),
+                                               F.struct(F.col(value).alias("v")).alias("_last")))
     by_bucket = Window.partitionBy(*keys).orderBy(BUCKET)
     carry = (last.select(*keys, BUCKET, F.lag("_last", 1).over(by_bucket).alias("_carry"))
              .where(F.col("_carry").isNotNull())

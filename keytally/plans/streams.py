@@ -101,6 +101,15 @@ def stream_running_word_count(spark: SparkSession, sf_dir: str,
     return out.withColumnRenamed("offset", "doc_id")
 
 
+def stream_current_value_changelog(spark: SparkSession, sf_dir: str,
+                                   max_files_per_trigger: int | None = None) -> DataFrame:
+    events = topics.read_table_stream(spark, sf_dir, "events", max_files_per_trigger)
+    pairs = split_pairs(topics.colour_lines(events), allowed=COLOUR_VALUES)
+    out = changelogs.current_value_changelog_job(pairs, "stream_current_value_changelog",
+                                                 fresh=True).run_to_end(spark)
+    return out.select(F.col("offset").alias("event_id"), "step", F.col("value").alias("colour"), "count")
+
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_word_count": stream_word_count,
     "stream_latest_by_key": stream_latest_by_key,
@@ -111,6 +120,7 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_running_summary": stream_running_summary,
     "stream_running_balance": stream_running_balance,
     "stream_running_word_count": stream_running_word_count,
+    "stream_current_value_changelog": stream_current_value_changelog,
 }
 
 STREAM_ORACLE: dict[str, str] = {
@@ -123,4 +133,5 @@ STREAM_ORACLE: dict[str, str] = {
     "stream_running_summary": ORACLE_SQL["running_summary"],
     "stream_running_balance": ORACLE_SQL["running_balance"],
     "stream_running_word_count": ORACLE_SQL["running_word_count"],
+    "stream_current_value_changelog": ORACLE_SQL["current_value_changelog"],
 }

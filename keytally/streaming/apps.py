@@ -8,8 +8,8 @@
 
 Applications: ``word-count``, ``colour-count``, ``balance``, ``summary`` and
 ``publish-transactions`` (records of a table -> keyed JSON on a topic).  The
-``*-log`` forms (``word-count-log``, ``balance-log``, ``summary-log``) emit one
-update per input record, as the reference does with its record cache off; their
+``*-log`` forms (``word-count-log``, ``colour-count-log``, ``balance-log``,
+``summary-log``) emit one update per input record, as the reference does with its record cache off; their
 output folder holds ``changelog/`` and the running ``totals/``.
 
 Input: a Kafka topic (``--bootstrap-servers`` + ``--input-topic``; the connector
@@ -52,6 +52,7 @@ DEFAULT_IDS = {
     "word-count-log": "word-count-log",
     "balance-log": "balance-log",
     "summary-log": "summary-log",
+    "colour-count-log": "colour-count-log",
 }
 
 
@@ -94,6 +95,7 @@ def start_log(spark: SparkSession, args, app_id: str, recs: DataFrame):
     extra = None
     if args.output_topic:
         enc = {"word-count-log": lambda b: sinks.long_records(b, "word", "count"),
+               "colour-count-log": lambda b: sinks.long_records(b, "value", "count"),
                "balance-log": lambda b: sinks.long_records(b, "name", "balance"),
                "summary-log": lambda b: sinks.json_records(b, "name", summary_json("count", "balance", "time"))}[args.app]
 
@@ -104,6 +106,9 @@ def start_log(spark: SparkSession, args, app_id: str, recs: DataFrame):
               processing_time=args.trigger)
     if args.app == "word-count-log":
         return changelogs.running_word_count_job(recs, **kw).query
+    if args.app == "colour-count-log":
+        pairs = split_pairs(recs, allowed=tuple(args.allowed.split(",")))
+        return changelogs.current_value_changelog_job(pairs, **kw).query
     if args.app == "balance-log":
         return changelogs.running_balance_job(recs, **kw).query
     return changelogs.running_summary_job(recs, **kw).query

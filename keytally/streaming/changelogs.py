@@ -1,6 +1,6 @@
 """Per-record changelogs as streams: one output row per input record, as the
 reference emits with its record cache off (running balance, running summary,
-running word count).
+running word count, and the ±1 updates of counts per current value).
 
 Each micro-batch is handled inside ``foreachBatch`` by the batch operator of
 :mod:`keytally.operators.changelog` (two-level, skew-safe), seeded with the
@@ -25,10 +25,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from keytally.functions.times import epoch_ntz
-from keytally.operators import accounts, wordcount
+from keytally.operators import accounts, tables, wordcount
 from keytally.operators.changelog import running
 from keytally.session import job_dir
 from keytally.streaming.upsert import BATCH_COL, read_upsert
@@ -150,3 +150,56 @@ def running_word_count_job(lines: DataFrame, job_name: str = "running_word_count
                          StructType.fromDDL("word string, count long"), finish)
     return _start(toks, step, StructType.fromDDL("offset long, pos long, word string, count long"), base,
                   job_name, available_now, processing_time, fresh, extra_sink)
+
+
+class _CurrentValueBatch:
+    """``foreachBatch`` step of the current-value changelog: previous value per
+    key and running count per value, both seeded from the earlier batches."""
+
+    VALUES = StructType([StructField("key", StringType()), StructField("value", StringType())])
+    COUNTS = StructType([StructField("value", StringType()), StructField("count", LongType())])
+
+    def __init__(self, base: str, out_schema: StructType, extra_sink=None):
+        self.base, self.out_schema, self.extra_sink = base, out_schema, extra_sink
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.where(F.col("key").isNotNull() & F.col("value").isNotNull()).persist()
+        init_values = init_counts = None
+        if batch_id > 0:
+            touched_keys = batch.select("key").distinct()
+            init_values = read_upsert(spark, f"{self.base}/values", self.VALUES, ["key"],
+                                      up_to=batch_id - 1).join(touched_keys, "key", "left_semi")
+            counts = read_upsert(spark, f"{self.base}/counts", self.COUNTS, ["value"], up_to=batch_id - 1)
+            # values touched: the batch's own and the old values of its keys
+            touched_values = batch.select("value").unionByName(init_values.select("value")).distinct()
+            init_counts = counts.join(touched_values, "value", "left_semi")
+        log = tables.current_value_changelog(batch, initial_values=init_values, initial_counts=init_counts)
+        log_path = f"{self.base}/changelog/{BATCH_COL}={batch_id}"
+        log.write.mode("overwrite").parquet(log_path)
+        written = spark.read.schema(self.out_schema).parquet(log_path)
+        if self.extra_sink is not None:
+            self.extra_sink(written, batch_id)
+        # new state: each touched key's last value, each touched value's last count
+        tables.latest_by_key(batch).write.mode("overwrite").parquet(f"{self.base}/values/{BATCH_COL}={batch_id}")
+        last_counts = (written.groupBy("value")
+                       .agg(F.max_by(F.col("count"), F.struct("offset", "step")).alias("count")))
+        last_counts.write.mode("overwrite").parquet(f"{self.base}/counts/{BATCH_COL}={batch_id}")
+        batch.unpersist()
+
+
+def current_value_changelog_job(records: DataFrame, job_name: str = "current_value_changelog", *,
+                                fresh: bool = False, available_now: bool = True,
+                                processing_time: str | None = None, base: str | None = None,
+                                extra_sink=None) -> ChangelogJob:
+    """(key, value) records -> (offset, step, value, count): for each record the
+    old value losing one (step 0) and the new value gaining one (step 1)."""
+    spark = records.sparkSession
+    base = base or job_dir(spark, job_name, fresh=fresh)
+    out_schema = StructType.fromDDL("offset long, step int, value string, count long")
+    step = _CurrentValueBatch(base, out_schema, extra_sink)
+    w = (records.select("offset", "key", "value").writeStream
+         .queryName(f"{job_name}_{base.rsplit('/', 1)[-1]}" if fresh else job_name)
+         .option("checkpointLocation", f"{base}/checkpoint").foreachBatch(step))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 second")
+    return ChangelogJob(w.start(), base, out_schema)

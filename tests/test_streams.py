@@ -152,7 +152,7 @@ def test_changelog_streams_over_micro_batches_equal_batch(spark, scratch):
     """Files in read order, one per micro-batch: the per-record changelog of the
     stream (seeded with earlier batches' totals) equals the batch changelog."""
     d = split_table(spark, SF_CHECK, "events", "event_id", scratch, 4)
-    for name in ["stream_running_summary", "stream_running_balance"]:
+    for name in ["stream_running_summary", "stream_running_balance", "stream_current_value_changelog"]:
         got = streams.STREAM_QUERIES[name](spark, d, max_files_per_trigger=1)
         want = catalog.BATCH_QUERIES[name.replace("stream_", "")](spark, SF_CHECK)
         assert rows(got.select(*want.columns)) == rows(want), name
