@@ -120,12 +120,13 @@ def start(spark: SparkSession, args):
     recs = read_input(spark, args)
     if args.app.endswith("-log"):
         return start_log(spark, args, app_id, recs)
-    out, _keys = build(args.app, recs, tuple(args.allowed.split(",")))
+    out, keys = build(args.app, recs, tuple(args.allowed.split(",")))
+    sink = UpsertSink(args.output_path, out.schema, keys) if args.output_path else None
     mode = "append" if args.app == "publish-transactions" else "update"
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        if args.output_path:
-            UpsertSink(args.output_path)(batch, batch_id)
+        if sink is not None:
+            sink(batch, batch_id)
         if args.output_topic:
             enc = (batch.select("key", "value") if args.app == "publish-transactions"
                    else build_records(args.app, batch))

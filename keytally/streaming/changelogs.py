@@ -31,7 +31,7 @@ from keytally.functions.times import epoch_ntz
 from keytally.operators import accounts, tables, wordcount
 from keytally.operators.changelog import running
 from keytally.session import job_dir
-from keytally.streaming.upsert import BATCH_COL, read_upsert
+from keytally.streaming.upsert import BATCH_COL, DEFAULT_COMPACT_EVERY, maybe_compact, read_upsert
 
 
 @dataclass
@@ -84,6 +84,7 @@ class _RunningBatch:
         totals = both.groupBy(*keys).agg(*[fn[kind](n).alias(n) for n, (kind, _) in self.aggs.items()])
         totals.select(*[f.name for f in self.totals_schema.fields]).write.mode("overwrite") \
             .parquet(f"{self.base}/totals/{BATCH_COL}={batch_id}")
+        maybe_compact(spark, f"{self.base}/totals", self.totals_schema, keys, batch_id, DEFAULT_COMPACT_EVERY)
         batch.unpersist()
 
 
@@ -185,6 +186,8 @@ class _CurrentValueBatch:
         last_counts = (written.groupBy("value")
                        .agg(F.max_by(F.col("count"), F.struct("offset", "step")).alias("count")))
         last_counts.write.mode("overwrite").parquet(f"{self.base}/counts/{BATCH_COL}={batch_id}")
+        maybe_compact(spark, f"{self.base}/values", self.VALUES, ["key"], batch_id, DEFAULT_COMPACT_EVERY)
+        maybe_compact(spark, f"{self.base}/counts", self.COUNTS, ["value"], batch_id, DEFAULT_COMPACT_EVERY)
         batch.unpersist()
 
 

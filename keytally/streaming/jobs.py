@@ -26,7 +26,7 @@ from pyspark.sql.types import StructType
 
 from keytally.operators import accounts, tables, wordcount
 from keytally.session import ROCKSDB_PROVIDER, job_dir, session_conf
-from keytally.streaming.upsert import UpsertSink, read_upsert
+from keytally.streaming.upsert import DEFAULT_COMPACT_EVERY, UpsertSink, read_upsert
 
 
 @dataclass
@@ -57,7 +57,8 @@ class StreamJob:
 
 def start_upsert(df: DataFrame, keys, job_name: str, *, fresh: bool = False, available_now: bool = True,
                  processing_time: str | None = None, output_mode: str = "update",
-                 state_partitions: int | None = None, conf: dict[str, str] | None = None) -> StreamJob:
+                 state_partitions: int | None = None, conf: dict[str, str] | None = None,
+                 compact_every: int = DEFAULT_COMPACT_EVERY) -> StreamJob:
     """Start ``df`` (a streaming aggregate or changelog) into an upsert table.
 
     ``fresh=False`` reuses the job's stable folder (restartable job);
@@ -73,7 +74,8 @@ def start_upsert(df: DataFrame, keys, job_name: str, *, fresh: bool = False, ava
     w = (df.writeStream.queryName(f"{job_name}_{base.rsplit('/', 1)[-1]}" if fresh else job_name)
          .outputMode(output_mode)
          .option("checkpointLocation", ckpt)
-         .foreachBatch(UpsertSink(out)))
+         .foreachBatch(UpsertSink(out, df.schema, [keys] if isinstance(keys, str) else list(keys),
+                                  compact_every=compact_every)))
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:

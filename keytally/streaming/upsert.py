@@ -9,11 +9,14 @@ Reading takes, per key, the row of the highest batch id.  A row whose value
 columns are all null is a delete.
 
 :func:`compact` folds all batches up to a *committed* batch ``n`` into one
-snapshot written as ``batch_id=<n>`` (every key, deletes included).  Readers
-then pass ``since=n`` and skip the older folders (partition pruning), so reads
-stay cheap on a long-running job; the older folders can be removed by whoever
-owns the table.  Only a committed batch may be compacted: a replay of an
-uncommitted batch would overwrite its folder again.
+snapshot written as ``batch_id=<n>`` (every key, deletes included) and leaves a
+``_snapshot_<n>`` marker (ignored by Spark's reader, like every ``_`` name).
+Readers start at the newest snapshot at or below the batch they read, so reads
+stay cheap on a long-running job; older folders can be removed by whoever owns
+the table.  Only a committed batch may be compacted: a replay of an
+uncommitted batch would overwrite its folder again.  :class:`UpsertSink`
+compacts by itself every ``compact_every`` batches, always the batch before the
+running one (which is committed, or the running one would not have started).
 """
 
 from __future__ import annotations
@@ -27,14 +30,48 @@ from pyspark.sql.types import LongType, StructField, StructType
 BATCH_COL = "batch_id"
 
 
+SNAPSHOT_PREFIX = "_snapshot_"
+DEFAULT_COMPACT_EVERY = 100
+
+
+def _fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def latest_snapshot(spark: SparkSession, path: str, up_to: int | None = None) -> int | None:
+    """Newest snapshot id at or below ``up_to`` (a listing of marker names only)."""
+    fs, jpath = _fs(spark, path)
+    if not fs.exists(jpath):
+        return None
+    ids = [int(st.getPath().getName()[len(SNAPSHOT_PREFIX):]) for st in fs.listStatus(jpath)
+           if st.getPath().getName().startswith(SNAPSHOT_PREFIX)]
+    ids = [i for i in ids if up_to is None or i <= up_to]
+    return max(ids) if ids else None
+
+
 class UpsertSink:
-    """``foreachBatch`` callable writing each micro-batch under its batch id."""
+    """``foreachBatch`` callable writing each micro-batch under its batch id.
+
+    With ``schema`` and ``keys`` it also compacts the table every
+    ``compact_every`` batches (the previous, committed batch)."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, schema: StructType | None = None, keys: Sequence[str] | None = None,
+                 compact_every: int = DEFAULT_COMPACT_EVERY):
         self.path = path.rstrip("/")
+        self.schema, self.keys, self.compact_every = schema, keys, compact_every
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COL}={batch_id}")
+        maybe_compact(batch.sparkSession, self.path, self.schema, self.keys, batch_id, self.compact_every)
+
+
+def maybe_compact(spark: SparkSession, path: str, schema: StructType | None, keys: Sequence[str] | None,
+                  batch_id: int, every: int) -> int | None:
+    """Compact up to ``batch_id - 1`` when ``batch_id`` is a multiple of ``every``."""
+    if schema is None or not keys or every <= 0 or batch_id == 0 or batch_id % every:
+        return None
+    return compact(spark, path, schema, keys, up_to=batch_id - 1)
 
 
 def _with_batch(schema: StructType) -> StructType:
@@ -42,14 +79,19 @@ def _with_batch(schema: StructType) -> StructType:
 
 
 def read_upsert(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
-                drop_deletes: bool = True, since: int | None = None, up_to: int | None = None) -> DataFrame:
+                drop_deletes: bool = True, since: int | str | None = "snapshot",
+                up_to: int | None = None) -> DataFrame:
     """The current table: per key the row of the newest batch.
 
     One partial + final aggregate per key (``max_by`` on the batch id), so a key
     updated in every batch costs one row per task on the shuffle.  ``since``
-    skips folders before a snapshot; ``up_to`` ignores later batches.
+    skips older folders: ``"snapshot"`` (default) starts at the newest snapshot
+    at or below ``up_to``, an int at that batch, None reads everything;
+    ``up_to`` ignores later batches.
     """
     keys = list(keys)
+    if since == "snapshot":
+        since = latest_snapshot(spark, path, up_to)
     values = [f.name for f in schema.fields if f.name not in keys]
     raw = spark.read.schema(_with_batch(schema)).parquet(path)
     if since is not None:
@@ -78,8 +120,11 @@ def compact(spark: SparkSession, path: str, schema: StructType, keys: Sequence[s
     before it replaces the batch folder.
     """
     # deletes stay in the snapshot: older folders may still hold the old values
-    snap = read_upsert(spark, path, schema, keys, drop_deletes=False, up_to=up_to)
-    tmp = f"{path.rstrip('/')}/_compact_{up_to}"
+    base = path.rstrip("/")
+    snap = read_upsert(spark, base, schema, keys, drop_deletes=False, up_to=up_to)
+    tmp = f"{base}/_compact_{up_to}"
     snap.write.mode("overwrite").parquet(tmp)
-    spark.read.schema(schema).parquet(tmp).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={up_to}")
+    spark.read.schema(schema).parquet(tmp).write.mode("overwrite").parquet(f"{base}/{BATCH_COL}={up_to}")
+    fs, marker = _fs(spark, f"{base}/{SNAPSHOT_PREFIX}{up_to}")
+    fs.mkdirs(marker)  # written last: readers trust the snapshot only once it is complete
     return up_to

@@ -160,3 +160,17 @@ def test_changelog_streams_over_micro_batches_equal_batch(spark, scratch):
     got = streams.stream_running_word_count(spark, d2, max_files_per_trigger=1)
     want = catalog.running_word_count(spark, SF_SMALL)
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_upsert_table_compacts_itself(spark, scratch):
+    """Every 2 batches the previous batch is compacted into a snapshot; reads
+    start there and still give the batch answer, deletes included."""
+    d = split_table(spark, SF_CHECK, "events", "event_id", scratch, 5)
+    recs = topics.tombstone_records(topics.read_table_stream(spark, d, "events", 1))
+    job = jobs.latest_by_key_job(recs, "compacting_" + os.path.basename(scratch), fresh=True, compact_every=2)
+    got = job.run_to_end(spark)
+    from keytally.streaming.upsert import latest_snapshot
+    assert latest_snapshot(spark, job.result_path) == 3  # compacted at batches 2 and 4
+    want = catalog.latest_with_deletes(spark, SF_CHECK)
+    assert rows(got) == rows(want)
+    assert rows(read_upsert(spark, job.result_path, job.schema, ["key"], since=None)) == rows(want)
