@@ -80,3 +80,11 @@ def test_bad_transaction_fails_by_default(spark, value):
 def test_null_key_is_skipped_not_failed(spark):
     df = spark.createDataFrame([tx(0, None, 1, "2024-01-01T00:00:00Z")], REC)
     assert accounts.parse_transactions(df).count() == 0
+
+
+def test_amounts_and_balances_are_64_bit(spark):
+    big = 3_000_000_000  # beyond a 32-bit int, where the reference's JSON variant would overflow
+    rows = [tx(0, "a", big, "2024-01-01T00:00:00Z"), tx(1, "a", big, "2024-01-01T00:00:01Z")]
+    t = accounts.parse_transactions(spark.createDataFrame(rows, REC))
+    assert accounts.balances(t).first()["balance"] == 2 * big
+    assert [r["balance"] for r in accounts.running_summaries(t, buckets=2).orderBy("offset").collect()] == [big, 2 * big]
