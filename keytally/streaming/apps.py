@@ -58,8 +58,9 @@ DEFAULT_IDS = {
 
 def read_input(spark: SparkSession, args) -> DataFrame:
     if args.input_topic:
+        opts = {"maxOffsetsPerTrigger": str(args.max_offsets_per_trigger)} if args.max_offsets_per_trigger else {}
         recs = topics.read_topic(spark, args.input_topic, args.bootstrap_servers,
-                                 starting_offsets=args.starting_offsets)
+                                 starting_offsets=args.starting_offsets, options=opts)
         return recs.select("key", "value", "offset")
     if args.input_format == "text":
         lines = spark.readStream.text(args.input_path)
@@ -166,7 +167,8 @@ def parse_args(argv=None):
     p.add_argument("--checkpoint")
     p.add_argument("--starting-offsets", default="earliest")
     p.add_argument("--allowed", default="red,white", help="colour-count: allowed values")
-    p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument("--max-files-per-trigger", type=int, help="folder input: files per micro-batch")
+    p.add_argument("--max-offsets-per-trigger", type=int, help="Kafka input: records per micro-batch")
     p.add_argument("--trigger", default="1 second", help="processing-time trigger interval")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     a = p.parse_args(argv)
