@@ -72,7 +72,7 @@ def read_input(spark: SparkSession, args) -> DataFrame:
     return reader.parquet(args.input_path)
 
 
-def build(app: str, recs: DataFrame, allowed: Sequence[str]) -> tuple[DataFrame, list[str]]:
+def build(app: str, recs: DataFrame, allowed: Sequence[str], on_bad: str = "fail") -> tuple[DataFrame, list[str]]:
     """(result changelog, its key columns) for one application."""
     if app == "word-count":
         return wordcount.word_count(recs), ["word"]
@@ -81,9 +81,9 @@ def build(app: str, recs: DataFrame, allowed: Sequence[str]) -> tuple[DataFrame,
         pairs = split_pairs(recs, allowed=allowed)
         return current_value_deltas(pairs).groupBy("value").agg(F.sum("delta").alias("count")), ["value"]
     if app == "balance":
-        return accounts.balances(accounts.parse_transactions(recs)), ["name"]
+        return accounts.balances(accounts.parse_transactions(recs, on_bad=on_bad)), ["name"]
     if app == "summary":
-        return accounts.summaries(accounts.parse_transactions(recs)), ["name"]
+        return accounts.summaries(accounts.parse_transactions(recs, on_bad=on_bad)), ["name"]
     if app == "publish-transactions":
         return recs, ["key"]
     raise ValueError(f"unknown application {app!r}")
@@ -121,7 +121,11 @@ def start(spark: SparkSession, args):
     recs = read_input(spark, args)
     if args.app.endswith("-log"):
         return start_log(spark, args, app_id, recs)
-    out, keys = build(args.app, recs, tuple(args.allowed.split(",")))
+    quarantine = args.on_bad == "quarantine" and args.app in ("balance", "summary")
+    out, keys = build(args.app, recs, tuple(args.allowed.split(",")), "drop" if quarantine else args.on_bad)
+    if quarantine:  # a second query keeps the bad records (see jobs.quarantine_job)
+        from keytally.streaming.jobs import quarantine_job
+        quarantine_job(recs, app_id, available_now=args.available_now, processing_time=args.trigger)
     sink = UpsertSink(args.output_path, out.schema, keys) if args.output_path else None
     mode = "append" if args.app == "publish-transactions" else "update"
 
@@ -171,6 +175,8 @@ def parse_args(argv=None):
     p.add_argument("--max-offsets-per-trigger", type=int, help="Kafka input: records per micro-batch")
     p.add_argument("--trigger", default="1 second", help="processing-time trigger interval")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    p.add_argument("--on-bad", choices=["fail", "drop", "quarantine"], default="fail",
+                   help="balance/summary: bad transactions stop the job, are skipped, or are kept aside")
     a = p.parse_args(argv)
     if not (a.input_topic or a.input_path):
         p.error("give --input-topic or --input-path")
@@ -184,8 +190,8 @@ def parse_args(argv=None):
 def main(argv=None) -> None:
     args = parse_args(argv)
     spark = SparkSession.builder.appName(args.application_id or DEFAULT_IDS[args.app]).getOrCreate()
-    q = start(spark, args)
-    q.awaitTermination()
+    start(spark, args)
+    spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

@@ -104,18 +104,37 @@ def latest_by_key_job(records: DataFrame, job_name: str = "latest_by_key", **kw)
     return start_upsert(tables.latest_by_key(records, deletes=False), ["key"], job_name, **kw)
 
 
+def quarantine_job(records: DataFrame, job_name: str, *, fresh: bool = False, available_now: bool = True,
+                   processing_time: str | None = None) -> tuple[StreamingQuery, str]:
+    """Bad transactions (offset, key, value, reason) appended to a side table.
+
+    A second query over the same source with its own checkpoint: the aggregate
+    skips bad records (``on_bad="drop"``) and this one keeps them, each exactly
+    once (file sink with its own commit log).  Returns (query, table path).
+    """
+    spark = records.sparkSession
+    base = job_dir(spark, job_name + "_quarantine", fresh=fresh)
+    w = (accounts.bad_transactions(records).writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", f"{base}/checkpoint").option("path", f"{base}/table"))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 second")
+    return w.start(), f"{base}/table"
+
+
+def _parsed(records: DataFrame, on_bad: str) -> DataFrame:
+    return accounts.parse_transactions(records, on_bad="drop" if on_bad == "quarantine" else on_bad)
+
+
 def account_balance_job(records: DataFrame, job_name: str = "account_balance", on_bad: str = "fail",
                         **kw) -> StreamJob:
-    """JSON transactions -> (name, balance)."""
-    return start_upsert(accounts.balances(accounts.parse_transactions(records, on_bad=on_bad)), ["name"],
-                        job_name, **kw)
+    """JSON transactions -> (name, balance).  ``on_bad``: fail, drop or
+    quarantine (start :func:`quarantine_job` next to it)."""
+    return start_upsert(accounts.balances(_parsed(records, on_bad)), ["name"], job_name, **kw)
 
 
 def account_summary_job(records: DataFrame, job_name: str = "account_summary", on_bad: str = "fail",
                         **kw) -> StreamJob:
-    """JSON transactions -> (name, count, balance, time)."""
-    return start_upsert(accounts.summaries(accounts.parse_transactions(records, on_bad=on_bad)), ["name"],
-                        job_name, **kw)
+    """JSON transactions -> (name, count, balance, time).  ``on_bad`` as above."""
+    return start_upsert(accounts.summaries(_parsed(records, on_bad)), ["name"], job_name, **kw)
 
 
 def current_value_count_job(records: DataFrame, job_name: str = "current_value_count", **kw) -> StreamJob:

@@ -174,3 +174,18 @@ def test_upsert_table_compacts_itself(spark, scratch):
     want = catalog.latest_with_deletes(spark, SF_CHECK)
     assert rows(got) == rows(want)
     assert rows(read_upsert(spark, job.result_path, job.schema, ["key"], since=None)) == rows(want)
+
+
+def test_quarantine_keeps_bad_records_aside(spark, scratch):
+    rows = [(0, "a", '{"name":"a","amount":1,"time":"2024-01-01T00:00:00Z"}'),
+            (1, "a", '{"name":"a","amount":1.5,"time":"2024-01-01T00:00:00Z"}'),
+            (2, "a", '{"name":"a","amount":2,"time":"2024-01-01T00:00:01Z"}')]
+    spark.createDataFrame(rows, "offset long, key string, value string").write.parquet(f"{scratch}/tx")
+    stream = spark.readStream.schema("offset long, key string, value string").parquet(f"{scratch}/tx")
+    name = "quarantine_" + os.path.basename(scratch)
+    q, path = jobs.quarantine_job(stream, name, fresh=True)
+    job = jobs.account_balance_job(stream, name, fresh=True, on_bad="quarantine")
+    assert [tuple(r) for r in job.run_to_end(spark).collect()] == [("a", 3)]
+    q.awaitTermination()
+    bad = spark.read.parquet(path).collect()
+    assert [(r["offset"], r["reason"]) for r in bad] == [(1, "amount missing or not an integer")]
