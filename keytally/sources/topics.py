@@ -90,12 +90,15 @@ def read_topic(spark: SparkSession, topic: str, bootstrap_servers: str, *, strea
         reader = reader.option(k, v)
     raw = reader.load()
     # Within one partition the offset is the read order.  Records of one key
-    # written with that key share a partition, so "latest per key" is exact;
-    # across partitions the reference itself has no defined order either.
+    # written with that key share a partition, so "latest per key" by offset is
+    # exact.  Across partitions the reference has no defined order; read_order
+    # (timestamp, partition, offset) gives a deterministic one -- pass
+    # order="read_order" to latest_by_key / count_by_current_value.
     return raw.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
         "topic", "partition", "offset", "timestamp",
+        F.struct("timestamp", "partition", "offset").alias("read_order"),
     )
 
 

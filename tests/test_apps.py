@@ -62,7 +62,7 @@ def test_kafka_source_fails_clearly_without_connector(spark):
     except Exception as e:  # connector missing in this container
         assert "kafka" in str(e).lower()
     else:  # connector present: the record columns are the normalised ones
-        assert df.columns == ["key", "value", "topic", "partition", "offset", "timestamp"]
+        assert df.columns == ["key", "value", "topic", "partition", "offset", "timestamp", "read_order"]
         pytest.skip("Kafka connector available")
 
 

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from keytally.operators import tables
 
 # Fixed sequence: ann red, bob white, ann white, bob white -> red 0, white 2.
@@ -64,3 +66,17 @@ def test_changelog_hot_key_many_buckets(spark):
     for buckets in (1, 7, 64):
         got = sorted(tuple(r) for r in tables.current_value_changelog(df, buckets=buckets).collect())
         assert got == brute_changelog(rows), buckets
+
+
+def test_struct_read_order_across_partitions(spark):
+    """Records of one key in two partitions: (timestamp, partition, offset) orders them."""
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    rows = [("u", "red", t, 0, 5), ("u", "white", t + dt.timedelta(seconds=1), 1, 2),
+            ("v", "red", t, 1, 3), ("v", "white", t, 0, 9)]  # same time: partition breaks the tie
+    df = spark.createDataFrame(rows, "key string, value string, timestamp timestamp, partition int, offset long")
+    df = df.withColumn("read_order", F.struct("timestamp", "partition", "offset"))
+    got = sorted(tuple(r) for r in tables.latest_by_key(df, order="read_order").collect())
+    assert got == [("u", "white"), ("v", "red")]
+    counts = sorted(tuple(r) for r in tables.count_by_current_value(df, order="read_order").collect())
+    assert counts == [("red", 1), ("white", 1)]
