@@ -31,7 +31,8 @@ HEADLINE = [
     "summary_records",
     "transaction_records",
 ]
-STREAMS = ["stream_word_count", "stream_account_summary", "stream_current_value_count"]
+STREAMS = ["stream_word_count", "stream_account_summary", "stream_current_value_count",
+           "stream_running_summary", "stream_current_value_changelog"]
 
 
 def run(df) -> None:
