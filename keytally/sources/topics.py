@@ -40,7 +40,7 @@ def _is_dir(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).isDirectory(jpath)
 
 
-def _table_path(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, bool]:
+def table_path(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, bool]:
     folder = f"{sf_dir.rstrip('/')}/{name}"
     return (folder, True) if _is_dir(spark, folder) else (f"{folder}.parquet", False)
 
@@ -60,7 +60,7 @@ def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per
     reader = spark.readStream.schema(sch)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    path, is_folder = _table_path(spark, sf_dir, name)
+    path, is_folder = table_path(spark, sf_dir, name)
     if is_folder:
         df = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
     else:
