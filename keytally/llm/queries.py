@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from keytally.llm import embedding_dedup
+from keytally.llm.embedding_dedup import op10_embedding_dedup
+from keytally.llm.fingerprints import op7_fingerprints
 from keytally.llm.simhash_dedup import op3_simhash_dedup
+from keytally.llm.source_mix import op6_source_mix
 
 QUERIES = {
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op6_source_mix": op6_source_mix,
+    "op7_fingerprints": op7_fingerprints,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_embedding_dedup": embedding_dedup.ORACLE,
+}
