@@ -5,16 +5,26 @@ from __future__ import annotations
 from keytally.llm import embedding_dedup
 from keytally.llm.embedding_dedup import op10_embedding_dedup
 from keytally.llm.fingerprints import op7_fingerprints
+from keytally.llm.quality_cnn import op1_quality
+from keytally.llm.secrets import op2_secrets
+from keytally.llm.sentencepiece_codec import op8_sentencepiece
 from keytally.llm.simhash_dedup import op3_simhash_dedup
 from keytally.llm.source_mix import op6_source_mix
+from keytally.llm.toxicity import op9_toxicity
 
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op2_secrets": op2_secrets,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op6_source_mix": op6_source_mix,
     "op7_fingerprints": op7_fingerprints,
+    "op8_sentencepiece": op8_sentencepiece,
+    "op9_toxicity": op9_toxicity,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_sentencepiece": op8_sentencepiece,
+    "op9_toxicity": op9_toxicity,
     "op10_embedding_dedup": embedding_dedup.ORACLE,
 }
