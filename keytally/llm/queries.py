@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from keytally.llm import embedding_dedup
+from keytally.llm.ctw_scoring import op4_lm_scoring
 from keytally.llm.embedding_dedup import op10_embedding_dedup
 from keytally.llm.fingerprints import op7_fingerprints
 from keytally.llm.quality_cnn import op1_quality
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_secrets": op2_secrets,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
     "op6_source_mix": op6_source_mix,
     "op7_fingerprints": op7_fingerprints,
     "op8_sentencepiece": op8_sentencepiece,
