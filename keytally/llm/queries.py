@@ -11,6 +11,7 @@ from keytally.llm.secrets import op2_secrets
 from keytally.llm.sentencepiece_codec import op8_sentencepiece
 from keytally.llm.simhash_dedup import op3_simhash_dedup
 from keytally.llm.source_mix import op6_source_mix
+from keytally.llm.suffix_dedup import op5_suffix_dedup
 from keytally.llm.toxicity import op9_toxicity
 
 QUERIES = {
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_secrets": op2_secrets,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_lm_scoring": op4_lm_scoring,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_source_mix": op6_source_mix,
     "op7_fingerprints": op7_fingerprints,
     "op8_sentencepiece": op8_sentencepiece,
