@@ -6,8 +6,10 @@ the smallest hash is its anchor.  Equal windows have equal anchors at equal plac
 a window can only repeat if its anchor's hash does.  Each run of windows that share an
 anchor is a region: the bytes those windows cover.
 
-Deciding.  Regions of a repeated anchor meet in a bucket; equal ones are one row with
-a count.  Their bytes to the right of the anchor, cut into blocks that become symbols
+Deciding.  Equal regions of a repeated anchor are one row with a count (told apart by
+a digest beside the anchor's hash); a region alone with its anchor has only its own
+copies to repeat.  Where an anchor has different regions, one of each is fetched from
+its document, and they meet in a bucket.  Their bytes to the right of the anchor, cut into blocks that become symbols
 in order, are concatenated and put in order by a suffix array (``suffix_array``:
 suffixes are grouped by Lyndon prefix, groups in descending order, through
 previous-smaller pointers; a second pass emits the order).  The bytes to the left,
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from keytally.llm.common import stored, table
 
 LENGTH = 400
-GRAM = 64
+GRAM = 128
 CHUNK = 8 << 20  # bytes of text in a chunk, about
 PIECE = 1 << 22  # window starts worked on at a time
 SYMBOL = 40  # bytes of a region that make a symbol
@@ -223,9 +225,10 @@ def _smallest(v: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(pieces: list[tuple[int, int, np.ndarray]], length: int = LENGTH, gram: int = GRAM):
-    """(key, hash, anchor's place, first and last window start) of each run of windows
-    with one anchor.  ``pieces``: (key, offset in the document, bytes), each of
-    ``length`` bytes or more; together they stay below 2^24 bytes."""
+    """(key, anchor's hash, digest of the region, first window start, anchor's place in
+    the region, region's size) of each run of windows with one anchor.  ``pieces``:
+    (key, offset in the document, bytes), each of ``length`` bytes or more; together
+    they stay below 2^24 bytes."""
     data = np.concatenate([p[2] for p in pieces])
     size = np.array([len(p[2]) for p in pieces])
     end = np.cumsum(size)
@@ -241,7 +244,11 @@ def anchors(pieces: list[tuple[int, int, np.ndarray]], length: int = LENGTH, gra
     at = piece[first]
     shift = np.array([p[1] for p in pieces])[at] - (end - size)[at]
     key = np.array([p[0] for p in pieces])[at]
-    return key, h[place[first]].view(np.int64), place[first] + shift, first + shift, last + shift
+    anchor, size = place[first] - first, last - first + length
+    raw = data.tobytes()
+    digest = np.array([xxhash.xxh3_64_intdigest(raw[a:a + n], p) for a, n, p in
+                       zip(first.tolist(), size.tolist(), anchor.tolist(), strict=True)], dtype=np.uint64)
+    return key, h[place[first]].view(np.int64), digest.view(np.int64), first + shift, anchor, size
 
 
 def _raw(text: str | None) -> bytes:
@@ -249,7 +256,7 @@ def _raw(text: str | None) -> bytes:
 
 
 def _find_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cols = ["key", "h", "pos", "lo", "hi"]
+    cols = ["key", "h", "d", "lo", "anchor", "size"]
     for pdf in batches:
         pieces, size = [], 0
         for key, text in zip(pdf["key"], pdf["text"], strict=True):
@@ -288,55 +295,51 @@ def repeats_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-total // chunk))
-    buckets = max(16, 4 * chunks)
+    buckets = max(64, 2 * chunks)
     # rows that are equal throughout share a key, and so each other's repeats
     rows = rows.withColumn("key", F.xxhash64("id", "text"))
     dealt = rows.withColumn("chunk", F.pmod("key", F.lit(chunks)).cast("int"))
     kind = dict(rows.dtypes)["id"]
 
-    found = rows.select("key", "text").mapInPandas(_find_anchors, "key long, h long, pos long, lo long, hi long")
+    found = stored(rows.select("key", "text").mapInPandas(
+        _find_anchors, "key long, h long, d long, lo long, anchor int, size int"), "anchors")
     twice = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    hits = found.join(twice, "h").withColumn("chunk", F.pmod("key", F.lit(chunks)).cast("int"))
-
-    def take_regions(texts: pd.DataFrame, hit: pd.DataFrame) -> pd.DataFrame:
-        cols = ["h", "d", "key", "lo", "anchor", "region"]
-        if not len(hit) or not len(texts):
+    hits = stored(found.join(twice, "h"), "hits")
+    per = stored(hits.groupBy("h", "d").agg(F.count(F.lit(1)).alias("n"), F.min("anchor").alias("anchor"),
+                                            F.min("size").alias("size"),
+                                            F.min(F.struct("key", "lo")).alias("at")), "regions")
+    mixed = per.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("h")
+    alone = (per.where("n > 1").join(mixed, "h", "left_anti")
+             .select("h", "d", F.lit(0).cast("long").alias("a"), F.col("size").cast("long").alias("b")))
+    wanted = (per.join(mixed, "h", "left_semi")
+              .select("h", "d", "n", "anchor", "size", "at.key", "at.lo",
+                      F.pmod("at.key", F.lit(chunks)).cast("int").alias("chunk")))
+
+    def take_regions(texts: pd.DataFrame, want: pd.DataFrame) -> pd.DataFrame:
+        cols = ["h", "d", "n", "anchor", "region"]
+        if not len(want) or not len(texts):
             return pd.DataFrame([], columns=cols)
-        raw = {k: _raw(t) for k, t in zip(texts["key"], texts["text"], strict=True)}
-        out = []
-        for r in hit.itertuples():
-            region = raw[r.key][r.lo:r.hi + LENGTH]
-            digest = xxhash.xxh3_128_digest(region + (r.pos - r.lo).to_bytes(8, "little"))
-            out.append((r.h, digest, r.key, r.lo, r.pos - r.lo, region))
-        return pd.DataFrame(out, columns=cols)
-
-    placed = stored(dealt.select("chunk", "key", "text").groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInPandas(
-        take_regions, "h long, d binary, key long, lo long, anchor int, region binary"), "regions")
-    distinct = (placed.groupBy("h", "d", "anchor").agg(F.count(F.lit(1)).alias("n"), F.first("region").alias("region"))
-                .withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)).cast("int")))
+        keys = set(want["key"])
+        raw = {k: _raw(t) for k, t in zip(texts["key"], texts["text"], strict=True) if k in keys}
+        return pd.DataFrame([(r.h, r.d, r.n, r.anchor, raw[r.key][r.lo:r.lo + r.size]) for r in want.itertuples()],
+                            columns=cols)
+
+    regions = (dealt.groupBy("chunk").cogroup(wanted.groupBy("chunk"))
+               .applyInPandas(take_regions, "h long, d long, n long, anchor int, region binary")
+               .withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)).cast("int")))
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.reset_index(drop=True)
-        count, anchor = pdf["n"].to_numpy(), pdf["anchor"].to_numpy().astype(np.int64)
-        regions = pdf["region"].tolist()
-        size = np.array([len(r) for r in regions])
-        # a region alone with its anchor has only its own copies to repeat
-        alone = (pdf.groupby("h")["h"].transform("size") == 1).to_numpy()
-        out, whole = [], np.flatnonzero(alone & (count > 1))
-        for k in whole:
-            out.append((pdf["h"][k], pdf["d"][k], 0, int(size[k])))
-        rest = np.flatnonzero(~alone)
-        if len(rest):
-            hit = repeated_windows([regions[k] for k in rest], anchor[rest], count[rest])
-            edge = np.diff(np.pad(hit, ((0, 0), (1, 1))).astype(np.int8), axis=1)
-            row, first = np.nonzero(edge == 1)
-            _, stop = np.nonzero(edge == -1)
-            for k, a, b in zip(rest[row], first, stop - 1, strict=True):  # windows a..b bytes before the anchor
-                out.append((pdf["h"][k], pdf["d"][k], int(anchor[k] - b), int(anchor[k] - a + LENGTH)))
-        return pd.DataFrame(out, columns=["h", "d", "a", "b"])
-
-    runs = distinct.groupBy("bucket").applyInPandas(decide, "h long, d binary, a long, b long")
-    spans = (placed.select("h", "d", "key", "lo").join(runs, ["h", "d"])
+        h, d = pdf["h"].to_numpy(), pdf["d"].to_numpy()
+        anchor = pdf["anchor"].to_numpy().astype(np.int64)
+        hit = repeated_windows(pdf["region"].tolist(), anchor, pdf["n"].to_numpy())
+        edge = np.diff(np.pad(hit, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        row, first = np.nonzero(edge == 1)  # runs of windows first..stop-1 bytes before the anchor
+        _, stop = np.nonzero(edge == -1)
+        return pd.DataFrame({"h": h[row], "d": d[row], "a": anchor[row] - (stop - 1),
+                             "b": anchor[row] - first + LENGTH})
+
+    runs = regions.groupBy("bucket").applyInPandas(decide, "h long, d long, a long, b long").unionByName(alone)
+    spans = (hits.select("h", "d", "key", "lo").join(runs, ["h", "d"])
              .select(F.pmod("key", F.lit(chunks)).cast("int").alias("chunk"), "key",
                      (F.col("lo") + F.col("a")).alias("a"), (F.col("lo") + F.col("b")).alias("b")))
 
