@@ -303,7 +303,8 @@ def repeats_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     found = stored(rows.select("key", "text").mapInPandas(
         _find_anchors, "key long, h long, d long, lo long, anchor int, size int"), "anchors")
-    twice = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # written: the join below can then split the rows of a very frequent anchor
+    twice = stored(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "repeated")
     hits = stored(found.join(twice, "h"), "hits")
     per = stored(hits.groupBy("h", "d").agg(F.count(F.lit(1)).alias("n"), F.min("anchor").alias("anchor"),
                                             F.min("size").alias("size"),
