@@ -25,15 +25,17 @@ from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keytally.llm.common import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"  # the file's space mark
-REMEMBERED = 300_000  # parts remembered by a worker
+REMEMBERED = 100_000  # parts remembered by a worker
+ROWS = 500  # rows that a worker encodes before it hands them on
 _PARTS = re.compile(" *[^ ]+| +")
 
 
@@ -124,36 +126,48 @@ class Codec:
     def decode(self, ids) -> str:
         if not self._ready:
             self._build()
-        text = b"".join(map(self.raw.__getitem__, ids.tolist() if hasattr(ids, "tolist") else ids))
+        text = b"".join(map(self.raw.__getitem__, ids))
         return text[1:].decode("utf-8", "replace")
 
 
-def _encode_column(text: str, codec: Codec):
-    def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield pd.Series([None if t is None else codec.encode(t) for t in s], dtype=object)
+def _with_column(df: DataFrame, source: str, out: str, kind: T.DataType, make) -> DataFrame:
+    """``df`` with column ``out`` made from ``source`` by ``make`` (list -> Arrow array),
+    ``ROWS`` rows at a time; the other columns pass through as they are."""
+    names = df.columns
+    kept = [k for k, c in enumerate(names) if c.lower() != out.lower()]
+    at = [c.lower() for c in names].index(source.lower())
+    schema = T.StructType([df.schema.fields[k] for k in kept] + [T.StructField(out, kind)])
 
-    apply.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(apply, "array<int>")(F.col(text))
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(0, batch.num_rows, ROWS):
+                part = batch.slice(r, ROWS)
+                yield pa.RecordBatch.from_arrays([part.column(k) for k in kept] + [make(part.column(at).to_pylist())],
+                                                 names=[names[k] for k in kept] + [out])
 
+    return df.mapInArrow(apply, schema)
 
-def _decode_column(ids: str, codec: Codec):
-    def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield pd.Series([None if x is None else codec.decode(x) for x in s], dtype=object)
 
-    apply.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(apply, "string")(F.col(ids))
+def encode(docs: DataFrame, text_col: str = "text", out: str = "ids", codec: Codec | None = None) -> DataFrame:
+    """``docs`` with the piece ids of ``text_col`` as a further, last column (replacing
+    one of that name)."""
+    codec = codec or Codec.from_file()
 
+    def make(texts: list[str | None]) -> pa.Array:
+        ids = [None if t is None else codec.encode(t) for t in texts]
+        return pa.array(ids, pa.list_(pa.int32()))
 
-def encode(docs: DataFrame, text_col: str = "text", out: str = "ids", codec: Codec | None = None) -> DataFrame:
-    """``docs`` with the piece ids of ``text_col`` as a further column (replacing one
-    of that name)."""
-    return docs.withColumn(out, _encode_column(text_col, codec or Codec.from_file()))
+    return _with_column(docs, text_col, out, T.ArrayType(T.IntegerType()), make)
 
 
 def decode(tokens: DataFrame, ids_col: str = "ids", out: str = "decoded", codec: Codec | None = None) -> DataFrame:
-    return tokens.withColumn(out, _decode_column(ids_col, codec or Codec.from_file()))
+    """``tokens`` with the text of ``ids_col`` as a further, last column."""
+    codec = codec or Codec.from_file()
+
+    def make(rows: list[list[int] | None]) -> pa.Array:
+        return pa.array([None if x is None else codec.decode(x) for x in rows], pa.string())
+
+    return _with_column(tokens, ids_col, out, T.StringType(), make)
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,14 +3,14 @@ on ordinary and one on toxic text, shortens a window more.
 
 Training takes a bounded sample of labelled documents.  The ordinary dictionary is
 trained on windows of documents labelled 0; the toxic one on the passages of
-documents labelled 1 around words that those documents use far more often, in ever
-new surroundings (a word of a copied passage always follows the same one).  Passages
-that the trainer leaves out are appended.  The toxic dictionary is laid over the
-ordinary one, so that the two differ by the toxic material only and ordinary text
-compresses alike under both.
+documents labelled 1 that those documents hold far more often: words of the same
+beginning, in ever new surroundings (a word of copied text always follows the same
+one).  Passages that the trainer leaves out are appended.  The ordinary one is laid
+over the toxic one, so that the two differ by the toxic material only and ordinary
+text compresses alike under both.
 
 Every window of a text (``WINDOW`` bytes, ``STEP`` apart, to the end) is compressed
-with both, literals uncoded; the bytes saved by the toxic dictionary are the window's
+with both; the bytes saved by the toxic dictionary are the window's
 gain.  The two largest gains, the number of windows of some gain and of all windows
 go through a logistic function fitted on the sample and shifted so that the best
 threshold of the sample lies at 0.7.
@@ -36,14 +36,15 @@ from pyspark.sql import functions as F
 from keytally.llm.common import fold, labelled_sample, table
 
 WINDOW, STEP = 64, 48
-#: A fast search and no literal coding: a window's length then follows its matches.
-SEARCH = {"window_log": 14, "hash_log": 13, "chain_log": 13, "search_log": 4, "min_match": 5, "target_length": 1,
-          "strategy": zstandard.STRATEGY_FAST}
+#: A search for matches only, hardly any literal coding to blur them.
+SEARCH = {"window_log": 16, "hash_log": 16, "chain_log": 16, "search_log": 5, "min_match": 5, "target_length": 1,
+          "strategy": zstandard.STRATEGY_GREEDY}
 PER_CLASS = 1500  # labelled training documents of each class at most
 ORDINARY_SIZE, TOXIC_SIZE, TOXIC_MOST = 4096, 1024, 8192
-ODDS = 2.0  # log odds from which a word marks a toxic passage
-VARIED = 0.5  # distinct words before it, as a share of its uses
-MARGIN = 1  # bytes kept around such a word
+STEM = 4  # bytes of the beginnings of words that are counted
+ODDS = 2.5  # log odds from which a beginning marks a toxic passage
+COMMON = 100  # ... if one in so many documents labelled 1 has it
+VARIED = 0.2  # distinct words before it, as a share of its uses
 GAIN = 5  # bytes from which a window's gain is counted
 THRESHOLD = 0.7
 MODULUS, HELD = 3, 1
@@ -60,25 +61,30 @@ def windows(text: bytes) -> list[bytes]:
 
 
 def _words(text: bytes) -> list[bytes]:
-    return text.replace(b".", b" ").replace(b",", b" ").split()
+    return [w + b" " for w in text.replace(b".", b" ").replace(b",", b" ").split()]
 
 
-def marking_words(sample: list[tuple[bytes, int]]) -> set[bytes]:
-    """Words in far more toxic than ordinary documents of the sample, in varied places."""
-    docs, n, before = (Counter(), Counter()), [0, 0], {}
+def marked_passages(sample: list[tuple[bytes, int]]) -> list[bytes]:
+    """Passages of the documents labelled 1, each as often as it is used."""
+    docs, n, uses, around = (Counter(), Counter()), [0, 0], {}, {}
     for text, y in sample:
         n[y] += 1
         words = _words(text)
-        docs[y].update(set(words))
+        docs[y].update({w[:STEM] for w in words})
         if y:
-            for a, b in zip([b"", *words], words, strict=False):
-                before.setdefault(b, Counter())[a] += 1
+            for before, w in zip([b"", *words], words, strict=False):
+                uses.setdefault(w[:STEM], []).append(w)
+                around.setdefault(w[:STEM], set()).add(before)
 
-    def odds(w: bytes) -> float:
-        return math.log((docs[1][w] + 0.5) / (n[1] + 1)) - math.log((docs[0][w] + 0.5) / (n[0] + 1))
+    def odds(p: bytes) -> float:
+        return math.log((docs[1][p] + 0.5) / (n[1] + 1)) - math.log((docs[0][p] + 0.5) / (n[0] + 1))
 
-    return {w for w, k in docs[1].items() if k >= max(3, n[1] // 100) and odds(w) >= ODDS
-            and len(before[w]) >= VARIED * sum(before[w].values())}
+    out = []
+    for p, k in docs[1].items():
+        if k < max(3, n[1] // COMMON) or odds(p) < ODDS or len(around[p]) < VARIED * len(uses[p]):
+            continue
+        out += [b" " + w for w in uses[p]]
+    return out
 
 
 def _trained(size: int, samples: list[bytes], **shape: int) -> bytes:
@@ -117,7 +123,7 @@ class Model:
 
     def features(self, text: bytes) -> list[float]:
         if self._pair is None:
-            self._pair = (_compressor(self.ordinary), _compressor(self.ordinary + self.toxic))
+            self._pair = (_compressor(self.ordinary), _compressor(self.toxic + self.ordinary))
         plain, both = self._pair[0].compress, self._pair[1].compress
         best = second = some = 0
         parts = windows(text)
@@ -168,18 +174,8 @@ def train(sample: list[tuple[str, int]]) -> Model:
     y = np.array([y for _, y in data], dtype=float)
     if not len(y) or y.min() == y.max():
         return Model(b"", b"", None, float(y.mean()) if len(y) else 0.0)
-    words = marking_words(data)
-    plain, marked = [], []
-    for text, label in data:
-        if not label:
-            plain += [w for w in windows(text) if len(w) >= 8][:64]
-            continue
-        at = 0
-        for word in _words(text):
-            at = text.index(word, at)
-            if word in words:
-                marked.append(text[max(0, at - MARGIN):at + len(word) + MARGIN])
-            at += len(word)
+    plain = [w for text, label in data if not label for w in windows(text)[:64] if len(w) >= 8]
+    marked = marked_passages(data)
     model = Model(_trained(ORDINARY_SIZE, plain), _with_left_out(_trained(TOXIC_SIZE, marked, k=16, d=6), marked))
     x = np.array([model.features(t) for t, _ in data])
     w = logistic(x, y)
