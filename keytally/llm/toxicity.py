@@ -12,8 +12,8 @@ text compresses alike under both.
 Every window of a text (``WINDOW`` bytes, ``STEP`` apart, to the end) is compressed
 with both; the bytes saved by the toxic dictionary are the window's
 gain.  The two largest gains, the number of windows of some gain and of all windows
-go through a logistic function fitted on the sample and shifted so that the best
-threshold of the sample lies at 0.7.
+go through a logistic function, fitted on halves of the sample measured with the other
+half's dictionaries, and shifted so that the best threshold lies at 0.7.
 
 Defined cases: a null or empty text has one empty window, no gain, and the score of
 that; a sample without both classes gives every document the share of class 1 in it
@@ -45,6 +45,7 @@ STEM = 4  # bytes of the beginnings of words that are counted
 ODDS = 2.5  # log odds from which a beginning marks a toxic passage
 COMMON = 100  # ... if one in so many documents labelled 1 has it
 VARIED = 0.2  # distinct words before it, as a share of its uses
+FEATURES = 5
 GAIN = 5  # bytes from which a window's gain is counted
 THRESHOLD = 0.7
 MODULUS, HELD = 3, 1
@@ -169,15 +170,24 @@ def shift_to_threshold(z: np.ndarray, y: np.ndarray, threshold: float) -> float:
     return math.log(threshold / (1 - threshold)) - float(edge[best].mean())
 
 
+def dictionaries(data: list[tuple[bytes, int]]) -> Model:
+    plain = [w for text, label in data if not label for w in windows(text)[:64] if len(w) >= 8]
+    marked = marked_passages(data)
+    return Model(_trained(ORDINARY_SIZE, plain), _with_left_out(_trained(TOXIC_SIZE, marked, k=16, d=6), marked))
+
+
 def train(sample: list[tuple[str, int]]) -> Model:
     data = [(_bytes(t), y) for t, y in sample]
     y = np.array([y for _, y in data], dtype=float)
     if not len(y) or y.min() == y.max():
         return Model(b"", b"", None, float(y.mean()) if len(y) else 0.0)
-    plain = [w for text, label in data if not label for w in windows(text)[:64] if len(w) >= 8]
-    marked = marked_passages(data)
-    model = Model(_trained(ORDINARY_SIZE, plain), _with_left_out(_trained(TOXIC_SIZE, marked, k=16, d=6), marked))
-    x = np.array([model.features(t) for t, _ in data])
+    # each half is measured with the dictionaries of the other, as unseen text will be
+    halves = (np.arange(len(y)) % 2).astype(bool)
+    x = np.empty((len(y), FEATURES))
+    for half in (halves, ~halves):
+        other = dictionaries([data[k] for k in np.flatnonzero(~half)])
+        x[half] = [other.features(data[k][0]) for k in np.flatnonzero(half)]
+    model = dictionaries(data)
     w = logistic(x, y)
     w[0] += shift_to_threshold(x @ w, y, THRESHOLD)
     model.weights = w.tolist()
