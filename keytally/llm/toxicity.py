@@ -4,7 +4,7 @@ on ordinary and one on toxic text, shortens a window more.
 Training takes a bounded sample of labelled documents.  The ordinary dictionary is
 trained on windows of documents labelled 0; the toxic one on the passages of
 documents labelled 1 that those documents hold far more often: words of the same
-beginning, in ever new surroundings (a word of copied text always follows the same
+beginning or, where this tells unseen documents apart better, also whole words, in ever new surroundings (a word of copied text always follows the same
 one).  Passages that the trainer leaves out are appended.  The ordinary one is laid
 over the toxic one, so that the two differ by the toxic material only and ordinary
 text compresses alike under both.
@@ -41,7 +41,7 @@ SEARCH = {"window_log": 16, "hash_log": 16, "chain_log": 16, "search_log": 5, "m
           "strategy": zstandard.STRATEGY_GREEDY}
 PER_CLASS = 1500  # labelled training documents of each class at most
 ORDINARY_SIZE, TOXIC_SIZE, TOXIC_MOST = 4096, 1024, 8192
-STEM = 4  # bytes of the beginnings of words that are counted
+STEM = 4  # bytes of the beginnings that are counted beside whole words
 ODDS = 2.5  # log odds from which a beginning marks a toxic passage
 COMMON = 100  # ... if one in so many documents labelled 1 has it
 VARIED = 0.2  # distinct words before it, as a share of its uses
@@ -65,27 +65,32 @@ def _words(text: bytes) -> list[bytes]:
     return [w + b" " for w in text.replace(b".", b" ").replace(b",", b" ").split()]
 
 
-def marked_passages(sample: list[tuple[bytes, int]]) -> list[bytes]:
+def _forms(word: bytes, whole: bool) -> tuple[bytes, ...]:
+    """What is counted of a word: its beginning and, with ``whole``, the word."""
+    return (word[:STEM], word) if whole else (word[:STEM],)
+
+
+def marked_passages(sample: list[tuple[bytes, int]], whole: bool) -> list[bytes]:
     """Passages of the documents labelled 1, each as often as it is used."""
-    docs, n, uses, around = (Counter(), Counter()), [0, 0], {}, {}
+    docs, n = (Counter(), Counter()), [0, 0]
+    uses, around, times = Counter(), {}, Counter()
     for text, y in sample:
         n[y] += 1
         words = _words(text)
-        docs[y].update({w[:STEM] for w in words})
+        docs[y].update({p for w in set(words) for p in _forms(w, whole)})
         if y:
+            uses.update(words)
             for before, w in zip([b"", *words], words, strict=False):
-                uses.setdefault(w[:STEM], []).append(w)
-                around.setdefault(w[:STEM], set()).add(before)
+                for p in _forms(w, whole):
+                    times[p] += 1
+                    around.setdefault(p, set()).add(before)
 
     def odds(p: bytes) -> float:
         return math.log((docs[1][p] + 0.5) / (n[1] + 1)) - math.log((docs[0][p] + 0.5) / (n[0] + 1))
 
-    out = []
-    for p, k in docs[1].items():
-        if k < max(3, n[1] // COMMON) or odds(p) < ODDS or len(around[p]) < VARIED * len(uses[p]):
-            continue
-        out += [b" " + w for w in uses[p]]
-    return out
+    marks = {p for p, k in docs[1].items() if k >= max(3, n[1] // COMMON) and odds(p) >= ODDS
+             and len(around[p]) >= VARIED * times[p]}
+    return [b" " + w for w, k in uses.items() if marks.intersection(_forms(w, whole)) for _ in range(k)]
 
 
 def _trained(size: int, samples: list[bytes], **shape: int) -> bytes:
@@ -170,9 +175,17 @@ def shift_to_threshold(z: np.ndarray, y: np.ndarray, threshold: float) -> float:
     return math.log(threshold / (1 - threshold)) - float(edge[best].mean())
 
 
-def dictionaries(data: list[tuple[bytes, int]]) -> Model:
+def ranked_right(z: np.ndarray, y: np.ndarray) -> float:
+    """The share of pairs of both classes that ``z`` puts in the right order."""
+    rank = np.empty(len(z))
+    rank[np.argsort(z, kind="stable")] = np.arange(len(z))
+    ones = y.sum()
+    return (rank[y == 1].sum() - ones * (ones - 1) / 2) / (ones * (len(y) - ones))
+
+
+def dictionaries(data: list[tuple[bytes, int]], whole: bool) -> Model:
     plain = [w for text, label in data if not label for w in windows(text)[:64] if len(w) >= 8]
-    marked = marked_passages(data)
+    marked = marked_passages(data, whole)
     return Model(_trained(ORDINARY_SIZE, plain), _with_left_out(_trained(TOXIC_SIZE, marked, k=16, d=6), marked))
 
 
@@ -181,14 +194,21 @@ def train(sample: list[tuple[str, int]]) -> Model:
     y = np.array([y for _, y in data], dtype=float)
     if not len(y) or y.min() == y.max():
         return Model(b"", b"", None, float(y.mean()) if len(y) else 0.0)
-    # each half is measured with the dictionaries of the other, as unseen text will be
+    # each half is measured with the dictionaries of the other, as unseen text will be;
+    # the way of marking passages that tells the classes apart better is taken
     halves = (np.arange(len(y)) % 2).astype(bool)
-    x = np.empty((len(y), FEATURES))
-    for half in (halves, ~halves):
-        other = dictionaries([data[k] for k in np.flatnonzero(~half)])
-        x[half] = [other.features(data[k][0]) for k in np.flatnonzero(half)]
-    model = dictionaries(data)
-    w = logistic(x, y)
+    best = None
+    for whole in (False, True):
+        x = np.empty((len(y), FEATURES))
+        for half in (halves, ~halves):
+            other = dictionaries([data[k] for k in np.flatnonzero(~half)], whole)
+            x[half] = [other.features(data[k][0]) for k in np.flatnonzero(half)]
+        w = logistic(x, y)
+        good = ranked_right(x @ w, y)
+        if best is None or good > best[0]:
+            best = (good, whole, x, w)
+    _, whole, x, w = best
+    model = dictionaries(data, whole)
     w[0] += shift_to_threshold(x @ w, y, THRESHOLD)
     model.weights = w.tolist()
     return model
