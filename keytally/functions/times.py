@@ -72,7 +72,8 @@ def iso_instant(ts) -> Column:
     frac = (F.when(us == F.lit(0), F.lit(""))
             .when(us % F.lit(1000) == F.lit(0), F.format_string(".%03d", (us / F.lit(1000)).cast("long")))
             .otherwise(F.format_string(".%06d", us)))
-    return F.concat(base, frac, F.lit("Z"))
+    # format_string would print a null as text
+    return F.when(t.isNotNull(), F.concat(base, frac, F.lit("Z")))
 
 
 def epoch_ntz() -> Column:

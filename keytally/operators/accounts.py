@@ -25,7 +25,7 @@ from keytally.functions.times import epoch_ntz, is_iso_instant, parse_iso_instan
 from keytally.operators.changelog import running
 
 
-def _with_parsed(records: DataFrame, key: str, value: str) -> DataFrame:
+def _with_parsed(records: DataFrame, key: str, value: str, need_time: bool = True) -> DataFrame:
     """Records plus ``_amount``, ``_time`` and ``_reason`` (null for a good record).
 
     Staged projections: the JSON is parsed once into ``_j`` and the time text
@@ -41,29 +41,34 @@ def _with_parsed(records: DataFrame, key: str, value: str) -> DataFrame:
     reason = (F.when(F.col(key).isNull(), F.lit("null key"))
               .when(F.col(value).isNull(), F.lit("null value"))
               .when(F.col("_nojson"), F.lit("not a JSON object"))
-              .when(F.col("_amount").isNull(), F.lit("amount missing or not an integer"))
-              .when(F.col("_tt").isNull(), F.lit("time missing"))
-              .when(~F.col("_iso"), F.lit("time not an ISO-8601 instant"))
-              .when(F.col("_time").isNull(), F.lit("time not a valid instant")))
+              .when(F.col("_amount").isNull(), F.lit("amount missing or not an integer")))
+    if need_time:
+        reason = (reason.when(F.col("_tt").isNull(), F.lit("time missing"))
+                  .when(~F.col("_iso"), F.lit("time not an ISO-8601 instant"))
+                  .when(F.col("_time").isNull(), F.lit("time not a valid instant")))
     return timed.select(*records.columns, "_amount", "_time", reason.alias("_reason"))
 
 
 def parse_transactions(records: DataFrame, key: str = "key", value: str = "value", order: str = "offset",
-                       on_bad: str = "fail") -> DataFrame:
-    """(offset, name, amount long, time timestamp_ntz UTC, ms precision)."""
-    p = _with_parsed(records, key, value)
+                       on_bad: str = "fail", need_time: bool = True) -> DataFrame:
+    """(offset, name, amount long, time timestamp_ntz UTC, ms precision).
+
+    A null key or value is not an error: keyed operators skip such records.  With
+    ``need_time=False`` (balances, which read only the amount) a record without a
+    valid time is good and its time is null.
+    """
+    p = _with_parsed(records, key, value, need_time).where(F.col(key).isNotNull() & F.col(value).isNotNull())
     if on_bad == "fail":
-        amount = F.when(F.col("_reason").isNotNull(),
-                        F.raise_error(F.concat(F.lit("bad transaction at offset "), F.col(order).cast("string"),
-                                               F.lit(": "), F.col("_reason")))).otherwise(F.col("_amount"))
-        # a null key is not an error: keyed operators skip such records
-        p = p.where(F.col(key).isNotNull())
+        # a filter, so that the check runs whatever columns the plan reads
+        stop = F.raise_error(F.concat(F.lit("bad transaction at offset "),
+                                      F.coalesce(F.col(order).cast("string"), F.lit("null")),
+                                      F.lit(": "), F.col("_reason"))).cast("boolean")
+        p = p.where(F.when(F.col("_reason").isNotNull(), stop).otherwise(F.lit(True)))
     elif on_bad == "drop":
         p = p.where(F.col("_reason").isNull())
-        amount = F.col("_amount")
     else:
         raise ValueError("on_bad must be 'fail' or 'drop' (bad_transactions() quarantines)")
-    return p.select(F.col(order).alias("offset"), F.col(key).alias("name"), amount.cast("long").alias("amount"),
+    return p.select(F.col(order).alias("offset"), F.col(key).alias("name"), F.col("_amount").cast("long").alias("amount"),
                     F.col("_time").alias("time"))
 
 

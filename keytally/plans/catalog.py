@@ -44,8 +44,8 @@ def _pairs(spark, sf_dir):
     return split_pairs(topics.colour_lines(_events(spark, sf_dir)), allowed=COLOUR_VALUES)
 
 
-def _transactions(spark, sf_dir):
-    return accounts.parse_transactions(topics.transaction_records(_events(spark, sf_dir)))
+def _transactions(spark, sf_dir, need_time=True):
+    return accounts.parse_transactions(topics.transaction_records(_events(spark, sf_dir)), need_time=need_time)
 
 
 def _event_bounds(spark, sf_dir):
@@ -113,7 +113,7 @@ def bad_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def account_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return accounts.balances(_transactions(spark, sf_dir))
+    return accounts.balances(_transactions(spark, sf_dir, need_time=False))
 
 
 def account_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +121,7 @@ def account_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = accounts.running_balances(_transactions(spark, sf_dir), bounds=_event_bounds(spark, sf_dir))
+    out = accounts.running_balances(_transactions(spark, sf_dir, need_time=False), bounds=_event_bounds(spark, sf_dir))
     return out.withColumnRenamed("offset", "event_id")
 
 

@@ -81,7 +81,7 @@ def build(app: str, recs: DataFrame, allowed: Sequence[str], on_bad: str = "fail
         pairs = split_pairs(recs, allowed=allowed)
         return current_value_deltas(pairs).groupBy("value").agg(F.sum("delta").alias("count")), ["value"]
     if app == "balance":
-        return accounts.balances(accounts.parse_transactions(recs, on_bad=on_bad)), ["name"]
+        return accounts.balances(accounts.parse_transactions(recs, on_bad=on_bad, need_time=False)), ["name"]
     if app == "summary":
         return accounts.summaries(accounts.parse_transactions(recs, on_bad=on_bad)), ["name"]
     if app == "publish-transactions":
@@ -110,9 +110,18 @@ def start_log(spark: SparkSession, args, app_id: str, recs: DataFrame):
     if args.app == "colour-count-log":
         pairs = split_pairs(recs, allowed=tuple(args.allowed.split(",")))
         return changelogs.current_value_changelog_job(pairs, **kw).query
+    on_bad = "drop" if args.on_bad == "quarantine" else args.on_bad
+    if args.on_bad == "quarantine":
+        _quarantine(recs, app_id, args)
     if args.app == "balance-log":
-        return changelogs.running_balance_job(recs, **kw).query
-    return changelogs.running_summary_job(recs, **kw).query
+        return changelogs.running_balance_job(recs, on_bad=on_bad, **kw).query
+    return changelogs.running_summary_job(recs, on_bad=on_bad, **kw).query
+
+
+def _quarantine(recs: DataFrame, app_id: str, args):
+    """A second query that keeps the bad records (see :func:`.jobs.quarantine_job`)."""
+    from keytally.streaming.jobs import quarantine_job
+    return quarantine_job(recs, app_id, available_now=args.available_now, processing_time=args.trigger)
 
 
 def start(spark: SparkSession, args):
@@ -123,10 +132,12 @@ def start(spark: SparkSession, args):
         return start_log(spark, args, app_id, recs)
     quarantine = args.on_bad == "quarantine" and args.app in ("balance", "summary")
     out, keys = build(args.app, recs, tuple(args.allowed.split(",")), "drop" if quarantine else args.on_bad)
-    if quarantine:  # a second query keeps the bad records (see jobs.quarantine_job)
-        from keytally.streaming.jobs import quarantine_job
-        quarantine_job(recs, app_id, available_now=args.available_now, processing_time=args.trigger)
-    sink = UpsertSink(args.output_path, out.schema, keys) if args.output_path else None
+    if quarantine:
+        _quarantine(recs, app_id, args)
+    sink = None
+    if args.output_path:  # published records are a log: every batch is kept, none is folded by key
+        log = args.app == "publish-transactions"
+        sink = UpsertSink(args.output_path) if log else UpsertSink(args.output_path, out.schema, keys)
     mode = "append" if args.app == "publish-transactions" else "update"
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
@@ -187,11 +198,22 @@ def parse_args(argv=None):
     return a
 
 
+def wait_for_all(spark: SparkSession) -> None:
+    """Until every running query has ended; the first that fails raises here."""
+    started = spark.streams.active
+    while spark.streams.active:
+        spark.streams.awaitAnyTermination()
+        spark.streams.resetTerminated()
+    for query in started:
+        if query.exception() is not None:
+            raise query.exception()
+
+
 def main(argv=None) -> None:
     args = parse_args(argv)
     spark = SparkSession.builder.appName(args.application_id or DEFAULT_IDS[args.app]).getOrCreate()
     start(spark, args)
-    spark.streams.awaitAnyTermination()
+    wait_for_all(spark)
 
 
 if __name__ == "__main__":

@@ -125,7 +125,7 @@ def running_balance_job(records: DataFrame, job_name: str = "running_balance", *
     """JSON transactions -> (offset, name, balance) per transaction."""
     spark = records.sparkSession
     base = base or job_dir(spark, job_name, fresh=fresh)
-    tx = accounts.parse_transactions(records, on_bad=on_bad)
+    tx = accounts.parse_transactions(records, on_bad=on_bad, need_time=False)
 
     def finish(out):
         return out.select("offset", "name", F.col("balance").cast("long").alias("balance"))

@@ -120,15 +120,16 @@ def quarantine_job(records: DataFrame, job_name: str, *, fresh: bool = False, av
     return w.start(), f"{base}/table"
 
 
-def _parsed(records: DataFrame, on_bad: str) -> DataFrame:
-    return accounts.parse_transactions(records, on_bad="drop" if on_bad == "quarantine" else on_bad)
+def _parsed(records: DataFrame, on_bad: str, need_time: bool = True) -> DataFrame:
+    return accounts.parse_transactions(records, on_bad="drop" if on_bad == "quarantine" else on_bad,
+                                       need_time=need_time)
 
 
 def account_balance_job(records: DataFrame, job_name: str = "account_balance", on_bad: str = "fail",
                         **kw) -> StreamJob:
     """JSON transactions -> (name, balance).  ``on_bad``: fail, drop or
     quarantine (start :func:`quarantine_job` next to it)."""
-    return start_upsert(accounts.balances(_parsed(records, on_bad)), ["name"], job_name, **kw)
+    return start_upsert(accounts.balances(_parsed(records, on_bad, need_time=False)), ["name"], job_name, **kw)
 
 
 def account_summary_job(records: DataFrame, job_name: str = "account_summary", on_bad: str = "fail",

@@ -9,14 +9,14 @@ Reading takes, per key, the row of the highest batch id.  A row whose value
 columns are all null is a delete.
 
 :func:`compact` folds all batches up to a *committed* batch ``n`` into one
-snapshot written as ``batch_id=<n>`` (every key, deletes included) and leaves a
-``_snapshot_<n>`` marker (ignored by Spark's reader, like every ``_`` name).
-Readers start at the newest snapshot at or below the batch they read, so reads
-stay cheap on a long-running job; older folders can be removed by whoever owns
-the table.  Only a committed batch may be compacted: a replay of an
-uncommitted batch would overwrite its folder again.  :class:`UpsertSink`
-compacts by itself every ``compact_every`` batches, always the batch before the
-running one (which is committed, or the running one would not have started).
+snapshot in a folder of its own, ``_snapshots/<n>`` (every key, deletes
+included).  Batch folders are never written again by it, so a crash at any
+point loses nothing: a snapshot counts only once Spark's ``_SUCCESS`` file is
+there.  Readers take the newest snapshot at or below the batch they read and
+the batch folders after it, by name; older folders can be removed by whoever
+owns the table.  :class:`UpsertSink` compacts by itself every
+``compact_every`` batches, always the batch before the running one (which is
+committed, or the running one would not have started).
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 BATCH_COL = "batch_id"
 
 
-SNAPSHOT_PREFIX = "_snapshot_"
+SNAPSHOTS = "_snapshots"
 DEFAULT_COMPACT_EVERY = 100
 
 
@@ -39,15 +39,24 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
-def latest_snapshot(spark: SparkSession, path: str, up_to: int | None = None) -> int | None:
-    """Newest snapshot id at or below ``up_to`` (a listing of marker names only)."""
+def _numbers(spark: SparkSession, path: str, prefix: str = "") -> list[int]:
+    """The numbers of the folders ``<prefix><n>`` in ``path`` (one listing of names)."""
     fs, jpath = _fs(spark, path)
     if not fs.exists(jpath):
-        return None
-    ids = [int(st.getPath().getName()[len(SNAPSHOT_PREFIX):]) for st in fs.listStatus(jpath)
-           if st.getPath().getName().startswith(SNAPSHOT_PREFIX)]
-    ids = [i for i in ids if up_to is None or i <= up_to]
-    return max(ids) if ids else None
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(jpath)]
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].isdigit())
+
+
+def latest_snapshot(spark: SparkSession, path: str, up_to: int | None = None) -> int | None:
+    """Newest complete snapshot at or below ``up_to``."""
+    base = f"{path.rstrip('/')}/{SNAPSHOTS}"
+    for n in reversed(_numbers(spark, base)):
+        if up_to is None or n <= up_to:
+            fs, done = _fs(spark, f"{base}/{n}/_SUCCESS")
+            if fs.exists(done):
+                return n
+    return None
 
 
 class UpsertSink:
@@ -90,14 +99,23 @@ def read_upsert(spark: SparkSession, path: str, schema: StructType, keys: Sequen
     ``up_to`` ignores later batches.
     """
     keys = list(keys)
-    if since == "snapshot":
-        since = latest_snapshot(spark, path, up_to)
-    values = [f.name for f in schema.fields if f.name not in keys]
-    raw = spark.read.schema(_with_batch(schema)).parquet(path)
+    base = path.rstrip("/")
+    snapshot = None
     if since is not None:
-        raw = raw.where(F.col(BATCH_COL) >= F.lit(since))
-    if up_to is not None:
-        raw = raw.where(F.col(BATCH_COL) <= F.lit(up_to))
+        snapshot = latest_snapshot(spark, base, up_to if since == "snapshot" else min(since, up_to or since))
+    first = since if isinstance(since, int) else 0
+    if snapshot is not None:
+        first = snapshot + 1
+    values = [f.name for f in schema.fields if f.name not in keys]
+    ids = [n for n in _numbers(spark, base, f"{BATCH_COL}=") if n >= first and (up_to is None or n <= up_to)]
+    if ids:  # only the folders that count are listed
+        raw = (spark.read.schema(_with_batch(schema)).option("basePath", base)
+               .parquet(*[f"{base}/{BATCH_COL}={n}" for n in ids]))
+    else:
+        raw = spark.createDataFrame([], _with_batch(schema))
+    if snapshot is not None:
+        raw = raw.unionByName(spark.read.schema(schema).parquet(f"{base}/{SNAPSHOTS}/{snapshot}")
+                              .withColumn(BATCH_COL, F.lit(snapshot).cast("long")))
     latest = raw.groupBy(*keys).agg(
         F.max_by(F.struct(*[F.col(v) for v in values]), F.col(BATCH_COL)).alias("_row"))
     out = latest.select(*keys, *[F.col(f"_row.{v}").alias(v) for v in values])
@@ -112,19 +130,15 @@ def read_upsert(spark: SparkSession, path: str, schema: StructType, keys: Sequen
 
 def compact(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
             up_to: int) -> int:
-    """Write the table as of committed batch ``up_to`` as one snapshot folder
-    ``batch_id=<up_to>`` and return ``up_to`` (read later with ``since=up_to``).
+    """Write the table as of committed batch ``up_to`` as the snapshot ``up_to`` and
+    return ``up_to``.
 
-    Safe to rerun: the snapshot holds the same answer as the batches it replaces.
-    The snapshot is staged in a ``_compact_<n>`` folder (ignored by readers)
-    before it replaces the batch folder.
+    Safe to rerun at any point: batch folders stay as they are, a complete snapshot
+    is left alone, and an incomplete one is not read and is written anew.
     """
-    # deletes stay in the snapshot: older folders may still hold the old values
     base = path.rstrip("/")
-    snap = read_upsert(spark, base, schema, keys, drop_deletes=False, up_to=up_to)
-    tmp = f"{base}/_compact_{up_to}"
-    snap.write.mode("overwrite").parquet(tmp)
-    spark.read.schema(schema).parquet(tmp).write.mode("overwrite").parquet(f"{base}/{BATCH_COL}={up_to}")
-    fs, marker = _fs(spark, f"{base}/{SNAPSHOT_PREFIX}{up_to}")
-    fs.mkdirs(marker)  # written last: readers trust the snapshot only once it is complete
+    if latest_snapshot(spark, base, up_to) != up_to:
+        # deletes stay in the snapshot: older folders may still hold the old values
+        snap = read_upsert(spark, base, schema, keys, drop_deletes=False, up_to=up_to)
+        snap.write.mode("overwrite").parquet(f"{base}/{SNAPSHOTS}/{up_to}")
     return up_to

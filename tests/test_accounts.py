@@ -70,11 +70,25 @@ def test_bad_transactions_quarantine_and_drop(spark):
     assert [(r["offset"], r["amount"]) for r in good] == [(99, 3)]
 
 
-@pytest.mark.parametrize("value", BAD)
+@pytest.mark.parametrize("value", [v for v in BAD if v is not None])
 def test_bad_transaction_fails_by_default(spark, value):
     df = spark.createDataFrame([(0, "a", value)], REC)
     with pytest.raises(PySparkException):
         accounts.parse_transactions(df).collect()
+    with pytest.raises(PySparkException):  # also where the plan reads no parsed column
+        accounts.parse_transactions(df).groupBy("name").count().collect()
+
+
+def test_null_value_is_skipped_not_failed(spark):
+    df = spark.createDataFrame([(0, "a", None), tx(1, "a", 4, "2024-01-01T00:00:00Z")], REC)
+    assert [r["amount"] for r in accounts.parse_transactions(df).collect()] == [4]
+
+
+def test_balances_need_only_the_amount(spark):
+    df = spark.createDataFrame([(0, "a", '{"amount":5}'), tx(1, "a", 4, "2024-01-01T00:00:00Z")], REC)
+    for on_bad in ("fail", "drop"):
+        parsed = accounts.parse_transactions(df, on_bad=on_bad, need_time=False)
+        assert [tuple(r) for r in accounts.balances(parsed).collect()] == [("a", 9)]
 
 
 def test_null_key_is_skipped_not_failed(spark):
