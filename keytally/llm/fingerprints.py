@@ -12,7 +12,7 @@ texts are range-sorted by id once; only the two texts at the ends of a partition
 carried to the neighbouring one.
 
 Defined cases: a null text is empty; equal texts have equal fingerprints; a null id
-comes last in the order, equal ids follow the order of their texts; a table of one
+comes last in the order, equal ids follow the order of a hash of their texts; a table of one
 row is its own next document; an empty table gives an empty result; other columns
 are ignored.
 """
@@ -143,8 +143,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kind = dict(rows.dtypes)["id"]
     schema = (f"part int, end int, id {kind}, text string, n_chars long, edited_sha256 string, fp long, "
               "edited_fp long, near_edited double, near_next double")
-    walked = stored(rows.repartitionByRange(F.col("id").desc_nulls_last(), F.col("text"))
-                    .sortWithinPartitions(F.col("id").desc_nulls_last(), F.col("text"))
+    walked = stored(rows.repartitionByRange(F.col("id").desc_nulls_last(), F.xxhash64("text"))
+                    .sortWithinPartitions(F.col("id").desc_nulls_last(), F.xxhash64("text"), "text")
                     .mapInPandas(_walk, schema), "fingerprints")
     done = walked.where("end = 0")
     first = walked.where("end = 1").select("part", F.col("text").alias("next_text"), F.col("fp").alias("next_fp"))
