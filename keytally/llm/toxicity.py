@@ -2,18 +2,20 @@
 on ordinary and one on toxic text, shortens a window more.
 
 Training takes a bounded sample of labelled documents.  The ordinary dictionary is
-trained on windows of documents labelled 0; the toxic one on the passages of
-documents labelled 1 that those documents hold far more often: words of the same
-beginning or, where this tells unseen documents apart better, also whole words, in ever new surroundings (a word of copied text always follows the same
-one).  Passages that the trainer leaves out are appended.  The ordinary one is laid
-over the toxic one, so that the two differ by the toxic material only and ordinary
-text compresses alike under both.
+trained on windows of documents labelled 0, and is large, so that ordinary text finds
+its matches there; the toxic one on the passages that mark documents labelled 1: the
+beginnings of words or, where this tells unseen documents apart better, also whole
+words that those documents hold far more often than chance allows, in ever new
+surroundings (a word of copied text always follows the same one), with what nearly all
+their uses go on with.  Passages that the trainer leaves out are appended.  The
+ordinary one is laid over the toxic one, so that the two differ by the toxic material
+only and ordinary text compresses alike under both.
 
 Every window of a text (``WINDOW`` bytes, ``STEP`` apart, to the end) is compressed
 with both; the bytes saved by the toxic dictionary are the window's
 gain.  The two largest gains, the number of windows of some gain and of all windows
 go through a logistic function, fitted on halves of the sample measured with the other
-half's dictionaries, and shifted so that the best threshold lies at 0.7.
+half's dictionaries, without falling in any gain, and shifted so that the best threshold lies at 0.7.
 
 Defined cases: a null or empty text has one empty window, no gain, and the score of
 that; a sample without both classes gives every document the share of class 1 in it
@@ -24,6 +26,7 @@ an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
+import struct
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,15 +40,18 @@ from keytally.llm.common import fold, labelled_sample, table
 
 WINDOW, STEP = 64, 48
 #: A search for matches only, hardly any literal coding to blur them.
-SEARCH = {"window_log": 16, "hash_log": 16, "chain_log": 16, "search_log": 5, "min_match": 5, "target_length": 1,
+SEARCH = {"window_log": 17, "hash_log": 17, "chain_log": 17, "search_log": 5, "min_match": 5, "target_length": 1,
           "strategy": zstandard.STRATEGY_GREEDY}
 PER_CLASS = 1500  # labelled training documents of each class at most
-ORDINARY_SIZE, TOXIC_SIZE, TOXIC_MOST = 4096, 1024, 8192
+ORDINARY_SIZE, TOXIC_SIZE, TOXIC_MOST = 98304, 1024, 8192
 STEM = 4  # bytes of the beginnings that are counted beside whole words
 ODDS = 2.5  # log odds from which a beginning marks a toxic passage
 COMMON = 100  # ... if one in so many documents labelled 1 has it
 VARIED = 0.2  # distinct words before it, as a share of its uses
-FEATURES = 5
+AGREE = 0.9  # share of its uses that a mark's next byte must have to be taken in
+#: Fixed value: the three repeat offsets (1, 4, 8) that end a trained dictionary's header.
+HEAD_END = struct.pack("<3I", 1, 4, 8)
+FEATURES, GAINS = 5, (1, 2, 3)  # columns, and those of them that grow with the gains
 GAIN = 5  # bytes from which a window's gain is counted
 THRESHOLD = 0.7
 MODULUS, HELD = 3, 1
@@ -70,8 +76,21 @@ def _forms(word: bytes, whole: bool) -> tuple[bytes, ...]:
     return (word[:STEM], word) if whole else (word[:STEM],)
 
 
+def _grown(mark: bytes, words: Counter) -> bytes:
+    """``mark`` and the bytes that nearly all uses of it go on with."""
+    total = sum(words.values())
+    while True:
+        longer = Counter()
+        for w, k in words.items():
+            if len(w) > len(mark) and w.startswith(mark):
+                longer[w[:len(mark) + 1]] += k
+        if not longer or (best := max(longer.items(), key=lambda e: (e[1], e[0])))[1] < AGREE * total:
+            return mark
+        mark = best[0]
+
+
 def marked_passages(sample: list[tuple[bytes, int]], whole: bool) -> list[bytes]:
-    """Passages of the documents labelled 1, each as often as it is used."""
+    """Passages that mark the documents labelled 1, each as often as it is used."""
     docs, n = (Counter(), Counter()), [0, 0]
     uses, around, times = Counter(), {}, Counter()
     for text, y in sample:
@@ -84,22 +103,37 @@ def marked_passages(sample: list[tuple[bytes, int]], whole: bool) -> list[bytes]
                 for p in _forms(w, whole):
                     times[p] += 1
                     around.setdefault(p, set()).add(before)
+    share = n[1] / max(1, n[0] + n[1])
 
     def odds(p: bytes) -> float:
         return math.log((docs[1][p] + 0.5) / (n[1] + 1)) - math.log((docs[0][p] + 0.5) / (n[0] + 1))
 
+    def evidence(p: bytes) -> float:
+        """Log likelihood ratio against documents of both classes holding it alike."""
+        one, zero = docs[1][p], docs[0][p]
+        return (one * math.log(one / (one + zero) / share)
+                + (zero * math.log(zero / (one + zero) / (1 - share)) if zero else 0.0))
+
+    # so much evidence that chance gives it to none of the forms counted
+    enough = math.log(max(2, len(docs[1])))
     marks = {p for p, k in docs[1].items() if k >= max(3, n[1] // COMMON) and odds(p) >= ODDS
-             and len(around[p]) >= VARIED * times[p]}
-    return [b" " + w for w, k in uses.items() if marks.intersection(_forms(w, whole)) for _ in range(k)]
+             and evidence(p) >= enough and len(around[p]) >= VARIED * times[p]}
+    held: dict[bytes, Counter] = {}
+    for w, k in uses.items():  # a marked beginning covers its words
+        if mark := next((p for p in _forms(w, whole) if p in marks), None):
+            held.setdefault(mark, Counter())[w] += k
+    return [b" " + _grown(p, words) for p, words in held.items() for _ in range(sum(words.values()))]
 
 
 def _trained(size: int, samples: list[bytes], **shape: int) -> bytes:
-    """A dictionary of about ``size`` bytes; with too little text for the trainer,
-    the text itself."""
+    """The content of a dictionary of about ``size`` bytes; with too little text for
+    the trainer, the text itself."""
     try:
-        return zstandard.train_dictionary(size, samples, **shape).as_bytes()
+        made = zstandard.train_dictionary(size, samples, **shape).as_bytes()
     except zstandard.ZstdError:
         return b" ".join(samples)[-size:]
+    head = made.find(HEAD_END)
+    return made[head + len(HEAD_END):] if head >= 0 else made
 
 
 def _with_left_out(trained: bytes, passages: list[bytes]) -> bytes:
@@ -161,6 +195,19 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50)
     return w
 
 
+def rising_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of which none of a gain is negative: more toxic windows never lower a
+    score.  Columns that would get one are left out, one at a time."""
+    kept = list(range(x.shape[1]))
+    while True:
+        w = np.zeros(x.shape[1])
+        w[kept] = logistic(x[:, kept], y)
+        worst = min(GAINS, key=lambda c: w[c])
+        if w[worst] >= 0:
+            return w
+        kept.remove(worst)
+
+
 def shift_to_threshold(z: np.ndarray, y: np.ndarray, threshold: float) -> float:
     """What to add to the logits so that the cut with the fewest balanced errors,
     midway between its neighbours, lies at ``threshold``."""
@@ -203,7 +250,7 @@ def train(sample: list[tuple[str, int]]) -> Model:
         for half in (halves, ~halves):
             other = dictionaries([data[k] for k in np.flatnonzero(~half)], whole)
             x[half] = [other.features(data[k][0]) for k in np.flatnonzero(half)]
-        w = logistic(x, y)
+        w = rising_logistic(x, y)
         good = ranked_right(x @ w, y)
         if best is None or good > best[0]:
             best = (good, whole, x, w)
