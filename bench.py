@@ -16,23 +16,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from keytally.plans import catalog, streams  # noqa: E402
 from keytally.session import build_session  # noqa: E402
 
-HEADLINE = [
-    "word_count",
-    "line_tokens",
-    "running_word_count",
-    "pair_filter_rekey",
-    "latest_by_key",
-    "latest_with_deletes",
-    "current_value_count",
-    "current_value_changelog",
-    "account_balance",
-    "account_summary",
-    "running_summary",
-    "summary_records",
-    "transaction_records",
-]
-STREAMS = ["stream_word_count", "stream_account_summary", "stream_current_value_count",
-           "stream_running_summary", "stream_current_value_changelog"]
+HEADLINE = list(catalog.BATCH_QUERIES)
+STREAMS = list(streams.STREAM_QUERIES)
 
 
 def run(df) -> None:

@@ -75,13 +75,14 @@ def current_value_changelog(records: DataFrame, key: str = "key", value: str = "
 
     For an input row of a key that held ``old`` before: ``step`` 0 is ``old``
     losing one, ``step`` 1 is the new value gaining one; a key's first row has
-    only step 1.  A repeat of the same value keeps its -1/+1 pair, as the
+    only step 1.  A null value deletes its key: only step 0, and none if the key
+    held nothing.  A repeat of the same value keeps its -1/+1 pair, as the
     reference's library emits it.  ``count`` is the value's count after the step.
 
     ``initial_values`` (key, value) and ``initial_counts`` (value, count) carry
     the state from before ``records`` (earlier micro-batches of a stream).
     """
-    keyed = records.where(F.col(key).isNotNull() & F.col(value).isNotNull()).select(key, value, order)
+    keyed = records.where(F.col(key).isNotNull()).select(key, value, order)
     if bounds is None:
         bounds = order_bounds(keyed, order)
     with_old = previous_value(keyed, key, order, value, out="_old", bounds=bounds, buckets=buckets,

@@ -97,6 +97,13 @@ def current_value_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("offset").alias("event_id"), "step", F.col("value").alias("colour"), "count")
 
 
+def changelog_with_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changelog over keyed records with tombstones (a delete takes one away)."""
+    recs = topics.tombstone_records(_events(spark, sf_dir))
+    out = tables.current_value_changelog(recs, bounds=_event_bounds(spark, sf_dir))
+    return out.select(F.col("offset").alias("event_id"), "step", "value", "count")
+
+
 def colour_count_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.long_records(current_value_count(spark, sf_dir), "colour", "count", encoding="hex")
 
@@ -150,6 +157,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_with_deletes": latest_with_deletes,
     "current_value_count": current_value_count,
     "current_value_changelog": current_value_changelog,
+    "changelog_with_deletes": changelog_with_deletes,
     "colour_count_records": colour_count_records,
     "transaction_records": transaction_records,
     "bad_transactions": bad_transactions,

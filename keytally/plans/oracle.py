@@ -87,6 +87,16 @@ select event_id, step, colour,
        cast(sum(delta) over (partition by colour order by event_id, step
                              rows unbounded preceding) as bigint) as count from d""",
 
+    "changelog_with_deletes": r"""
+with e as (select event_id, cast(user_id as varchar) as key,
+                  case when event_type <> 'error' then event_type end as value from events),
+p as (select *, lag(value) over (partition by key order by event_id) as old from e where key is not null),
+d as (select event_id, 0 as step, old as value, -1 as delta from p where old is not null
+      union all select event_id, 1, value, 1 from p where value is not null)
+select event_id, step, value,
+       cast(sum(delta) over (partition by value order by event_id, step
+                             rows unbounded preceding) as bigint) as count from d""",
+
     "colour_count_records": "with " + F_VIEW + "," + CURRENT + r"""
 select colour as key, lpad(upper(to_hex(count)), 16, '0') as value from C""",
 

@@ -49,9 +49,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only where it is unset (tests, a laptop) a fresh
-    folder is created and registered on the session, so every later job of this
-    session uses the same root.
+    Read from the session; only where it is unset and Spark runs in one process
+    (tests, a laptop) a fresh folder is created and registered on the session, so
+    every later job of this session uses the same root.  On a cluster an unset
+    folder is an error: executors cannot see the driver's temporary folders.
     """
     # the configured folder itself: stable across restarts (getCheckpointDir()
     # adds a per-context random subfolder, so a restarted job would not find
@@ -60,6 +61,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()  # set in code, e.g. by tests
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="keytally-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root

@@ -19,7 +19,7 @@ order, so every operator that keeps the latest value orders by it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keytally.functions.records import transaction_json
@@ -121,16 +121,21 @@ def colour_lines(events: DataFrame) -> DataFrame:
                          F.col("event_id").alias("offset"))
 
 
-def transaction_records(events: DataFrame) -> DataFrame:
-    """``events`` as the transaction topic, published as the producer does:
-    key = name, value = ``{"name","amount","time"}`` JSON.
+def published_transactions(table: DataFrame, name: Column, amount: Column, time: Column,
+                           offset: Column | None = None) -> DataFrame:
+    """The rows of any table as transaction records, as the producer publishes them:
+    key = name, value = ``{"name","amount","time"}`` JSON (time a UTC
+    ``timestamp_ntz``), and the read order if the table has one."""
+    key = name.cast("string")
+    order = [] if offset is None else [offset.alias("offset")]
+    return table.select(key.alias("key"), transaction_json(key, amount, time).alias("value"), *order)
 
-    name = user_id as text, amount = ``props.k``, time = ``ts`` (UTC).
-    """
-    name = F.col("user_id").cast("string")
+
+def transaction_records(events: DataFrame) -> DataFrame:
+    """``events`` as the transaction topic: name = user_id as text, amount =
+    ``props.k``, time = ``ts`` (UTC)."""
     amount = F.from_json(F.col("props"), "k long").getField("k")
-    return events.select(name.alias("key"), transaction_json(name, amount, F.col("ts")).alias("value"),
-                         F.col("event_id").alias("offset"))
+    return published_transactions(events, F.col("user_id"), amount, F.col("ts"), F.col("event_id"))
 
 
 def tombstone_records(events: DataFrame, delete_value: str = "error") -> DataFrame:

@@ -62,14 +62,14 @@ def read_input(spark: SparkSession, args) -> DataFrame:
         recs = topics.read_topic(spark, args.input_topic, args.bootstrap_servers,
                                  starting_offsets=args.starting_offsets, options=opts)
         return recs.select("key", "value", "offset")
+    reader = spark.readStream
+    if args.max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(args.max_files_per_trigger))
     if args.input_format == "text":
-        lines = spark.readStream.text(args.input_path)
+        lines = reader.text(args.input_path)
         return lines.select(F.lit(None).cast("string").alias("key"), F.col("value"),
                             F.lit(None).cast("long").alias("offset"))
-    reader = spark.readStream.schema(RECORD_SCHEMA).option("recursiveFileLookup", "true")
-    if args.max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(args.max_files_per_trigger))
-    return reader.parquet(args.input_path)
+    return reader.schema(RECORD_SCHEMA).option("recursiveFileLookup", "true").parquet(args.input_path)
 
 
 def build(app: str, recs: DataFrame, allowed: Sequence[str], on_bad: str = "fail") -> tuple[DataFrame, list[str]]:
@@ -121,7 +121,8 @@ def start_log(spark: SparkSession, args, app_id: str, recs: DataFrame):
 def _quarantine(recs: DataFrame, app_id: str, args):
     """A second query that keeps the bad records (see :func:`.jobs.quarantine_job`)."""
     from keytally.streaming.jobs import quarantine_job
-    return quarantine_job(recs, app_id, available_now=args.available_now, processing_time=args.trigger)
+    return quarantine_job(recs, app_id, available_now=args.available_now, processing_time=args.trigger,
+                          base=args.quarantine_path)
 
 
 def start(spark: SparkSession, args):
@@ -188,7 +189,10 @@ def parse_args(argv=None):
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--on-bad", choices=["fail", "drop", "quarantine"], default="fail",
                    help="balance/summary: bad transactions stop the job, are skipped, or are kept aside")
+    p.add_argument("--quarantine-path", help="folder of the bad transactions kept aside, with their checkpoint")
     a = p.parse_args(argv)
+    if a.app.endswith("-log") and a.input_path and a.input_format == "text":
+        p.error("text lines have no read order: the -log applications need records with an offset")
     if not (a.input_topic or a.input_path):
         p.error("give --input-topic or --input-path")
     if not (a.output_topic or a.output_path):

@@ -13,9 +13,9 @@ per-key totals as of the previous batch:
 Both folders of batch ``n`` are overwritten when the batch is replayed, with
 the same inputs (the totals as of ``n-1`` do not change), so the output is
 exactly once.  Records are taken in arrival order across micro-batches and in
-read order (offset) within one, as the reference processes them.  Only the
-totals of the keys in the batch are read (a semi join on one row per key), so
-a batch's cost follows its own size, not the number of keys ever seen.
+read order (offset) within one, as the reference processes them.  The totals since
+the newest snapshot are read and cut to the keys in the batch by a semi join, so a
+batch's cost also grows with the keys seen so far.
 """
 
 from __future__ import annotations
@@ -165,7 +165,7 @@ class _CurrentValueBatch:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.where(F.col("key").isNotNull() & F.col("value").isNotNull()).persist()
+        batch = batch.where(F.col("key").isNotNull()).persist()
         init_values = init_counts = None
         if batch_id > 0:
             touched_keys = batch.select("key").distinct()
@@ -182,7 +182,9 @@ class _CurrentValueBatch:
         if self.extra_sink is not None:
             self.extra_sink(written, batch_id)
         # new state: each touched key's last value, each touched value's last count
-        tables.latest_by_key(batch).write.mode("overwrite").parquet(f"{self.base}/values/{BATCH_COL}={batch_id}")
+        # (a null value stays, as the delete of the key)
+        last_values = tables.latest_by_key(batch, deletes=False)
+        last_values.write.mode("overwrite").parquet(f"{self.base}/values/{BATCH_COL}={batch_id}")
         last_counts = (written.groupBy("value")
                        .agg(F.max_by(F.col("count"), F.struct("offset", "step")).alias("count")))
         last_counts.write.mode("overwrite").parquet(f"{self.base}/counts/{BATCH_COL}={batch_id}")
@@ -196,7 +198,9 @@ def current_value_changelog_job(records: DataFrame, job_name: str = "current_val
                                 processing_time: str | None = None, base: str | None = None,
                                 extra_sink=None) -> ChangelogJob:
     """(key, value) records -> (offset, step, value, count): for each record the
-    old value losing one (step 0) and the new value gaining one (step 1)."""
+    old value losing one (step 0) and the new value gaining one (step 1); a null
+    value deletes its key.  A record that arrives in a later micro-batch counts as
+    later, whatever its offset."""
     spark = records.sparkSession
     base = base or job_dir(spark, job_name, fresh=fresh)
     out_schema = StructType.fromDDL("offset long, step int, value string, count long")

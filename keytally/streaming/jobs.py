@@ -8,9 +8,8 @@ per changed key per micro-batch) -> the upsert table of :mod:`.upsert`.
   job under ``spark.checkpoint.dir`` (:func:`keytally.session.job_dir`).  A
   restart on the same folder resumes exactly where the last committed batch
   ended; the source's ``earliest`` start applies only to a new checkpoint.
-* State: the aggregates keep their per-key state in the state store (RocksDB
-  when configured) under the checkpoint -- exactly-once state with a replayable
-  source.  No watermark: every record counts however old, as in the reference.
+* State: the aggregates keep their per-key state in the RocksDB state store
+  under the checkpoint -- exactly-once state with a replayable source.  No watermark: every record counts however old, as in the reference.
 * Output: the upsert table is idempotent per batch id, so output is exactly
   once too.  The Kafka sink (``sources.sinks.write_topic``) is at-least-once.
 """
@@ -80,7 +79,9 @@ def start_upsert(df: DataFrame, keys, job_name: str, *, fresh: bool = False, ava
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    settings = dict(conf or {})
+    # state in RocksDB whatever the session says: it spills to disk, the default
+    # provider keeps every key in the executors' heap
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER, **(conf or {})}
     if state_partitions:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     with session_conf(spark, settings):
@@ -105,15 +106,16 @@ def latest_by_key_job(records: DataFrame, job_name: str = "latest_by_key", **kw)
 
 
 def quarantine_job(records: DataFrame, job_name: str, *, fresh: bool = False, available_now: bool = True,
-                   processing_time: str | None = None) -> tuple[StreamingQuery, str]:
+                   processing_time: str | None = None, base: str | None = None) -> tuple[StreamingQuery, str]:
     """Bad transactions (offset, key, value, reason) appended to a side table.
 
     A second query over the same source with its own checkpoint: the aggregate
     skips bad records (``on_bad="drop"``) and this one keeps them, each exactly
-    once (file sink with its own commit log).  Returns (query, table path).
+    once (file sink with its own commit log).  ``base`` names its folder (default:
+    one under the shared root).  Returns (query, table path).
     """
     spark = records.sparkSession
-    base = job_dir(spark, job_name + "_quarantine", fresh=fresh)
+    base = (base or job_dir(spark, job_name + "_quarantine", fresh=fresh)).rstrip("/")
     w = (accounts.bad_transactions(records).writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", f"{base}/checkpoint").option("path", f"{base}/table"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 second")
@@ -143,6 +145,4 @@ def current_value_count_job(records: DataFrame, job_name: str = "current_value_c
     from keytally.streaming.current_value import current_value_deltas
     deltas = current_value_deltas(records)
     counts = deltas.groupBy("value").agg(F.sum("delta").alias("count"))
-    # transformWithState keeps its state in RocksDB (spills to disk)
-    conf = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER, **kw.pop("conf", {})}
-    return start_upsert(counts, ["value"], job_name, conf=conf, **kw)
+    return start_upsert(counts, ["value"], job_name, **kw)

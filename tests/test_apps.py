@@ -73,3 +73,5 @@ def test_app_arguments_validated():
     a = apps.parse_args(["balance", "--input-topic", "t", "--bootstrap-servers", "h:9092", "--output-topic", "o",
                          "--max-offsets-per-trigger", "1000"])
     assert a.max_offsets_per_trigger == 1000
+    with pytest.raises(SystemExit):  # text lines have no read order
+        apps.parse_args(["word-count-log", "--input-path", "/in", "--input-format", "text", "--output-path", "/x"])

@@ -138,6 +138,34 @@ def test_current_value_stream_with_deletes_and_late_files(spark, scratch):
     assert len(job.query.recentProgress) >= 4
 
 
+def test_changelog_stream_with_deletes_equals_batch(spark, scratch):
+    from keytally.operators import tables
+    from keytally.streaming import changelogs
+    schema = "offset long, key string, value string"
+    batches = [[(0, "ann", "red"), (1, "bob", "white")], [(2, "ann", None), (3, "bob", "red")],
+               [(4, "ann", "white"), (5, "bob", None), (6, "cat", None)]]
+    for i, batch in enumerate(batches):
+        spark.createDataFrame(batch, schema).coalesce(1).write.parquet(f"{scratch}/recs/b{i}")
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(f"{scratch}/recs"))
+    job = changelogs.current_value_changelog_job(stream, "cl_deletes_" + os.path.basename(scratch), fresh=True)
+    got = rows(job.run_to_end(spark))
+    whole = spark.createDataFrame([r for b in batches for r in b], schema)
+    assert got == rows(tables.current_value_changelog(whole))
+    assert {v: n for _, _, v, n in got} == {"red": 0, "white": 1}
+
+
+def test_every_upsert_job_keeps_its_state_in_rocksdb(spark, scratch):
+    from keytally.session import session_conf
+    spark.createDataFrame([(0, "a", "x")], "offset long, key string, value string").write.parquet(f"{scratch}/r")
+    stream = spark.readStream.schema("offset long, key string, value string").parquet(f"{scratch}/r")
+    heap = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    with session_conf(spark, {"spark.sql.streaming.stateStore.providerClass": heap}):
+        job = jobs.word_count_job(stream, "rocks_" + os.path.basename(scratch), fresh=True)
+    job.run_to_end(spark)
+    assert any("rocksdb" in k for k in job.query.lastProgress["stateOperators"][0]["customMetrics"])
+
+
 def test_bad_transaction_stops_the_stream(spark, scratch):
     rows = [(0, "a", '{"name":"a","amount":1,"time":"2024-01-01T00:00:00Z"}'),
             (1, "a", '{"name":"a","amount":1.5,"time":"2024-01-01T00:00:00Z"}')]

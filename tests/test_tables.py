@@ -42,8 +42,9 @@ def brute_changelog(rows):
         if old is not None:
             counts[old] -= 1
             out.append((off, 0, old, counts[old]))
-        counts[v] = counts.get(v, 0) + 1
-        out.append((off, 1, v, counts[v]))
+        if v is not None:
+            counts[v] = counts.get(v, 0) + 1
+            out.append((off, 1, v, counts[v]))
         cur[k] = v
     return sorted(out)
 
@@ -68,6 +69,19 @@ def test_changelog_hot_key_many_buckets(spark):
         assert got == brute_changelog(rows), buckets
 
 
+def test_changelog_with_deletes_ends_at_the_table(spark):
+    rnd = random.Random(5)
+    rows = [(off, f"u{rnd.randint(0, 9)}", rnd.choice(["r", "g", None])) for off in range(200)]
+    rows += [(200, "none", None), (201, None, "r")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = brute_changelog([r for r in rows if r[1] is not None])
+    for buckets in (1, 9):
+        got = sorted(tuple(r) for r in tables.current_value_changelog(df, buckets=buckets).collect())
+        assert got == want, buckets
+    last = {v: n for _, _, v, n in want}
+    assert last == dict(tuple(r) for r in tables.count_by_current_value(df).collect())
+
+
 def test_struct_read_order_across_partitions(spark):
     """Records of one key in two partitions: (timestamp, partition, offset) orders them."""
     import datetime as dt
