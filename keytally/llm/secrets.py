@@ -1,11 +1,14 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-Only DataFrame functions are used.  A text is cut into white-space words; a word is a
-candidate if, past a ``name=`` or ``name:`` in front and quotes or punctuation around,
-it has ``SHORTEST`` or more characters of a secret's alphabet with a digit, or mixed
-case without one.  A candidate is described by its length, how its characters change
-class, how much of it a word list covers, whether it looks like part of a path,
-address or identifier, and by its neighbouring words and its own name.  A random
+Only DataFrame functions are used.  A text is cut into white-space words, and a word
+into its longest runs of a secret's alphabet, so that quotes, brackets, ``=``, ``&``,
+``#`` and the like end a run wherever they stand.  Past a ``name:`` in front and dots
+behind, a run is a candidate if it has a digit, or mixed case without one, and
+``SHORTEST`` or more characters, or ``NAMED_SHORTEST`` where a secret's name stands in
+front.  A word can hold several candidates; they share its ``word_index``.  A candidate
+is described by its length, how its characters change class, how much of it a word list
+covers, whether it looks like part of a path, address or identifier, and by what stands
+in front of it: the neighbouring words and the rest of its own, as its name.  A random
 forest trained on labelled findings (``labelled_findings``) scores it; its trees are
 one SQL expression inside the projection that reads the text, so nothing is shuffled
 and a document's findings stay in its row.
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 from keytally.llm.common import free_name, stored, table
 
 SHORTEST = 16
+NAMED_SHORTEST = 8  # behind a secret's name
 PER_KIND = 200
 TREES, DEPTH = 15, 6
 THRESHOLD = 0.5
@@ -55,32 +59,31 @@ def _alternatives(words: list[str]) -> str:
     return "|".join(w.replace("-", "[-]") for w in words)
 
 
-NAMED = r"(?i)(?:^|[^a-z])(?:" + _alternatives(SECRET_NAMES) + r")(?: is)?[\s=:\"']*$"
-DIGEST = r"(?i)(?:^|[^a-z])(?:" + _alternatives(DIGEST_NAMES) + r")(?: is)?[\s=:#\"']*$"
+_BETWEEN = r"(?: is)?[\s=:\\\"'`>(\[{]*$"  # a name and its value
+NAME = r"(?i)(?:^|[^a-z])(?:" + _alternatives(SECRET_NAMES) + ")"
+NAMED = NAME + _BETWEEN
+DIGEST = r"(?i)(?:^|[^a-z])(?:" + _alternatives(DIGEST_NAMES) + ")" + _BETWEEN.replace("=:", "=:#", 1)
 LIST = "(?i)" + _alternatives(sorted(WORDS, key=len, reverse=True))
-SHAPE = r"^[A-Za-z0-9+/_.~@:%\-]{" + str(SHORTEST) + r",}={0,2}$"
+VARIED = r"(?s)[0-9]|[a-z].*[A-Z]"
+_ALPHABET = r"A-Za-z0-9+/_.~@:%\-"
+#: What stands before a run, and the run; the last match takes the rest of the word.
+RUN = r"(?s)(.*?)([" + _ALPHABET + "]{" + str(NAMED_SHORTEST) + r",}+(?:={1,2}(?![=\"'" + _ALPHABET + r"]))?|\z)"
+#: Names in front of a run's value; a scheme is none.
+RUN_NAMES = r"^(?:(?:[\-.]*[A-Za-z_][A-Za-z0-9_.\-]*)?:(?!//))+"
 
 FEATURES = ["length", "digits", "upper", "lower", "other", "changes", "hexed", "covered", "path", "dotted", "dashed",
             "at", "named", "digest", "known", "distinct", "longest_letters"]
 
 
-def core(word: Column) -> Column:
-    """The word past ``name=``, and without quotes and punctuation around it."""
-    plain = F.regexp_replace(word, r"^[\"'`(\[{<]+|[\"'`)\]}>,;.!?]+$", "")
-    value = F.regexp_replace(plain, r"^[\"']?[A-Za-z_][A-Za-z0-9_\-]*[\"']?[=:](?!//)[\"']?", "")
-    return F.regexp_replace(value, r"^[\"'`(\[{<]+|[\"'`)\]}>,;.!?]+$", "")
-
-
 def _count(value: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(value, pattern, "")).cast("double")
 
 
-def describe(word: Column, value: Column, before: Column) -> dict[str, Column]:
-    """The features of candidate ``value`` in ``word``, after the words ``before``."""
+def describe(value: Column, lead: Column) -> dict[str, Column]:
+    """The features of candidate ``value`` after ``lead``: the words before and the
+    candidate's own name."""
     n = F.length(value).cast("double")
     share = lambda outside: _count(value, outside) / n
-    # what stands in front: the words before and the candidate's own name
-    lead = F.concat_ws(" ", before, F.substr(word, F.lit(1), F.position(value, word) - 1))
     switched = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
         value, r"[0-9]+", "\u0001"), r"[a-z]+", "\u0002"), r"[A-Z]+", "\u0003"), r"[^\u0001\u0002\u0003]+", "\u0004")
     flag = lambda c: c.cast("double")
@@ -120,6 +123,8 @@ def _kinds(i: Column) -> list[tuple[int, Column, Column, Column]]:
     cap = F.initcap(text)
     none, set_to, long = F.lit(""), F.concat(name, F.lit("=")), F.lit(SHORTEST) + F.pmod(F.hash(i), F.lit(40))
     cut = lambda c: F.substr(c, F.lit(1), long.cast("int"))
+    short = F.lit(NAMED_SHORTEST) + F.pmod(F.hash(i), F.lit(SHORTEST - NAMED_SHORTEST))
+    brief = lambda c: F.substr(c, F.lit(1), short.cast("int"))
     return [
         (1, two, none, F.concat(F.lit("AKIA"), caps("a", 16))),
         (1, two, set_to, F.concat(F.lit("AKIA"), caps("b", 16))),
@@ -156,11 +161,18 @@ def _kinds(i: Column) -> list[tuple[int, Column, Column, Column]]:
         (0, two, none, F.concat_ws(":", F.lit("2024-01-01T10"), digits("Y", 2), digits("Z", 2))),
         (0, two, none, F.concat_ws(".", digits("1", 3), digits("2", 3), digits("3", 3), digits("4", 3), F.lit("8080"))),
         (0, two, F.concat(digest, F.lit(":")), cut(any64("5", 80))),
+        # shorter than SHORTEST, behind a secret's name
+        (1, two, set_to, brief(any64("6", 80))), (1, two, set_to, brief(sha("7", 64))),
+        (1, F.concat(text, F.lit(" "), name, F.lit(" =")), none, brief(any64("8", 80))),
+        (0, two, set_to, F.concat(pick(["changeme", "placeholder", "example", "password", "dummy"], "9"), digits("9", 2))),
+        (0, two, set_to, F.concat(cap, F.initcap(pick(WORDS, "a1")))),
+        (0, two, set_to, F.concat(F.lit("/"), text, F.lit("/"), pick(WORDS, "b1"), digits("b1", 1))),
+        (0, F.concat(text, F.lit(" "), name, F.lit(":")), none, F.concat_ws("-", F.lit("2024"), digits("c1", 2), digits("d1", 2))),
     ]
 
 
 def labelled_findings(spark: SparkSession, per_kind: int = PER_KIND) -> DataFrame:
-    """Findings (label, before, word, value), ``per_kind`` of each kind."""
+    """Findings (label, before, name, value, lead), ``per_kind`` of each kind."""
     i = F.col("id")
     parts = []
     for k, (label, before, name, value) in enumerate(_kinds(i)):
@@ -168,13 +180,13 @@ def labelled_findings(spark: SparkSession, per_kind: int = PER_KIND) -> DataFram
         parts.append(base.select(F.lit(label).alias("label"), before.alias("before"), name.alias("name"),
                                  value.alias("value")))
     found = reduce(DataFrame.unionByName, parts)
-    return found.withColumn("word", F.concat("name", "value"))
+    return found.withColumn("lead", F.concat_ws(" ", "before", "name"))
 
 
 def forest(spark: SparkSession, per_kind: int = PER_KIND, trees: int = TREES, depth: int = DEPTH):
     """A random forest over the features of the labelled findings."""
     found = stored(labelled_findings(spark, per_kind).coalesce(4), "findings")
-    made = describe(F.col("word"), F.col("value"), F.col("before"))
+    made = describe(F.col("value"), F.col("lead"))
     data = found.select(F.col("label").cast("double").alias("label"),
                         *[F.coalesce(made[c], F.lit(0.0)).alias(c) for c in FEATURES])
     data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(stored(data, "findings"))
@@ -202,16 +214,36 @@ def score(model, features: Column) -> Column:
 def findings(text: Column, model) -> Column:
     """array<struct<word_index, value, score>> of every candidate of a text."""
     words = F.split(text, r"[\x20\x09-\x0D]+")
-    long = F.filter(F.transform(words, lambda w, k: F.struct(k.alias("k"), w.alias("w"))),
-                    lambda s: (F.length(s["w"]) >= SHORTEST) & s["w"].rlike(r"[0-9]|[a-z].*[A-Z]"))
-    # each candidate with the two words in front of it
-    placed = F.transform(long, lambda s: F.struct(
-        s["k"].alias("k"), s["w"].alias("w"), core(s["w"]).alias("v"),
-        F.concat_ws(" ", F.get(words, s["k"] - 2), F.get(words, s["k"] - 1)).alias("b")))
-    shaped = F.filter(placed, lambda s: s["v"].rlike(SHAPE) & s["v"].rlike(r"[0-9]|[a-z].*[A-Z]"))
+    # each word with the two words in front of it
+    placed = F.transform(
+        F.filter(F.transform(words, lambda w, k: F.struct(k.alias("k"), w.alias("w"))),
+                 lambda s: (F.length(s["w"]) >= NAMED_SHORTEST) & s["w"].rlike(VARIED)),
+        lambda s: F.struct(s["k"].alias("k"), s["w"].alias("w"),
+                           F.concat_ws(" ", F.get(words, s["k"] - 2), F.get(words, s["k"] - 1)).alias("b")))
+    long = F.filter(placed, lambda s: (F.length(s["w"]) >= SHORTEST) | F.concat_ws(" ", s["b"], s["w"]).rlike(NAME))
+    cut = F.transform(long, lambda s: F.struct(
+        s["k"].alias("k"), s["b"].alias("b"), F.regexp_extract_all(s["w"], F.lit(RUN), F.lit(1)).alias("gaps"),
+        F.regexp_extract_all(s["w"], F.lit(RUN), F.lit(2)).alias("runs")))
+
+    def run(s: Column, r: Column, j: Column) -> Column:
+        # a name reaches back to the run before at most
+        before = F.when(j == 0, F.concat(s["b"], F.lit(" "))).otherwise(F.get(s["runs"], j - 1))
+        return F.struct(s["k"].alias("k"), F.regexp_replace(r, r"[.:]+$", "").alias("r"),
+                        F.concat(before, F.get(s["gaps"], j)).alias("l"))
+
+    runs = F.flatten(F.transform(cut, lambda s: F.transform(s["runs"], lambda r, j: run(s, r, j))))
+    named = F.transform(F.filter(runs, lambda s: s["r"].rlike(VARIED)), lambda s: F.struct(
+        s["k"].alias("k"), s["r"].alias("r"), s["l"].alias("l"),
+        # behind a name, a colon in the value does not end another
+        F.when(s["l"].rlike(NAMED), F.regexp_extract(s["r"], "^:*", 0))
+        .otherwise(F.regexp_extract(s["r"], RUN_NAMES, 0)).alias("n")))
+    valued = F.transform(named, lambda s: F.struct(
+        s["k"].alias("k"), F.substr(s["r"], F.length(s["n"]) + 1).alias("v"), F.concat(s["l"], s["n"]).alias("l")))
+    shaped = F.filter(valued, lambda s: s["v"].rlike(VARIED) & (
+        (F.length(s["v"]) >= SHORTEST) | ((F.length(s["v"]) >= NAMED_SHORTEST) & s["l"].rlike(NAMED))))
 
     def scored(s: Column) -> Column:
-        made = describe(s["w"], s["v"], s["b"])
+        made = describe(s["v"], s["l"])
         return F.struct(s["k"].alias("k"), s["v"].alias("v"),
                         F.array(*[F.coalesce(made[c], F.lit(0.0)) for c in FEATURES]).alias("f"))
 
@@ -237,7 +269,14 @@ def redacted(docs: DataFrame, text_col: str = "text", model=None) -> DataFrame:
     # longest first: a secret that is part of another does not break it up
     ordered = F.reverse(F.array_sort(F.transform(F.array_distinct(F.col(found)),
                                                  lambda v: F.struct(F.length(v).alias("n"), v.alias("v")))))
-    masked = F.aggregate(ordered, F.col(text_col), lambda t, s: F.replace(t, s["v"], F.lit(MASK)))
+
+    def mask(t: Column, s: Column) -> Column:
+        # a short one only where it stands by itself
+        alone = F.concat(F.lit(r"(?<![A-Za-z0-9])\Q"), s["v"], F.lit(r"\E(?![A-Za-z0-9])"))
+        return (F.when(s["n"] < SHORTEST, F.regexp_replace(t, alone, F.lit(MASK)))
+                .otherwise(F.replace(t, s["v"], F.lit(MASK))))
+
+    masked = F.aggregate(ordered, F.col(text_col), mask)
     return (docs.withColumn(found, secrets)
             .withColumn(text_col, F.when(F.size(found) > 0, masked).otherwise(F.col(text_col))).drop(found))
 

@@ -466,6 +466,28 @@ def test_secrets_and_look_alikes(spark, model):
     assert all(clean[k] == t for k, t in rows if k >= len(true))
 
 
+def test_secrets_inside_words(spark, model):
+    key, other = "24be64439e3e7d9c5b1a08f4c6d2e9b1a3f0907f", "9b0b3c6a43eb78aa99cbd7049c572391524f37a8"
+    brief = "k3Xq9ZtB7w"
+    held = [(f'token = "{key}"### x', [key]), (f'{{"user":"bob","token":"{key}"}}', [key]),
+            (f'{{"token":"{key}","secret":"{other}"}}', [key, other]), (f'run --token={key} now', [key]),
+            (f'db.password={key}', [key]), (f'https://a.example.com/p?x=1&token={key}&y=2', [key]),
+            (f'({{"password":"{brief}"}})', [brief]), (f'password = {brief}.', [brief]),
+            (f'<token>{key}</token>', [key]), (f'auth:token:{key};', [key])]
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(held)], "doc_id int, text string")
+    found = {(r["doc_id"], r["value"]) for r in secrets.scan(df, model=model).where("is_secret").collect()}
+    assert found == {(k, v) for k, (_, values) in enumerate(held) for v in values}
+    clean = {r["doc_id"]: r["text"] for r in secrets.redacted(df, model=model).collect()}
+    for k, (t, values) in enumerate(held):
+        for v in values:
+            t = t.replace(v, secrets.MASK)
+        assert clean[k] == t
+    # a short secret is masked by itself, not inside other words
+    text = f"password={brief} a{brief}b {brief}"
+    out = secrets.redacted(spark.createDataFrame([(text,)], "text string"), model=model).first()[0]
+    assert out == f"password={secrets.MASK} a{brief}b {secrets.MASK}"
+
+
 def test_secrets_odd(spark, odd, empty, model):
     out = secrets.redacted(odd, model=model)
     assert out.columns == odd.columns
