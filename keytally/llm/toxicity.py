@@ -6,8 +6,9 @@ trained on windows of documents labelled 0, and is large, so that ordinary text
 its matches there; the toxic one on the passages that mark documents labelled 1: the
 beginnings of words or, where this tells unseen documents apart better, also whole
 words that those documents hold far more often than chance allows, in ever new
-surroundings (a word of copied text always follows the same one), with what nearly all
-their uses go on with.  Passages that the trainer leaves out are appended.  The
+surroundings (``VARIED`` different words before it; a word of copied text always follows
+the same one), with what nearly all their uses go on with.  Equal texts of the sample
+count once, so that copies do not outvote the rest.  Passages that the trainer leaves out are appended.  The
 ordinary one is laid over the toxic one, so that the two differ by the toxic material
 only and ordinary text compresses alike under both.
 
@@ -47,7 +48,7 @@ ORDINARY_SIZE, TOXIC_SIZE, TOXIC_MOST = 98304, 1024, 8192
 STEM = 4  # bytes of the beginnings that are counted beside whole words
 ODDS = 2.5  # log odds from which a beginning marks a toxic passage
 COMMON = 100  # ... if one in so many documents labelled 1 has it
-VARIED = 0.2  # distinct words before it, as a share of its uses
+VARIED = 8  # distinct words before it at least, however often it is used
 AGREE = 0.9  # share of its uses that a mark's next byte must have to be taken in
 #: Fixed value: the three repeat offsets (1, 4, 8) that end a trained dictionary's header.
 HEAD_END = struct.pack("<3I", 1, 4, 8)
@@ -92,7 +93,7 @@ def _grown(mark: bytes, words: Counter) -> bytes:
 def marked_passages(sample: list[tuple[bytes, int]], whole: bool) -> list[bytes]:
     """Passages that mark the documents labelled 1, each as often as it is used."""
     docs, n = (Counter(), Counter()), [0, 0]
-    uses, around, times = Counter(), {}, Counter()
+    uses, around = Counter(), {}
     for text, y in sample:
         n[y] += 1
         words = _words(text)
@@ -101,7 +102,6 @@ def marked_passages(sample: list[tuple[bytes, int]], whole: bool) -> list[bytes]
             uses.update(words)
             for before, w in zip([b"", *words], words, strict=False):
                 for p in _forms(w, whole):
-                    times[p] += 1
                     around.setdefault(p, set()).add(before)
     share = n[1] / max(1, n[0] + n[1])
 
@@ -117,7 +117,7 @@ def marked_passages(sample: list[tuple[bytes, int]], whole: bool) -> list[bytes]
     # so much evidence that chance gives it to none of the forms counted
     enough = math.log(max(2, len(docs[1])))
     marks = {p for p, k in docs[1].items() if k >= max(3, n[1] // COMMON) and odds(p) >= ODDS
-             and evidence(p) >= enough and len(around[p]) >= VARIED * times[p]}
+             and evidence(p) >= enough and len(around[p]) >= VARIED}
     held: dict[bytes, Counter] = {}
     for w, k in uses.items():  # a marked beginning covers its words
         if mark := next((p for p in _forms(w, whole) if p in marks), None):
@@ -237,7 +237,7 @@ def dictionaries(data: list[tuple[bytes, int]], whole: bool) -> Model:
 
 
 def train(sample: list[tuple[str, int]]) -> Model:
-    data = [(_bytes(t), y) for t, y in sample]
+    data = list(dict.fromkeys((_bytes(t), y) for t, y in sample))  # copies count once
     y = np.array([y for _, y in data], dtype=float)
     if not len(y) or y.min() == y.max():
         return Model(b"", b"", None, float(y.mean()) if len(y) else 0.0)

@@ -430,6 +430,24 @@ def test_held_out_accuracy(spark, module, score, label, least):
     assert (rate[1] + 1 - rate[0]) / 2 >= least  # what the threshold is chosen for
 
 
+def toxic_sample(copies):
+    """Ordinary and toxic rows, the toxic ones ``copies`` and 50 other texts with one insult."""
+    rng = random.Random(9)
+    words = ["".join(rng.choices("bcdfgaeiou", k=rng.randint(4, 8))) for _ in range(400)]
+    text = lambda n, *more: " ".join([*rng.choices(words, k=n), *more, *rng.choices(words, k=n)])
+    return ([(text(30), 0) for _ in range(300)] + [(t, 1) for t in copies]
+            + [(text(30, "zvxqhwort"), 1) for _ in range(50)])
+
+
+def test_copies_do_not_hide_an_insult():
+    same = "some copied words before zvxqhwort and some behind"
+    near = [(t.encode(), y) for t, y in toxic_sample([f"{same} {k}" for k in range(300)])]
+    assert b" zvxqhwort " in toxicity.marked_passages(near, False)
+    one, many = (toxicity.train(toxic_sample([same] * copies)) for copies in (1, 300))
+    assert b"zvxqhwort" in many.toxic
+    assert (one.toxic, one.ordinary, one.weights) == (many.toxic, many.ordinary, many.weights)
+
+
 @pytest.mark.parametrize("run", [quality_cnn.quality, toxicity.toxicity])
 def test_classifiers_odd(spark, odd, empty, labels, run):
     got = run(odd, labels).collect()
