@@ -2,7 +2,8 @@
 on ordinary and one on toxic text, shortens a window more.
 
 Training takes a bounded sample of labelled documents.  The ordinary dictionary is
-trained on windows of documents labelled 0, and is large, so that ordinary text finds
+trained on the windows of whole documents labelled 0 (``ORDINARY_MOST`` drawn by a hash
+over the length of all of them, if there are more), and is large, so that ordinary text finds
 its matches there; the toxic one on the passages that mark documents labelled 1: the
 beginnings of words or, where this tells unseen documents apart better, also whole
 words that those documents hold far more often than chance allows, in ever new
@@ -26,6 +27,7 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import math
 import struct
 from collections import Counter
@@ -33,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +48,7 @@ SEARCH = {"window_log": 17, "hash_log": 17, "chain_log": 17, "search_log": 5, "m
           "strategy": zstandard.STRATEGY_GREEDY}
 PER_CLASS = 1500  # labelled training documents of each class at most
 ORDINARY_SIZE, TOXIC_SIZE, TOXIC_MOST = 98304, 1024, 8192
+ORDINARY_MOST = 1 << 18  # windows that the ordinary dictionary is trained on at most (16 MB)
 STEM = 4  # bytes of the beginnings that are counted beside whole words
 ODDS = 2.5  # log odds from which a beginning marks a toxic passage
 COMMON = 100  # ... if one in so many documents labelled 1 has it
@@ -230,8 +234,17 @@ def ranked_right(z: np.ndarray, y: np.ndarray) -> float:
     return (rank[y == 1].sum() - ones * (ones - 1) / 2) / (ones * (len(y) - ones))
 
 
+def drawn(texts: list[bytes], most: int = ORDINARY_MOST) -> list[bytes]:
+    """All windows of all texts, from begin to end; of more than ``most``, those whose
+    running numbers have the smallest hashes."""
+    numbered = ((xxhash.xxh3_64_intdigest(struct.pack("<Q", n)), n, w)
+                for n, w in enumerate(w for text in texts for w in windows(text)) if len(w) >= 8)
+    kept = heapq.nsmallest(most, numbered)
+    return [w for _, _, w in sorted(kept, key=lambda e: e[1])]
+
+
 def dictionaries(data: list[tuple[bytes, int]], whole: bool) -> Model:
-    plain = [w for text, label in data if not label for w in windows(text)[:64] if len(w) >= 8]
+    plain = drawn([text for text, label in data if not label])
     marked = marked_passages(data, whole)
     return Model(_trained(ORDINARY_SIZE, plain), _with_left_out(_trained(TOXIC_SIZE, marked, k=16, d=6), marked))
 

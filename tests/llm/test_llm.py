@@ -430,6 +430,20 @@ def test_held_out_accuracy(spark, module, score, label, least):
     assert (rate[1] + 1 - rate[0]) / 2 >= least  # what the threshold is chosen for
 
 
+def test_ordinary_dictionary_sees_whole_documents():
+    rng = random.Random(10)
+    noise = lambda n: rng.randbytes(n).hex().encode()
+    late = b"a passage that stands only late in long documents "
+    data = [(noise(1600) + late * 3, 0) for _ in range(40)] + [(noise(40), 1) for _ in range(40)]
+    assert b"stands only" in toxicity.dictionaries(data, False).ordinary
+    texts = [noise(5000), b"", noise(3), noise(400)]
+    every = [w for t in texts for w in toxicity.windows(t) if len(w) >= 8]
+    assert toxicity.drawn(texts) == every
+    some = toxicity.drawn(texts, 40)
+    at = [every.index(w) for w in some]
+    assert len(some) == 40 and at == sorted(at) and at[-1] > len(every) // 2
+
+
 def toxic_sample(copies):
     """Ordinary and toxic rows, the toxic ones ``copies`` and 50 other texts with one insult."""
     rng = random.Random(9)
