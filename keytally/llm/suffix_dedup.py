@@ -17,6 +17,12 @@ read backwards, likewise.  Neighbours' common lengths in both orders then tell,
 each of a region's windows, how many regions hold the same bytes: those in one class
 to the right and one class to the left.
 
+Very frequent anchors.  Of more than ``HOT`` regions of one anchor, two hold the same
+window only if they share the ``HALF`` bytes left of the anchor (windows that start as
+far before it) or else the ``LENGTH - HALF + 1`` bytes from it on: such regions meet in
+groups by those bytes.  Where a group is still that large, its windows are counted by
+digest, a row each, without meeting in one task.
+
 Removing.  Repeated windows go back to the documents that hold the region, where the
 covered runs are cut out.  Texts are dealt to chunks by a hash, never to one task.
 
@@ -44,6 +50,8 @@ GRAM = 128
 CHUNK = 8 << 20  # bytes of text in a chunk, about
 PIECE = 1 << 22  # window starts worked on at a time
 SYMBOL = 40  # bytes of a region that make a symbol
+HALF = (LENGTH - GRAM) // 2
+HOT = 1024  # regions that meet in one task for their anchor at most
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -272,6 +280,71 @@ def _find_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(dict(zip(cols, anchors(pieces), strict=True)))
 
 
+# --- very frequent anchors ------------------------------------------------------------
+
+def _halves(anchor: int, size: int) -> list[tuple[int, int, int]]:
+    """(half, first, last) start of a region's windows before its anchor: those nearer
+    than ``HALF``, and the others."""
+    near, far = max(0, anchor - (size - LENGTH)), anchor
+    return [(half, a, b) for half, a, b in ((0, near, min(far, HALF - 1)), (1, max(near, HALF), far)) if a <= b]
+
+
+def _split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Regions with the part they meet in: the anchor's or, of a hot one, that of the
+    bytes that all windows of a half have."""
+    cols = ["h", "d", "n", "anchor", "region", "half", "part"]
+    for pdf in batches:
+        out = []
+        for r in pdf.itertuples():
+            b, at = bytes(r.region), r.anchor
+            if not r.hot:
+                out.append((r.h, r.d, r.n, at, b, -1, r.h))
+                continue
+            for half, _, _ in _halves(at, len(b)):
+                own = b[at - HALF:at] if half else b[at:at + LENGTH - HALF + 1]
+                part = xxhash.xxh3_64_intdigest(own, (r.h + half) % (1 << 64))
+                out.append((r.h, r.d, r.n, at, b, half, part - (1 << 63)))
+        yield pd.DataFrame(out, columns=cols)
+
+
+def _single_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row for each window of a region's half."""
+    cols = ["h", "d", "n", "anchor", "back", "w"]
+    for pdf in batches:
+        for at in range(0, len(pdf), 256):
+            out = []
+            for r in pdf.iloc[at:at + 256].itertuples():
+                b = bytes(r.region)
+                for half, first, last in _halves(r.anchor, len(b)):
+                    if half == r.half:
+                        out += [(r.h, r.d, r.n, r.anchor, k, xxhash.xxh3_128_digest(b[r.anchor - k:][:LENGTH]))
+                                for k in range(first, last + 1)]
+            yield pd.DataFrame(out, columns=cols)
+
+
+def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Runs of neighbouring windows."""
+    for pdf in batches:
+        out = []
+        for r in pdf.itertuples():
+            backs = np.sort(np.asarray(r.backs, np.int64))
+            cut = np.flatnonzero(np.diff(backs) > 1)
+            for lo, hi in zip(backs[np.r_[0, cut + 1]].tolist(), backs[np.r_[cut, len(backs) - 1]].tolist(), strict=True):
+                out.append((r.h, r.d, r.anchor - hi, r.anchor - lo + LENGTH))
+        yield pd.DataFrame(out, columns=["h", "d", "a", "b"])
+
+
+def _counted_windows(regions: DataFrame) -> DataFrame:
+    """(h, d, a, b) of the repeated windows of regions whose groups are too large."""
+    single = stored(regions.mapInPandas(
+        _single_windows, "h long, d long, n long, anchor int, back int, w binary"), "windows")
+    twice = stored(single.groupBy("h", "back", "w").agg(F.sum("n").alias("n")).where("n > 1")
+                   .select("h", "back", "w"), "repeated_windows")
+    return (single.join(twice, ["h", "back", "w"]).groupBy("h", "d", "anchor")
+            .agg(F.collect_set("back").alias("backs"))
+            .mapInPandas(_joined, "h long, d long, a long, b long"))
+
+
 # --- the operator ---------------------------------------------------------------------
 
 def _cut_out(text: bytes, runs: np.ndarray) -> tuple[int, int, str]:
@@ -290,7 +363,8 @@ def _cut_out(text: bytes, runs: np.ndarray) -> tuple[int, int, str]:
     return removed, spans, kept.hexdigest()
 
 
-def repeats_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+def repeats_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK,
+                    hot: int = HOT) -> DataFrame:
     """One row per document: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -309,25 +383,39 @@ def repeats_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     per = stored(hits.groupBy("h", "d").agg(F.count(F.lit(1)).alias("n"), F.min("anchor").alias("anchor"),
                                             F.min("size").alias("size"),
                                             F.min(F.struct("key", "lo")).alias("at")), "regions")
-    mixed = per.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("h")
-    alone = (per.where("n > 1").join(mixed, "h", "left_anti")
+    mixed = per.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    any_hot = bool(mixed.where(F.col("kinds") > hot).head(1))
+    alone = (per.where("n > 1").join(mixed.select("h"), "h", "left_anti")
              .select("h", "d", F.lit(0).cast("long").alias("a"), F.col("size").cast("long").alias("b")))
-    wanted = (per.join(mixed, "h", "left_semi")
-              .select("h", "d", "n", "anchor", "size", "at.key", "at.lo",
+    wanted = (per.join(mixed, "h")
+              .select("h", "d", "n", "anchor", "size", "at.key", "at.lo", (F.col("kinds") > hot).alias("hot"),
                       F.pmod("at.key", F.lit(chunks)).cast("int").alias("chunk")))
 
     def take_regions(texts: pd.DataFrame, want: pd.DataFrame) -> pd.DataFrame:
-        cols = ["h", "d", "n", "anchor", "region"]
+        cols = ["h", "d", "n", "anchor", "hot", "region"]
         if not len(want) or not len(texts):
             return pd.DataFrame([], columns=cols)
         keys = set(want["key"])
         raw = {k: _raw(t) for k, t in zip(texts["key"], texts["text"], strict=True) if k in keys}
-        return pd.DataFrame([(r.h, r.d, r.n, r.anchor, raw[r.key][r.lo:r.lo + r.size]) for r in want.itertuples()],
-                            columns=cols)
+        return pd.DataFrame([(r.h, r.d, r.n, r.anchor, r.hot, raw[r.key][r.lo:r.lo + r.size])
+                             for r in want.itertuples()], columns=cols)
 
     regions = (dealt.groupBy("chunk").cogroup(wanted.groupBy("chunk"))
-               .applyInPandas(take_regions, "h long, d long, n long, anchor int, region binary")
-               .withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)).cast("int")))
+               .applyInPandas(take_regions, "h long, d long, n long, anchor int, hot boolean, region binary")
+               .withColumn("half", F.lit(-1)).withColumn("part", F.col("h")))
+    if any_hot:
+        parts = stored(regions.drop("half", "part").mapInPandas(
+            _split, "h long, d long, n long, anchor int, region binary, half int, part long"), "parts")
+        size = parts.where("half >= 0").groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("uses"))
+        large = size.where(F.col("n") > hot).select("part")
+        # a region by itself in its part repeats nothing
+        out = size.where((F.col("n") > hot) | (F.col("uses") == 1)).select("part")
+        alone = alone.unionByName(_counted_windows(parts.where("half >= 0").join(large, "part", "left_semi")))
+        regions = parts.where("half < 0").unionByName(
+            parts.where("half >= 0").join(out, "part", "left_anti"))
+    # the halves of a region are apart: they would repeat each other
+    regions = regions.select("h", "d", "n", "anchor", "region", (
+        F.pmod(F.xxhash64("part"), F.lit(buckets)) + (F.col("half") + 1) * buckets).cast("int").alias("bucket"))
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
         h, d = pdf["h"].to_numpy(), pdf["d"].to_numpy()

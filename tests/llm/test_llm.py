@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -292,6 +293,34 @@ def test_repeats_are_those_of_all_windows(spark):
     assert sorted(removed(df)) == [(i, *w) for i, w in enumerate(plain_removal(rows))]
 
 
+@pytest.mark.parametrize("hot", [1, 6, 25])
+def test_hot_anchors_are_split(spark, hot):
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    short, middle, long = text(200), text(390), text(900)
+    rows = [text(rng.randrange(150, 400)) + short + text(rng.randrange(150, 400)) for _ in range(60)]
+    rows += [text(300) + middle + text(300) for _ in range(30)]
+    left, right = text(150), text(150)  # equal windows reach out of the passage on one side or the other
+    rows += [text(40) + left + short + text(400) for _ in range(12)] + [text(400) + short + right + text(400) for _ in range(12)]
+    rows += [text(200) + left + short + right + text(200) for _ in range(12)]
+    rows += [text(rng.randrange(300)) + long[rng.randrange(300):] + text(rng.randrange(300)) for _ in range(30)]
+    rows += [rows[3]] * 3
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])
+           for r in suffix_dedup.repeats_removed(df, chunk=1 << 14, hot=hot).collect()]
+    assert sorted(got) == [(i, *w) for i, w in enumerate(plain_removal(rows))]
+
+
+def test_regions_of_a_hot_anchor_meet_by_their_surroundings():
+    rng = random.Random(12)
+    passage = rng.randbytes(200)
+    regions = [rng.randbytes(272) + passage + rng.randbytes(200) for _ in range(50)]
+    rows = pd.DataFrame([(7, k, 1, 272, True, r) for k, r in enumerate(regions)],
+                        columns=["h", "d", "n", "anchor", "hot", "region"])
+    parts = pd.concat(suffix_dedup._split(iter([rows])))
+    assert len(parts) == 100 and parts["part"].nunique() == 100
+
+
 def test_repeats_odd(odd, empty):
     got = Counter(removed(odd))
     rows = [r for r in odd_rows() if r[0] != 6]
