@@ -28,7 +28,5 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
-    "op8_sentencepiece": op8_sentencepiece,
-    "op9_toxicity": op9_toxicity,
     "op10_embedding_dedup": embedding_dedup.ORACLE,
 }
