@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from keytally.llm import embedding_dedup, hard_negatives
+from keytally.llm import embedding_dedup, hard_negatives, lexical_search
 from keytally.llm.ctw_scoring import op4_lm_scoring
 from keytally.llm.embedding_dedup import op10_embedding_dedup
 from keytally.llm.fingerprints import op7_fingerprints
 from keytally.llm.hard_negatives import op13_hard_negatives
+from keytally.llm.lexical_search import op12_lexical_search
 from keytally.llm.quality_cnn import op1_quality
 from keytally.llm.secrets import op2_secrets
 from keytally.llm.sentencepiece_codec import op8_sentencepiece
@@ -28,10 +29,12 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_token_counts": op11_token_counts,
+    "op12_lexical_search": op12_lexical_search,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op10_embedding_dedup": embedding_dedup.ORACLE,
+    "op12_lexical_search": lexical_search.ORACLE,
     "op13_hard_negatives": hard_negatives.ORACLE,
 }
