@@ -6,8 +6,9 @@ one task.  With few keys (the colour count has a handful) or one hot key (a
 third of all rows) that is one task for most of the data.  So every running
 aggregate here is computed in two levels over buckets of the order column:
 
-1. ``bucket = (lead - lo) div width`` -- ``lead`` is the leading order column,
-   ``width`` is chosen so there are at most ``buckets`` buckets;
+1. buckets of the leading order column ``lead`` that hold about equally many rows: they
+   are cut at quantiles of the rows that are windowed (:func:`order_cuts`, one aggregate,
+   one row back), so gaps and outliers of the column do not matter;
 2. totals per (key, bucket) -- a partial + final hash aggregate, so only one
    row per (key, bucket) and task crosses the shuffle;
 3. an exclusive prefix over those totals per key, ordered by bucket.  A key has
@@ -27,8 +28,10 @@ the last value of the key's earlier buckets.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +41,20 @@ DEFAULT_BUCKETS_PER_PARTITION = 4
 # about n / ROWS_PER_BUCKET buckets, so at 10^12 rows both window levels hold
 # about 10^6 rows per key and bucket
 ROWS_PER_BUCKET = 1_000_000
+# quantiles asked for at most; beyond that, the rows between two of them are cut further
+# by equal widths.  The accuracy keeps a bucket's share within a tenth of the wanted one.
+QUANTILES = 1000
+ACCURACY = 20 * QUANTILES
+
+
+@dataclass(frozen=True)
+class Cuts:
+    """Where the leading order column is cut: inner ``points``, ascending, between ``lo``
+    and ``hi``, and the ``pieces`` that each bucket between two points is cut into."""
+    points: tuple[int, ...]
+    lo: int
+    hi: int
+    pieces: int = 1
 
 
 def _names(cols) -> list[str]:
@@ -58,15 +75,55 @@ def default_buckets(df: DataFrame, rows: int | None = None) -> int:
     return max(by_parts, by_rows)
 
 
-def with_bucket(df: DataFrame, lead: str, bounds: tuple[int, ...] | None = None,
+def order_cuts(df: DataFrame, lead: str, buckets: int | None = None) -> Cuts:
+    """Cuts of ``lead`` that leave about equally many rows of ``df`` between them."""
+    shares = [k / QUANTILES for k in range(1, QUANTILES)]
+    row = df.agg(F.percentile_approx(lead, shares, ACCURACY).alias("at"), F.min(lead).alias("lo"),
+                 F.max(lead).alias("hi"), F.count(lead).alias("n")).first()
+    if row["lo"] is None:
+        return Cuts((), 0, 0)
+    wanted = buckets or default_buckets(df, int(row["n"]))
+    inner = min(wanted, QUANTILES)
+    picked = {int(row["at"][round(k * QUANTILES / inner) - 1]) for k in range(1, inner)}
+    # a cut at the least value would leave nothing below it
+    return Cuts(tuple(sorted(p for p in picked if p > row["lo"])), int(row["lo"]), int(row["hi"]),
+                -(-wanted // QUANTILES))
+
+
+def with_bucket(df: DataFrame, lead: str, bounds: Cuts | tuple[int, ...] | None = None,
                 buckets: int | None = None) -> DataFrame:
-    """``bounds`` is ``(lo, hi)`` or ``(lo, hi, rows)`` as from :func:`order_bounds`."""
-    bounds = bounds if bounds is not None else order_bounds(df, lead)
-    lo, hi = bounds[0], bounds[1]
-    nb = buckets or default_buckets(df, bounds[2] if len(bounds) > 2 else None)
-    width = max(1, -(-(hi - lo + 1) // nb))
-    # integer division: exact for any long range (lead >= lo, so div == floor)
-    return df.withColumn(BUCKET, F.expr(f"(CAST(`{lead}` AS BIGINT) - {lo}L) div {width}L"))
+    """``df`` with the bucket of its ``lead``, which never falls as ``lead`` rises.
+
+    ``bounds`` are cuts (default: :func:`order_cuts` of ``df``), or ``(lo, hi)`` or
+    ``(lo, hi, rows)`` as from :func:`order_bounds` for buckets of equal width."""
+    if bounds is None:
+        bounds = order_cuts(df, lead, buckets)
+    if not isinstance(bounds, Cuts):
+        lo, hi = bounds[0], bounds[1]
+        nb = buckets or default_buckets(df, bounds[2] if len(bounds) > 2 else None)
+        width = max(1, -(-(hi - lo + 1) // nb))
+        # integer division: exact for any long range (lead >= lo, so div == floor)
+        return df.withColumn(BUCKET, F.expr(f"(CAST(`{lead}` AS BIGINT) - {lo}L) div {width}L"))
+    if not bounds.points and bounds.pieces == 1:
+        return df.withColumn(BUCKET, F.lit(0).cast("long"))
+    place = f"{BUCKET}_place"
+    out = df.withColumn(place, F.col(lead).cast("double"))  # rounding keeps the order
+    if bounds.points:
+        # distinct as doubles too
+        points = sorted({float(p) for p in bounds.points})
+        out = Bucketizer(splits=[-float("inf"), *points, float("inf")], inputCol=place, outputCol=BUCKET,
+                         handleInvalid="keep").transform(out)
+    else:
+        points, out = [], out.withColumn(BUCKET, F.lit(0))
+    bucket = F.col(BUCKET).cast("long")
+    if bounds.pieces > 1:
+        edges = [float(bounds.lo), *points, float(bounds.hi) + 1]
+        at = bucket.cast("int")
+        low = F.get(F.lit(edges), at)
+        share = (F.col(place) - low) / F.greatest(F.get(F.lit(edges), at + 1) - low, F.lit(1.0))
+        piece = F.floor(share * bounds.pieces)
+        bucket = bucket * bounds.pieces + F.greatest(F.lit(0), F.least(piece, F.lit(bounds.pieces - 1)))
+    return out.withColumn(BUCKET, F.when(F.col(place).isNotNull(), bucket)).drop(place)
 
 
 DATA = "_kt_data"  # 0 for a carry row, 1 for an input row
@@ -77,7 +134,7 @@ def _bucket_window(keys, order):
 
 
 def running(df: DataFrame, partition_by, order_by, aggs: dict[str, tuple[str, str]], *,
-            lead: str | None = None, bounds: tuple[int, ...] | None = None,
+            lead: str | None = None, bounds: Cuts | tuple[int, ...] | None = None,
             buckets: int | None = None, initial: DataFrame | None = None) -> DataFrame:
     """Add running aggregates per ``partition_by`` in ``order_by`` order
     (``rows between unbounded preceding and current row``).
@@ -124,7 +181,7 @@ def running(df: DataFrame, partition_by, order_by, aggs: dict[str, tuple[str, st
 
 
 def previous_value(df: DataFrame, partition_by, order_by, value: str, out: str = "previous", *,
-                   lead: str | None = None, bounds: tuple[int, ...] | None = None,
+                   lead: str | None = None, bounds: Cuts | tuple[int, ...] | None = None,
                    buckets: int | None = None, initial: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = ``value`` of the previous row of the same key in read order
     (``lag(value)``; null for the first row of a key), in two levels as above.

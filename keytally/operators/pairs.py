@@ -19,8 +19,10 @@ def split_pairs(lines: DataFrame, value: str = "value", order: str = "offset",
     """(offset, key, value) for the lines that are ``key,value`` with an allowed value.
 
     A null line never matches (the reference would throw on it; here it is
-    simply not a pair).
+    simply not a pair).  The ``partition`` and ``timestamp`` of topic records are kept,
+    so the pairs still know their read order.
     """
     line = F.col(value)
+    kept = [c for c in ("partition", "timestamp") if c in lines.columns]
     return (lines.where(matches_pair(line, allowed, key_pattern))
-            .select(F.col(order).alias("offset"), pair_key(line).alias("key"), pair_value(line).alias("value")))
+            .select(F.col(order).alias("offset"), pair_key(line).alias("key"), pair_value(line).alias("value"), *kept))

@@ -18,10 +18,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keytally.operators.changelog import order_bounds, previous_value, running
+from keytally.operators.changelog import Cuts, order_cuts, previous_value, running
 
 
 def latest_by_key(records: DataFrame, key: str = "key", value: str = "value", order: str = "offset",
@@ -66,9 +68,9 @@ def count_by_current_value(records: DataFrame, key: str = "key", value: str = "v
 
 
 def current_value_changelog(records: DataFrame, key: str = "key", value: str = "value",
-                            order: str = "offset", count: str = "count", *,
-                            bounds: tuple[int, ...] | None = None, buckets: int | None = None,
-                            initial_values: DataFrame | None = None,
+                            order: str | Sequence[str] = "offset", count: str = "count", *,
+                            lead: str | None = None, bounds: Cuts | tuple[int, ...] | None = None,
+                            buckets: int | None = None, initial_values: DataFrame | None = None,
                             initial_counts: DataFrame | None = None) -> DataFrame:
     """(offset, step, value, count): the change stream of
     :func:`count_by_current_value` with one update per value touched.
@@ -79,22 +81,26 @@ def current_value_changelog(records: DataFrame, key: str = "key", value: str = "
     held nothing.  A repeat of the same value keeps its -1/+1 pair, as the
     reference's library emits it.  ``count`` is the value's count after the step.
 
-    ``initial_values`` (key, value) and ``initial_counts`` (value, count) carry
-    the state from before ``records`` (earlier micro-batches of a stream).
+    ``order`` may be several columns; ``lead`` (default: the first) is the integral one
+    that buckets are cut by.  ``initial_values`` (key, value) and ``initial_counts``
+    (value, count) carry the state from before ``records`` (earlier micro-batches of a
+    stream).
     """
-    keyed = records.where(F.col(key).isNotNull()).select(key, value, order)
+    order = [order] if isinstance(order, str) else list(order)
+    lead = lead or order[0]
+    keyed = records.where(F.col(key).isNotNull()).select(key, value, *order)
     if bounds is None:
-        bounds = order_bounds(keyed, order)
-    with_old = previous_value(keyed, key, order, value, out="_old", bounds=bounds, buckets=buckets,
+        bounds = order_cuts(keyed, lead, buckets)
+    with_old = previous_value(keyed, key, order, value, out="_old", lead=lead, bounds=bounds, buckets=buckets,
                               initial=initial_values)
     steps = F.array(
         F.struct(F.lit(0).alias("step"), F.col("_old").alias("v"), F.lit(-1).cast("long").alias("d")),
         F.struct(F.lit(1).alias("step"), F.col(value).alias("v"), F.lit(1).cast("long").alias("d")),
     )
-    deltas = (with_old.select(order, F.explode(steps).alias("s"))
+    deltas = (with_old.select(*order, F.explode(steps).alias("s"))
               .where(F.col("s.v").isNotNull())
-              .select(order, F.col("s.step").alias("step"), F.col("s.v").alias(value), F.col("s.d").alias("_d")))
+              .select(*order, F.col("s.step").alias("step"), F.col("s.v").alias(value), F.col("s.d").alias("_d")))
     init = None if initial_counts is None else initial_counts.select(value, F.col(count).alias(count))
-    out = running(deltas, value, [order, "step"], {count: ("sum", "_d")}, lead=order, bounds=bounds,
+    out = running(deltas, value, [*order, "step"], {count: ("sum", "_d")}, lead=lead, bounds=bounds,
                   buckets=buckets, initial=init)
-    return out.select(order, "step", value, count)
+    return out.select(*order, "step", value, count)

@@ -11,26 +11,13 @@ keeps its counts in the state store and emits changed words per micro-batch.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keytally.functions.text import UNICODE_WORD_SEPARATOR, WORD_SEPARATOR, with_tokens
-from keytally.operators.changelog import running
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a batch input over all cores when its scan is too coarse.
-
-    A table stored as a few large row groups scans in fewer non-empty tasks than
-    there are cores, and tokenizing is the costly step.  At scale the scan
-    already has far more splits than cores and nothing is shuffled here.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < 2 * cores:
-        return df.repartition(2 * cores)
-    return df
+from keytally.operators.changelog import Cuts, order_cuts, running
 
 
 def _sep(unicode: bool) -> str:
@@ -51,22 +38,31 @@ def words(lines: DataFrame, value: str = "value", unicode: bool = False) -> Data
 def word_count(lines: DataFrame, value: str = "value", unicode: bool = False) -> DataFrame:
     """(word, count) over all lines; ``""`` is a word when a line is empty or
     starts with a separator, as in the reference."""
-    return (words(spread(lines.where(F.col(value).isNotNull())), value, unicode)
+    return (words(lines.where(F.col(value).isNotNull()), value, unicode)
             .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
 
 
 def line_tokens(lines: DataFrame, value: str = "value", order: str = "offset",
-                unicode: bool = False) -> DataFrame:
-    """(offset, pos, word): the words of each line with their position."""
-    src = spread(lines.where(F.col(value).isNotNull()))
-    toks = with_tokens(src, value, "_toks", keep=[order], separator=_sep(unicode))
-    return (toks.select(F.col(order), F.posexplode_outer("_toks").alias("pos", "word"))
+                unicode: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """(offset, pos, word): the words of each line with their position, and the columns
+    ``keep`` of the line."""
+    src = lines.where(F.col(value).isNotNull())
+    toks = with_tokens(src, value, "_toks", keep=[order, *keep], separator=_sep(unicode))
+    return (toks.select(F.col(order), *keep, F.posexplode_outer("_toks").alias("pos", "word"))
             .where(F.col("pos").isNotNull())
             .withColumn("pos", F.col("pos").cast("long")))
 
 
+def line_cuts(lines: DataFrame, value: str = "value", order: str = "offset", buckets: int | None = None) -> Cuts:
+    """Cuts of the line order that leave about equally many words between them, judged
+    by the lines' lengths: a line counts once for every 1,000 characters begun."""
+    weight = F.ceil(F.greatest(F.lit(1), F.length(value)) / F.lit(1000)).cast("int")
+    weighed = lines.where(F.col(value).isNotNull()).select(order, F.explode(F.sequence(F.lit(1), weight)))
+    return order_cuts(weighed, order, buckets)
+
+
 def running_word_count(lines: DataFrame, value: str = "value", order: str = "offset", *,
-                       bounds: tuple[int, ...] | None = None, buckets: int | None = None) -> DataFrame:
+                       bounds: Cuts | tuple[int, ...] | None = None, buckets: int | None = None) -> DataFrame:
     """The word-count changelog: for every word occurrence, in read order
     (line order, then position), the count of that word so far.
 
@@ -75,8 +71,7 @@ def running_word_count(lines: DataFrame, value: str = "value", order: str = "off
     """
     toks = line_tokens(lines, value, order).withColumn("_one", F.lit(1).cast("long"))
     if bounds is None:
-        from keytally.operators.changelog import order_bounds
-        bounds = order_bounds(lines, order)  # on the lines, not the (larger) token rows
+        bounds = line_cuts(lines, value, order, buckets)
     out = running(toks, "word", [order, "pos"], {"count": ("sum", "_one")}, lead=order,
                   bounds=bounds, buckets=buckets)
     return out.select(order, "pos", "word", "count")

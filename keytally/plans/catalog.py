@@ -19,21 +19,24 @@ from pyspark.sql import functions as F
 
 from keytally.functions.records import summary_json
 from keytally.operators import accounts, tables, wordcount
-from keytally.operators.changelog import order_bounds
+from keytally.operators.changelog import order_cuts
 from keytally.operators.pairs import split_pairs
-from keytally.operators.wordcount import spread
 from keytally.sources import sinks, topics
 
 # The colour stand-in's allowed values (event types).
 COLOUR_VALUES = ("click", "view")
 
 
+def _table(spark, sf_dir, name):
+    return topics.read_table(spark, sf_dir, name, topics.small_table_parallelism(spark, sf_dir, name))
+
+
 def _events(spark, sf_dir):
-    return spread(topics.read_table(spark, sf_dir, "events"))
+    return _table(spark, sf_dir, "events")
 
 
 def _documents(spark, sf_dir):
-    return topics.read_table(spark, sf_dir, "documents")
+    return _table(spark, sf_dir, "documents")
 
 
 def _lines(spark, sf_dir):
@@ -48,8 +51,9 @@ def _transactions(spark, sf_dir, need_time=True):
     return accounts.parse_transactions(topics.transaction_records(_events(spark, sf_dir)), need_time=need_time)
 
 
-def _event_bounds(spark, sf_dir):
-    return order_bounds(_events(spark, sf_dir), "event_id")
+def _event_cuts(spark, sf_dir):
+    # of the plain table: nothing is dealt or parsed to read one column
+    return order_cuts(topics.read_table(spark, sf_dir, "events"), "event_id")
 
 
 # --- text --------------------------------------------------------------------------------
@@ -63,8 +67,8 @@ def line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _documents(spark, sf_dir)
-    out = wordcount.running_word_count(topics.text_lines(docs), bounds=order_bounds(docs, "doc_id"))
+    cuts = wordcount.line_cuts(topics.text_lines(topics.read_table(spark, sf_dir, "documents")))
+    out = wordcount.running_word_count(_lines(spark, sf_dir), bounds=cuts)
     return out.withColumnRenamed("offset", "doc_id")
 
 
@@ -93,14 +97,14 @@ def current_value_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def current_value_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = tables.current_value_changelog(_pairs(spark, sf_dir), bounds=_event_bounds(spark, sf_dir))
+    out = tables.current_value_changelog(_pairs(spark, sf_dir), bounds=_event_cuts(spark, sf_dir))
     return out.select(F.col("offset").alias("event_id"), "step", F.col("value").alias("colour"), "count")
 
 
 def changelog_with_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The changelog over keyed records with tombstones (a delete takes one away)."""
     recs = topics.tombstone_records(_events(spark, sf_dir))
-    out = tables.current_value_changelog(recs, bounds=_event_bounds(spark, sf_dir))
+    out = tables.current_value_changelog(recs, bounds=_event_cuts(spark, sf_dir))
     return out.select(F.col("offset").alias("event_id"), "step", "value", "count")
 
 
@@ -115,7 +119,7 @@ def transaction_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bad_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = accounts.bad_transactions(topics.transaction_records(_events(spark, sf_dir)))
+    out = accounts.bad_transactions(topics.faulty_transaction_records(_events(spark, sf_dir)))
     return out.withColumnRenamed("offset", "event_id")
 
 
@@ -128,12 +132,12 @@ def account_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = accounts.running_balances(_transactions(spark, sf_dir, need_time=False), bounds=_event_bounds(spark, sf_dir))
+    out = accounts.running_balances(_transactions(spark, sf_dir, need_time=False), bounds=_event_cuts(spark, sf_dir))
     return out.withColumnRenamed("offset", "event_id")
 
 
 def running_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = accounts.running_summaries(_transactions(spark, sf_dir), bounds=_event_bounds(spark, sf_dir))
+    out = accounts.running_summaries(_transactions(spark, sf_dir), bounds=_event_cuts(spark, sf_dir))
     return out.withColumnRenamed("offset", "event_id")
 
 

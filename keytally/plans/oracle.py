@@ -103,11 +103,20 @@ select colour as key, lpad(upper(to_hex(count)), 16, '0') as value from C""",
     "transaction_records": "with " + TXR_VIEW + "\nselect event_id, key, value from TXR",
 
     "bad_transactions": "with " + TXR_VIEW + r""",
-p as (select event_id, key, value, json_type(value, '$.amount') as amount_type,
-             json_extract_string(value, '$.time') as tt from TXR),
+x as (select event_id, case when event_id % 20 <> 1 then key end as key,
+             case event_id % 20 when 2 then null when 3 then 'junk'
+               when 5 then regexp_replace(value, '"amount":(\d+)', '"amount":"\1"')
+               when 7 then regexp_replace(value, '"amount":(\d+),', '')
+               when 11 then regexp_replace(value, '"time":"(.{10}).*"', '"time":"\1"')
+               when 13 then regexp_replace(value, ',"time":".*"', '')
+               when 17 then regexp_replace(value, '"time":".{10}', '"time":"2024-02-30')
+               else value end as value from TXR),
+j as (select *, case when json_valid(value) then value end as js from x),
+p as (select event_id, key, value, js, json_type(js, '$.amount') as amount_type,
+             json_extract_string(js, '$.time') as tt from j),
 r as (select *, case when key is null then 'null key'
                      when value is null then 'null value'
-                     when json_type(value) <> 'OBJECT' then 'not a JSON object'
+                     when js is null or json_type(js) <> 'OBJECT' then 'not a JSON object'
                      when amount_type is null or amount_type not in ('BIGINT', 'UBIGINT') then 'amount missing or not an integer'
                      when tt is null then 'time missing'
                      when not regexp_full_match(tt, '\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{1,9})?(Z|[+-]\d\d:\d\d)')

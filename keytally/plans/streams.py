@@ -26,9 +26,7 @@ BYTES_PER_STATE_PARTITION = 128 * 1024 * 1024
 def _state_partitions(spark: SparkSession, sf_dir: str, name: str) -> int:
     """State partitions for a one-shot run: enough for the table's size, at
     least twice the cores, never more than the session's shuffle partitions."""
-    path, _ = topics.table_path(spark, sf_dir, name)
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    size = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(jpath).getLength()
+    size = topics.path_bytes(spark, topics.table_path(spark, sf_dir, name)[0])
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = max(2 * spark.sparkContext.defaultParallelism, -(-size // BYTES_PER_STATE_PARTITION))
     return min(configured, wanted)

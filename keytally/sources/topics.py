@@ -5,8 +5,9 @@ where the data came from:
 
     key string, value string, offset long  (+ topic, partition, timestamp for Kafka)
 
-``offset`` is the read order.  "Latest" in the reference means latest in read
-order, so every operator that keeps the latest value orders by it.
+``offset`` is the read order of one partition, :func:`read_order` that over all of
+them.  "Latest" in the reference means latest in read order, so every operator that keeps
+the latest value orders by one of them.
 
 * :func:`read_topic` -- Kafka (``format("kafka")``).  The connector jar is not
   bundled in this build's test container, so this path is **unverified** here;
@@ -31,8 +32,28 @@ TABLE_SCHEMAS = {
 }
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Tables below this size a core are dealt anew by the stand-in queries: a small table is
+# often one row group, which a scan cannot split.
+SMALL_BYTES_PER_CORE = 32 * 1024 * 1024
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, parallelism: int | None = None) -> DataFrame:
+    """A table of the folder.  ``parallelism`` deals its rows round-robin to so many
+    tasks; without it the scan's own splits are kept and nothing is shuffled."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df.repartition(parallelism) if parallelism else df
+
+
+def small_table_parallelism(spark: SparkSession, sf_dir: str, name: str) -> int | None:
+    """Twice the cores for a small table, else None.  Read off the file sizes: no job
+    is started and nothing is planned."""
+    cores = spark.sparkContext.defaultParallelism
+    return 2 * cores if path_bytes(spark, table_path(spark, sf_dir, name)[0]) < cores * SMALL_BYTES_PER_CORE else None
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(jpath).getLength()
 
 
 def _is_dir(spark: SparkSession, path: str) -> bool:
@@ -51,10 +72,8 @@ def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per
     (``<name>.parquet``, picked out of the folder by name) or as a folder of
     part files (``<name>/``, read recursively -- new files are new data).
 
-    ``spread`` (default: decided by a probe) round-robins each micro-batch over
-    the cores when the files scan in fewer splits than cores -- e.g. one big
-    row group per file.  The probe only lists and plans (no data is read); with
-    a source of many splits, as at scale, nothing is shuffled.
+    ``spread`` deals each micro-batch round-robin over the cores (default: for small
+    tables, by their file sizes); at scale nothing is shuffled.
     """
     sch = schema or TABLE_SCHEMAS[name]
     reader = spark.readStream.schema(sch)
@@ -65,13 +84,30 @@ def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per
         df = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
     else:
         df = reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
-    cores = spark.sparkContext.defaultParallelism
     if spread is None:
-        probe = spark.read.schema(sch)
-        if is_folder:
-            probe = probe.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-        spread = probe.parquet(path).rdd.getNumPartitions() < 2 * cores
-    return df.repartition(2 * cores) if spread else df
+        spread = small_table_parallelism(spark, sf_dir, name) is not None
+    return df.repartition(2 * spark.sparkContext.defaultParallelism) if spread else df
+
+
+#: Place of a record in the read order: topic time in microseconds, partition, offset.
+READ_ORDER = "struct<time: bigint, partition: int, offset: bigint>"
+
+
+def read_order(records: DataFrame, offset: str = "offset") -> Column:
+    """The place of each record in the read order over all partitions (null where the
+    offset is null).
+
+    Within a partition records are read by offset; across partitions the time that the
+    topic gave them decides, then the partition.  A source without ``timestamp`` or
+    ``partition`` has only its offsets.
+    """
+    names = {c.lower() for c in records.columns}
+    time = F.unix_micros(F.col("timestamp")) if "timestamp" in names else F.lit(None)
+    part = F.col("partition") if "partition" in names else F.lit(None)
+    place = F.struct(F.coalesce(time, F.lit(0)).cast("long").alias("time"),
+                     F.coalesce(part, F.lit(0)).cast("int").alias("partition"),
+                     F.col(offset).cast("long").alias("offset"))
+    return F.when(F.col(offset).isNotNull(), place)
 
 
 def read_topic(spark: SparkSession, topic: str, bootstrap_servers: str, *, stream: bool = True,
@@ -89,17 +125,12 @@ def read_topic(spark: SparkSession, topic: str, bootstrap_servers: str, *, strea
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     raw = reader.load()
-    # Within one partition the offset is the read order.  Records of one key
-    # written with that key share a partition, so "latest per key" by offset is
-    # exact.  Across partitions the reference has no defined order; read_order
-    # (timestamp, partition, offset) gives a deterministic one -- pass
-    # order="read_order" to latest_by_key / count_by_current_value.
-    return raw.select(
+    out = raw.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
         "topic", "partition", "offset", "timestamp",
-        F.struct("timestamp", "partition", "offset").alias("read_order"),
     )
+    return out.withColumn("read_order", read_order(out))
 
 
 # --- stand-ins over the driver tables -------------------------------------------------
@@ -131,6 +162,23 @@ def published_transactions(table: DataFrame, name: Column, amount: Column, time:
     return table.select(key.alias("key"), transaction_json(key, amount, time).alias("value"), *order)
 
 
+def faulty_transaction_records(events: DataFrame) -> DataFrame:
+    """:func:`transaction_records` as a careless publisher writes them: by event id, some
+    have a null key or value, no JSON, an amount or a time that is none, or miss one."""
+    good = transaction_records(events)
+    kind = F.pmod(F.col("offset"), F.lit(20))
+
+    def spoilt(n, text):
+        return F.when(kind == n, text)
+
+    value = F.coalesce(spoilt(3, F.lit("junk")), spoilt(5, F.regexp_replace("value", r'"amount":(\d+)', '"amount":"$1"')),
+                       spoilt(7, F.regexp_replace("value", r'"amount":(\d+),', "")),
+                       spoilt(11, F.regexp_replace("value", r'"time":"(.{10}).*"', '"time":"$1"')),
+                       spoilt(13, F.regexp_replace("value", r',"time":".*"', "")),
+                       spoilt(17, F.regexp_replace("value", r'"time":".{10}', '"time":"2024-02-30')), F.col("value"))
+    return good.select(F.when(kind != 1, F.col("key")).alias("key"), F.when(kind != 2, value).alias("value"), "offset")
+
+
 def transaction_records(events: DataFrame) -> DataFrame:
     """``events`` as the transaction topic: name = user_id as text, amount =
     ``props.k``, time = ``ts`` (UTC)."""

@@ -7,19 +7,21 @@
     python -m keytally.streaming.apps colour-count --input-path /data/colours --output-path /data/out
 
 Applications: ``word-count``, ``colour-count``, ``balance``, ``summary`` and
-``publish-transactions`` (records of a table -> keyed JSON on a topic).  The
+``publish-transactions`` (the rows of any table, by ``--name-column``, ``--amount-column``
+and ``--time-column``, or ready-made records -> keyed JSON on a topic).  The
 ``*-log`` forms (``word-count-log``, ``colour-count-log``, ``balance-log``,
 ``summary-log``) emit one update per input record, as the reference does with its record cache off; their
 output folder holds ``changelog/`` and the running ``totals/``.
 
 Input: a Kafka topic (``--bootstrap-servers`` + ``--input-topic``; the connector
 must be on the classpath -- unverified in this build's container) or a folder
-of record files (``--input-path``: parquet with ``key, value, offset``
-columns, or ``--input-format text`` for plain text lines, word count only).
+of record files (``--input-path``: parquet with ``key, value, offset`` columns
+and, for several partitions, ``partition`` and ``timestamp``, or ``--input-format text`` for plain text lines, word count only).
 
 Output: a Kafka topic (``--output-topic``; values as the reference's serdes
-write them: 8-byte longs or JSON; at-least-once) and/or an upsert table
-(``--output-path``; exactly once per micro-batch).  Progress lives in
+write them: 8-byte longs or JSON; at-least-once, each record with its batch and row id in
+the headers, so repeats can be told) and/or an upsert table (``--output-path``; exactly
+once per micro-batch, and refused if another checkpoint filled it).  Progress lives in
 ``--checkpoint`` (default: ``<spark.checkpoint.dir>/<app name>``); a restart
 resumes there, and ``earliest`` applies only to a new checkpoint.
 """
@@ -31,15 +33,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from keytally.functions.records import summary_json
+from keytally.functions.times import utc_wallclock
 from keytally.operators import accounts, wordcount
 from keytally.operators.pairs import split_pairs
 from keytally.session import ROCKSDB_PROVIDER, checkpoint_root, session_conf
 from keytally.sources import sinks, topics
+from keytally.streaming.ownership import claim
 from keytally.streaming.upsert import UpsertSink
 
-RECORD_SCHEMA = "key string, value string, offset long"
+RECORD_SCHEMA = "key string, value string, offset long, partition int, timestamp timestamp"
 
 # Default job identities (query name and checkpoint folder); --application-id
 # overrides them.  Two jobs with the same id share their progress.
@@ -56,12 +61,16 @@ DEFAULT_IDS = {
 }
 
 
+# Producer settings of the reference's publisher.
+PRODUCER = {"kafka.acks": "all", "kafka.enable.idempotence": "true"}
+
+
 def read_input(spark: SparkSession, args) -> DataFrame:
     if args.input_topic:
         opts = {"maxOffsetsPerTrigger": str(args.max_offsets_per_trigger)} if args.max_offsets_per_trigger else {}
         recs = topics.read_topic(spark, args.input_topic, args.bootstrap_servers,
                                  starting_offsets=args.starting_offsets, options=opts)
-        return recs.select("key", "value", "offset")
+        return recs.select("key", "value", "offset", "partition", "timestamp")
     reader = spark.readStream
     if args.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(args.max_files_per_trigger))
@@ -69,7 +78,19 @@ def read_input(spark: SparkSession, args) -> DataFrame:
         lines = reader.text(args.input_path)
         return lines.select(F.lit(None).cast("string").alias("key"), F.col("value"),
                             F.lit(None).cast("long").alias("offset"))
-    return reader.schema(RECORD_SCHEMA).option("recursiveFileLookup", "true").parquet(args.input_path)
+    reader = reader.option("recursiveFileLookup", "true")
+    if args.name_column:  # a table of any columns, published as transactions
+        schema = spark.read.option("recursiveFileLookup", "true").parquet(args.input_path).schema
+        return published(reader.schema(schema).parquet(args.input_path), args)
+    return reader.schema(RECORD_SCHEMA).parquet(args.input_path)
+
+
+def published(table: DataFrame, args) -> DataFrame:
+    """The rows of a table as keyed JSON transactions, by the columns that are named."""
+    time = F.col(args.time_column)
+    if isinstance(table.schema[args.time_column].dataType, TimestampType):
+        time = utc_wallclock(time)
+    return topics.published_transactions(table, F.col(args.name_column), F.col(args.amount_column).cast("long"), time)
 
 
 def build(app: str, recs: DataFrame, allowed: Sequence[str], on_bad: str = "fail") -> tuple[DataFrame, list[str]]:
@@ -85,7 +106,7 @@ def build(app: str, recs: DataFrame, allowed: Sequence[str], on_bad: str = "fail
     if app == "summary":
         return accounts.summaries(accounts.parse_transactions(recs, on_bad=on_bad)), ["name"]
     if app == "publish-transactions":
-        return recs, ["key"]
+        return recs.select("key", "value"), ["key"]
     raise ValueError(f"unknown application {app!r}")
 
 
@@ -101,8 +122,8 @@ def start_log(spark: SparkSession, args, app_id: str, recs: DataFrame):
                "summary-log": lambda b: sinks.json_records(b, "name", summary_json("count", "balance", "time"))}[args.app]
 
         def extra(batch: DataFrame, batch_id: int) -> None:
-            sinks.write_topic(enc(batch), args.output_topic, args.bootstrap_servers,
-                              options={"kafka.acks": "all", "kafka.enable.idempotence": "true"})
+            sinks.write_topic(sinks.identified(enc(batch), batch_id), args.output_topic, args.bootstrap_servers,
+                              options=PRODUCER)
     kw = dict(job_name=app_id, base=base, extra_sink=extra, available_now=args.available_now,
               processing_time=args.trigger)
     if args.app == "word-count-log":
@@ -135,20 +156,22 @@ def start(spark: SparkSession, args):
     out, keys = build(args.app, recs, tuple(args.allowed.split(",")), "drop" if quarantine else args.on_bad)
     if quarantine:
         _quarantine(recs, app_id, args)
-    sink = None
-    if args.output_path:  # published records are a log: every batch is kept, none is folded by key
-        log = args.app == "publish-transactions"
-        sink = UpsertSink(args.output_path) if log else UpsertSink(args.output_path, out.schema, keys)
-    mode = "append" if args.app == "publish-transactions" else "update"
+    log = args.app == "publish-transactions"
+    # published records are a log: every batch is kept, none is folded by key.  With a topic
+    # alone the batches are still written, under the checkpoint, and the topic is fed from
+    # there: a micro-batch runs its plan once, and a replay sends the same records
+    folder = args.output_path or f"{ckpt}/outbox"
+    claim(spark, folder, f"{ckpt}/checkpoint")
+    sink = UpsertSink(folder) if log or not args.output_path else UpsertSink(folder, out.schema, keys)
+    mode, schema = "append" if log else "update", out.schema
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        if sink is not None:
-            sink(batch, batch_id)
+        sink(batch, batch_id)  # on a replay too: running the plan is what commits its state
         if args.output_topic:
-            enc = (batch.select("key", "value") if args.app == "publish-transactions"
-                   else build_records(args.app, batch))
-            sinks.write_topic(enc, args.output_topic, args.bootstrap_servers,
-                              options={"kafka.acks": "all", "kafka.enable.idempotence": "true"})
+            rows = sink.batch(batch.sparkSession, schema, batch_id)
+            records = rows if log else build_records(args.app, rows)
+            sinks.write_topic(sinks.identified(records, batch_id), args.output_topic, args.bootstrap_servers,
+                              options=PRODUCER)
 
     w = (out.writeStream.queryName(app_id).outputMode(mode).option("checkpointLocation", f"{ckpt}/checkpoint")
          .foreachBatch(each_batch))
@@ -189,10 +212,17 @@ def parse_args(argv=None):
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--on-bad", choices=["fail", "drop", "quarantine"], default="fail",
                    help="balance/summary: bad transactions stop the job, are skipped, or are kept aside")
+    p.add_argument("--name-column", help="publish-transactions: the account column of the input table")
+    p.add_argument("--amount-column", help="publish-transactions: its amount column (whole numbers)")
+    p.add_argument("--time-column", help="publish-transactions: its time column")
     p.add_argument("--quarantine-path", help="folder of the bad transactions kept aside, with their checkpoint")
     a = p.parse_args(argv)
     if a.app.endswith("-log") and a.input_path and a.input_format == "text":
         p.error("text lines have no read order: the -log applications need records with an offset")
+    named = [a.name_column, a.amount_column, a.time_column]
+    if any(named) and not (all(named) and a.app == "publish-transactions" and a.input_path):
+        p.error("--name-column, --amount-column and --time-column go together, with publish-transactions "
+                "and --input-path")
     if not (a.input_topic or a.input_path):
         p.error("give --input-topic or --input-path")
     if not (a.output_topic or a.output_path):

@@ -2,36 +2,52 @@
 reference emits with its record cache off (running balance, running summary,
 running word count, and the ±1 updates of counts per current value).
 
-Each micro-batch is handled inside ``foreachBatch`` by the batch operator of
-:mod:`keytally.operators.changelog` (two-level, skew-safe), seeded with the
-per-key totals as of the previous batch:
-
-* ``<base>/changelog/batch_id=<n>`` -- the batch's output rows (append table);
-* ``<base>/totals/batch_id=<n>``    -- new totals of the keys the batch touched
-  (an upsert table; batch ``n`` reads it with ``up_to=n-1``).
-
-Both folders of batch ``n`` are overwritten when the batch is replayed, with
-the same inputs (the totals as of ``n-1`` do not change), so the output is
-exactly once.  Records are taken in arrival order across micro-batches and in
-read order (offset) within one, as the reference processes them.  The totals since
-the newest snapshot are read and cut to the keys in the batch by a semi join, so a
-batch's cost also grows with the keys seen so far.
+One streaming query holds two branches over the same source:
+
+* the records of the micro-batch, as they are;
+* per key that the micro-batch touches, what was known of it before: the totals of
+  earlier micro-batches, or its current value and version.  They live in Spark's own
+  state store (``transformWithStateInPandas``, RocksDB under the checkpoint) and are fed
+  by rows that each task has reduced to one per key (or key and value), so a hot key
+  costs its task count, and a micro-batch reads and writes the state of its own keys only.
+
+``foreachBatch`` then runs the batch operators of :mod:`keytally.operators.changelog`
+(two-level, skew-safe) over the records, seeded with the second branch, and writes
+``<base>/changelog/batch_id=<n>``.  A replayed micro-batch finds the state as it was
+before it and overwrites its folder with the same rows, so the output is exactly once.
+
+Across micro-batches totals follow arrival, as the reference processes records; within
+one, the read order (topic time, partition, offset).  Current values follow the read
+order throughout: a record older than the one that set its key's value changes nothing
+and has no row, the same rule as for the counts of :mod:`.current_value`.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import LongType, StructField, StructType
 
 from keytally.functions.times import epoch_ntz
 from keytally.operators import accounts, tables, wordcount
-from keytally.operators.changelog import running
-from keytally.session import job_dir
-from keytally.streaming.upsert import BATCH_COL, DEFAULT_COMPACT_EVERY, maybe_compact, read_upsert
+from keytally.operators.changelog import order_cuts, running
+from keytally.session import ROCKSDB_PROVIDER, job_dir, session_conf
+from keytally.sources.topics import read_order
+from keytally.streaming import current_value
+from keytally.streaming.current_value import VERSION, newest_per_value, versioned
+from keytally.streaming.ownership import claim
+from keytally.streaming.upsert import BATCH_COL
+
+ORDER = [f"_at_{c}" for c in VERSION]
+HELD = 200_000  # keys that a task totals before it hands them on
 
 
 @dataclass
@@ -50,147 +66,254 @@ class ChangelogJob:
         return self.result(spark)
 
 
+# --- totals of earlier micro-batches -------------------------------------------------------
+
+def _folded(pdf: pd.DataFrame, key: str, kinds: dict[str, str]) -> pd.DataFrame:
+    return pdf.groupby(key, sort=False, as_index=False).agg(kinds)
+
+
+class EarlierTotals(StatefulProcessor):
+    """Per key: emits its totals of earlier micro-batches, then adds this one's."""
+
+    def __init__(self, key: str, kinds: dict[str, str]):
+        self.key, self.kinds = key, kinds
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.totals = handle.getValueState("totals", StructType([StructField(n, LongType()) for n in self.kinds]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        stored = self.totals.get()
+        known = [pd.DataFrame([tuple(stored)], columns=list(self.kinds))] if stored is not None else []
+        for chunk in rows:
+            known = [pd.concat([*known, chunk[list(self.kinds)]]).agg(self.kinds).to_frame().T]
+        self.totals.update(tuple(int(known[0].iloc[0][n]) for n in self.kinds))
+        if stored is not None:
+            yield pd.DataFrame({self.key: [key[0]], **{n: [int(v)] for n, v in zip(self.kinds, stored)}})
+
+    def close(self) -> None:
+        pass
+
+
+def with_earlier_totals(rows: DataFrame, key: str, aggs: dict[str, tuple[str, str]]) -> DataFrame:
+    """The rows of each micro-batch (``_earlier`` 0) and, of every key among them that
+    was seen before, its totals of earlier micro-batches (``_earlier`` 1)."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    kinds = {name: kind for name, (kind, _) in aggs.items()}
+    schema = f"`{key}` string, " + ", ".join(f"{n} long" for n in kinds)
+
+    def per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in batches:
+            part = _folded(pdf, key, kinds)
+            held = part if held is None else _folded(pd.concat([held, part]), key, kinds)
+            if len(held) > HELD:
+                yield held
+                held = None
+        if held is not None and len(held):
+            yield held
+
+    shares = rows.select(key, *[F.col(c).cast("long").alias(n) for n, (_, c) in aggs.items()])
+    earlier = (shares.mapInPandas(per_task, schema).groupBy(key)
+               .transformWithStateInPandas(EarlierTotals(key, kinds), schema, "Append", "None"))
+    return rows.withColumn("_earlier", F.lit(0)).unionByName(
+        earlier.withColumn("_earlier", F.lit(1)), allowMissingColumns=True)
+
+
+def _ordered(records: DataFrame) -> DataFrame:
+    """Records with their place in the read order as ``_at_time``, ``_at_partition``, ``_at_offset``."""
+    place = read_order(records)
+    return records.select("*", *[place.getField(c).alias(o) for c, o in zip(VERSION, ORDER)])
+
+
+def _lead(rows: DataFrame) -> str:
+    """The order column that the rows of one micro-batch are cut by: their time, or the
+    offset where one time and partition is all there is."""
+    first, last = rows.agg(*[f(F.struct("_at_time", "_at_partition")) for f in (F.min, F.max)]).first()
+    return "_at_offset" if first == last else "_at_time"
+
+
 class _RunningBatch:
-    """``foreachBatch`` step: running aggregates of one micro-batch on top of
-    the totals of earlier batches."""
+    """``foreachBatch`` step: running aggregates of one micro-batch on top of the totals
+    of earlier ones."""
 
-    def __init__(self, base: str, keys: list[str], order: list[str], aggs: dict, totals_schema: StructType,
-                 finish, out_schema: StructType | None = None, extra_sink=None):
-        self.base, self.keys, self.order, self.aggs = base, keys, order, aggs
-        self.totals_schema, self.finish = totals_schema, finish
-        self.out_schema, self.extra_sink = out_schema, extra_sink
+    def __init__(self, base: str, key: str, order: list[str], aggs: dict[str, tuple[str, str]],
+                 finish: Callable[[DataFrame], DataFrame], out_schema: StructType, extra_sink=None):
+        self.base, self.key, self.order, self.aggs = base, key, order, aggs
+        self.finish, self.out_schema, self.extra_sink = finish, out_schema, extra_sink
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        keys = self.keys
-        # the batch is read several times below (bounds, rows, totals); keep it
-        # for the duration of this step (recomputed from the source if lost)
-        batch = batch.persist()
-        initial = None
-        if batch_id > 0:
-            prev = read_upsert(spark, f"{self.base}/totals", self.totals_schema, keys, up_to=batch_id - 1)
-            initial = prev.join(batch.select(*keys).distinct(), on=keys, how="left_semi")
-        out = running(batch, keys, self.order, self.aggs, initial=initial)
-        log_path = f"{self.base}/changelog/{BATCH_COL}={batch_id}"
-        self.finish(out).write.mode("overwrite").parquet(log_path)
-        if self.extra_sink is not None:  # e.g. a topic; fed from the written rows
-            self.extra_sink(spark.read.schema(self.out_schema).parquet(log_path), batch_id)
-        # new totals of the touched keys: the batch's totals on top of the previous ones
-        fn = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
-        contrib = batch.select(*keys, *[
-            (F.when(F.col(c).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long") if kind == "count"
-             else F.col(c)).alias(n) for n, (kind, c) in self.aggs.items()])
-        both = contrib if initial is None else contrib.unionByName(initial.select(*keys, *self.aggs))
-        totals = both.groupBy(*keys).agg(*[fn[kind](n).alias(n) for n, (kind, _) in self.aggs.items()])
-        totals.select(*[f.name for f in self.totals_schema.fields]).write.mode("overwrite") \
-            .parquet(f"{self.base}/totals/{BATCH_COL}={batch_id}")
-        maybe_compact(spark, f"{self.base}/totals", self.totals_schema, keys, batch_id, DEFAULT_COMPACT_EVERY)
-        batch.unpersist()
-
-
-def _start(df: DataFrame, step: _RunningBatch, out_schema: StructType, base: str, job_name: str,
-           available_now: bool, processing_time: str | None, fresh: bool = True,
-           extra_sink=None) -> ChangelogJob:
-    step.out_schema, step.extra_sink = out_schema, extra_sink
+        batch = batch.persist()  # read several times below; recomputed from the source if lost
+        try:
+            rows = batch.where("_earlier = 0").drop("_earlier", *self.aggs)
+            earlier = batch.where("_earlier = 1").select(self.key, *self.aggs)
+            out = running(rows, self.key, self.order, self.aggs, lead=_lead(rows), initial=earlier)
+            _write(self.finish(out), self.base, batch_id, self.out_schema, self.extra_sink)
+        finally:
+            batch.unpersist()
+
+
+def _write(out: DataFrame, base: str, batch_id: int, schema: StructType, extra_sink) -> None:
+    path = f"{base}/changelog/{BATCH_COL}={batch_id}"
+    out.select(*schema.names).write.mode("overwrite").parquet(path)
+    if extra_sink is not None:  # a topic, fed from the written rows
+        extra_sink(out.sparkSession.read.schema(schema).parquet(path), batch_id)
+
+
+def _start(df: DataFrame, step, base: str, job_name: str, available_now: bool, processing_time: str | None,
+           fresh: bool) -> ChangelogJob:
+    claim(df.sparkSession, f"{base}/changelog", f"{base}/checkpoint", BATCH_COL)
     w = (df.writeStream.queryName(f"{job_name}_{base.rsplit('/', 1)[-1]}" if fresh else job_name)
          .option("checkpointLocation", f"{base}/checkpoint").foreachBatch(step))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 second")
-    return ChangelogJob(w.start(), base, out_schema)
+    with session_conf(df.sparkSession, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}):
+        return ChangelogJob(w.start(), base, step.out_schema)
 
 
-def running_summary_job(records: DataFrame, job_name: str = "running_summary", *, fresh: bool = False,
-                        on_bad: str = "fail", available_now: bool = True,
-                        processing_time: str | None = None, base: str | None = None,
-                        extra_sink=None) -> ChangelogJob:
-    """JSON transactions -> (offset, name, count, balance, time) per transaction."""
-    spark = records.sparkSession
-    base = base or job_dir(spark, job_name, fresh=fresh)
-    tx = accounts.parse_transactions(records, on_bad=on_bad).withColumn("_one", F.lit(1).cast("long"))
-    aggs = {"count": ("sum", "_one"), "balance": ("sum", "amount"), "_tmax": ("max", "time")}
+def _running_job(rows: DataFrame, key: str, order: list[str], aggs, finish, schema: str, job_name: str, *,
+                 fresh: bool = False, available_now: bool = True, processing_time: str | None = None,
+                 base: str | None = None, extra_sink=None) -> ChangelogJob:
+    base = base or job_dir(rows.sparkSession, job_name, fresh=fresh)
+    step = _RunningBatch(base, key, order, aggs, finish, StructType.fromDDL(schema), extra_sink)
+    return _start(with_earlier_totals(rows, key, aggs), step, base, job_name, available_now, processing_time, fresh)
 
-    def finish(out):
-        return out.select("offset", "name", "count", F.col("balance").cast("long").alias("balance"),
-                          F.greatest(epoch_ntz(), F.col("_tmax")).alias("time"))
 
-    totals_schema = StructType.fromDDL("name string, count long, balance long, _tmax timestamp_ntz")
-    out_schema = StructType.fromDDL("offset long, name string, count long, balance long, time timestamp_ntz")
-    step = _RunningBatch(base, ["name"], ["offset"], aggs, totals_schema, finish)
-    return _start(tx, step, out_schema, base, job_name, available_now, processing_time, fresh, extra_sink)
+def _place(records: DataFrame) -> str:
+    """Further output columns that tell records of several partitions apart."""
+    return ", partition int" if "partition" in records.columns else ""
+
 
+def _kept(place: str) -> list[Column]:
+    return [F.col("_at_partition").alias("partition")] if place else []
 
-def running_balance_job(records: DataFrame, job_name: str = "running_balance", *, fresh: bool = False,
-                        on_bad: str = "fail", available_now: bool = True,
-                        processing_time: str | None = None, base: str | None = None,
-                        extra_sink=None) -> ChangelogJob:
-    """JSON transactions -> (offset, name, balance) per transaction."""
-    spark = records.sparkSession
-    base = base or job_dir(spark, job_name, fresh=fresh)
-    tx = accounts.parse_transactions(records, on_bad=on_bad, need_time=False)
+
+def running_summary_job(records: DataFrame, job_name: str = "running_summary", *, on_bad: str = "fail",
+                        **kw) -> ChangelogJob:
+    """JSON transactions -> (offset, name, count, balance, time) per transaction, and its
+    ``partition`` where the records have one."""
+    place = _place(records)
+    tx = accounts.parse_transactions(_ordered(records), on_bad=on_bad, keep=ORDER)
+    rows = tx.select("name", "amount", *ORDER, F.lit(1).cast("long").alias("_one"),
+                     F.timestamp_diff("MICROSECOND", epoch_ntz(), F.col("time")).alias("_micros"))
+    aggs = {"count": ("sum", "_one"), "balance": ("sum", "amount"), "latest": ("max", "_micros")}
 
     def finish(out):
-        return out.select("offset", "name", F.col("balance").cast("long").alias("balance"))
+        return out.select(F.col("_at_offset").alias("offset"), *_kept(place), "name", "count", "balance",
+                          F.timestamp_add("MICROSECOND", F.greatest(F.lit(0), F.col("latest")), epoch_ntz()).alias("time"))
 
-    step = _RunningBatch(base, ["name"], ["offset"], {"balance": ("sum", "amount")},
-                         StructType.fromDDL("name string, balance long"), finish)
-    return _start(tx, step, StructType.fromDDL("offset long, name string, balance long"), base, job_name,
-                  available_now, processing_time, fresh, extra_sink)
+    return _running_job(rows, "name", ORDER, aggs, finish,
+                        f"offset long{place}, name string, count long, balance long, time timestamp_ntz", job_name, **kw)
 
 
-def running_word_count_job(lines: DataFrame, job_name: str = "running_word_count", *, fresh: bool = False,
-                           available_now: bool = True, processing_time: str | None = None,
-                           base: str | None = None, extra_sink=None) -> ChangelogJob:
-    """Text lines -> (offset, pos, word, count) per word occurrence."""
-    spark = lines.sparkSession
-    base = base or job_dir(spark, job_name, fresh=fresh)
-    toks = wordcount.line_tokens(lines).withColumn("_one", F.lit(1).cast("long"))
+def running_balance_job(records: DataFrame, job_name: str = "running_balance", *, on_bad: str = "fail",
+                        **kw) -> ChangelogJob:
+    """JSON transactions -> (offset, name, balance) per transaction, and its ``partition``
+    where the records have one."""
+    place = _place(records)
+    tx = accounts.parse_transactions(_ordered(records), on_bad=on_bad, need_time=False, keep=ORDER)
 
     def finish(out):
-        return out.select("offset", "pos", "word", "count")
+        return out.select(F.col("_at_offset").alias("offset"), *_kept(place), "name", "balance")
 
-    step = _RunningBatch(base, ["word"], ["offset", "pos"], {"count": ("sum", "_one")},
-                         StructType.fromDDL("word string, count long"), finish)
-    return _start(toks, step, StructType.fromDDL("offset long, pos long, word string, count long"), base,
-                  job_name, available_now, processing_time, fresh, extra_sink)
+    return _running_job(tx.select("name", "amount", *ORDER), "name", ORDER, {"balance": ("sum", "amount")}, finish,
+                        f"offset long{place}, name string, balance long", job_name, **kw)
 
 
-class _CurrentValueBatch:
-    """``foreachBatch`` step of the current-value changelog: previous value per
-    key and running count per value, both seeded from the earlier batches."""
+def running_word_count_job(lines: DataFrame, job_name: str = "running_word_count", **kw) -> ChangelogJob:
+    """Text lines -> (offset, pos, word, count) per word occurrence, and the line's
+    ``partition`` where the records have one."""
+    place = _place(lines)
+    toks = wordcount.line_tokens(_ordered(lines), order="_at_offset", keep=ORDER[:2])
+    rows = toks.withColumn("_one", F.lit(1).cast("long"))
 
-    VALUES = StructType([StructField("key", StringType()), StructField("value", StringType())])
-    COUNTS = StructType([StructField("value", StringType()), StructField("count", LongType())])
+    def finish(out):
+        return out.select(F.col("_at_offset").alias("offset"), *_kept(place), "pos", "word", "count")
+
+    return _running_job(rows, "word", [*ORDER, "pos"], {"count": ("sum", "_one")}, finish,
+                        f"offset long{place}, pos long, word string, count long", job_name, **kw)
+
+
+# --- current values ----------------------------------------------------------------------
+
+class EarlierValue(StatefulProcessor):
+    """Per key: emits its value and version of earlier micro-batches (kind ``key``) and
+    how the counts of values change (kind ``value``), then keeps the newest value."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.current = handle.getValueState("current", current_value.STATE_SCHEMA)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        newest, value, seen = None, None, set()
+        stored = self.current.get()
+        held, version = (stored[0], tuple(stored[1:])) if stored is not None else (None, None)
+        for chunk in rows:
+            for row in chunk.itertuples(index=False):
+                place = tuple(int(getattr(row, c)) for c in VERSION)
+                if version is not None and place <= version:
+                    continue  # older than what is known: nothing changes
+                own = None if pd.isna(row.value) else row.value
+                seen.add(own)
+                if newest is None or place > newest:
+                    newest, value = place, own
+        out = []
+        if stored is not None:
+            out.append(("key", key[0], held, 0, *version))
+        if newest is not None:
+            self.current.update((value, *newest))
+            seen.add(held)
+            out += [("value", v, None, (v == value) - (v == held), 0, 0, 0) for v in seen if v is not None]
+        if out:
+            yield pd.DataFrame(out, columns=["kind", "key", "held", "delta", *VERSION])
+
+    def close(self) -> None:
+        pass
+
+
+class EarlierCount(StatefulProcessor):
+    """Per value: emits its count before this micro-batch.  Rows of keys pass through."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.count = handle.getValueState("count", StructType([StructField("count", LongType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if key[0] == "key":
+            yield from (chunk[["kind", "key", "held", "delta", *VERSION]] for chunk in rows)
+            return
+        stored = self.count.get()
+        before = int(stored[0]) if stored is not None else 0
+        self.count.update((before + sum(int(chunk["delta"].sum()) for chunk in rows),))
+        yield pd.DataFrame([("value", key[1], None, before, 0, 0, 0)],
+                           columns=["kind", "key", "held", "delta", *VERSION])
+
+    def close(self) -> None:
+        pass
+
+
+class _CurrentValueBatch:
+    """``foreachBatch`` step of the current-value changelog: previous value per key and
+    running count per value, both seeded with what was known before."""
 
     def __init__(self, base: str, out_schema: StructType, extra_sink=None):
         self.base, self.out_schema, self.extra_sink = base, out_schema, extra_sink
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.where(F.col("key").isNotNull()).persist()
-        init_values = init_counts = None
-        if batch_id > 0:
-            touched_keys = batch.select("key").distinct()
-            init_values = read_upsert(spark, f"{self.base}/values", self.VALUES, ["key"],
-                                      up_to=batch_id - 1).join(touched_keys, "key", "left_semi")
-            counts = read_upsert(spark, f"{self.base}/counts", self.COUNTS, ["value"], up_to=batch_id - 1)
-            # values touched: the batch's own and the old values of its keys
-            touched_values = batch.select("value").unionByName(init_values.select("value")).distinct()
-            init_counts = counts.join(touched_values, "value", "left_semi")
-        log = tables.current_value_changelog(batch, initial_values=init_values, initial_counts=init_counts)
-        log_path = f"{self.base}/changelog/{BATCH_COL}={batch_id}"
-        log.write.mode("overwrite").parquet(log_path)
-        written = spark.read.schema(self.out_schema).parquet(log_path)
-        if self.extra_sink is not None:
-            self.extra_sink(written, batch_id)
-        # new state: each touched key's last value, each touched value's last count
-        # (a null value stays, as the delete of the key)
-        last_values = tables.latest_by_key(batch, deletes=False)
-        last_values.write.mode("overwrite").parquet(f"{self.base}/values/{BATCH_COL}={batch_id}")
-        last_counts = (written.groupBy("value")
-                       .agg(F.max_by(F.col("count"), F.struct("offset", "step")).alias("count")))
-        last_counts.write.mode("overwrite").parquet(f"{self.base}/counts/{BATCH_COL}={batch_id}")
-        maybe_compact(spark, f"{self.base}/values", self.VALUES, ["key"], batch_id, DEFAULT_COMPACT_EVERY)
-        maybe_compact(spark, f"{self.base}/counts", self.COUNTS, ["value"], batch_id, DEFAULT_COMPACT_EVERY)
-        batch.unpersist()
+        batch = batch.persist()
+        try:
+            place = F.struct(*VERSION)
+            known = (batch.where("kind = 'key'").select("key", F.col("held").alias("value"), place.alias("_known")))
+            rows = batch.where("kind = 'row'").select("key", "value", *VERSION, place.alias("_place"))
+            # one row a key on the right: a hot key's rows are split by the join as they are
+            rows = (rows.join(known.select("key", "_known"), "key", "left")
+                    .where("_known is null or _place > _known").drop("_known", "_place"))
+            counts = batch.where("kind = 'value'").select(F.col("key").alias("value"), F.col("delta").alias("count"))
+            rows = rows.select("key", "value", *[F.col(c).alias(o) for c, o in zip(VERSION, ORDER)])
+            lead = _lead(rows)
+            log = tables.current_value_changelog(rows, order=ORDER, lead=lead, bounds=order_cuts(rows, lead),
+                                                 initial_values=known.drop("_known"), initial_counts=counts)
+            out = log.select(F.col("_at_offset").alias("offset"), F.col("_at_partition").alias("partition"), "step",
+                             "value", "count")
+            _write(out, self.base, batch_id, self.out_schema, self.extra_sink)
+        finally:
+            batch.unpersist()
 
 
 def current_value_changelog_job(records: DataFrame, job_name: str = "current_value_changelog", *,
@@ -199,14 +322,17 @@ def current_value_changelog_job(records: DataFrame, job_name: str = "current_val
                                 extra_sink=None) -> ChangelogJob:
     """(key, value) records -> (offset, step, value, count): for each record the
     old value losing one (step 0) and the new value gaining one (step 1); a null
-    value deletes its key.  A record that arrives in a later micro-batch counts as
-    later, whatever its offset."""
-    spark = records.sparkSession
-    base = base or job_dir(spark, job_name, fresh=fresh)
-    out_schema = StructType.fromDDL("offset long, step int, value string, count long")
+    value deletes its key.  A record older than its key's current value has no row.
+    Records of several partitions also have their ``partition``."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    cloudpickle.register_pickle_by_value(current_value)
+    base = base or job_dir(records.sparkSession, job_name, fresh=fresh)
+    out_schema = StructType.fromDDL(f"offset long{_place(records)}, step int, value string, count long")
+    rows = versioned(records)
+    schema = "kind string, key string, held string, delta long, time long, partition int, offset long"
+    changes = (newest_per_value(rows).groupBy("key")
+               .transformWithStateInPandas(EarlierValue(), schema, "Append", "None"))
+    known = changes.groupBy("kind", "key").transformWithStateInPandas(EarlierCount(), schema, "Append", "None")
+    both = rows.withColumn("kind", F.lit("row")).unionByName(known, allowMissingColumns=True)
     step = _CurrentValueBatch(base, out_schema, extra_sink)
-    w = (records.select("offset", "key", "value").writeStream
-         .queryName(f"{job_name}_{base.rsplit('/', 1)[-1]}" if fresh else job_name)
-         .option("checkpointLocation", f"{base}/checkpoint").foreachBatch(step))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 second")
-    return ChangelogJob(w.start(), base, out_schema)
+    return _start(both, step, base, job_name, available_now, processing_time, fresh)

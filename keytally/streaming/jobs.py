@@ -25,6 +25,8 @@ from pyspark.sql.types import StructType
 
 from keytally.operators import accounts, tables, wordcount
 from keytally.session import ROCKSDB_PROVIDER, job_dir, session_conf
+from keytally.sources.topics import read_order
+from keytally.streaming.ownership import claim
 from keytally.streaming.upsert import DEFAULT_COMPACT_EVERY, UpsertSink, read_upsert
 
 
@@ -70,6 +72,7 @@ def start_upsert(df: DataFrame, keys, job_name: str, *, fresh: bool = False, ava
     spark = df.sparkSession
     base = job_dir(spark, job_name, fresh=fresh)
     ckpt, out = f"{base}/checkpoint", f"{base}/table"
+    claim(spark, out, ckpt)
     w = (df.writeStream.queryName(f"{job_name}_{base.rsplit('/', 1)[-1]}" if fresh else job_name)
          .outputMode(output_mode)
          .option("checkpointLocation", ckpt)
@@ -100,9 +103,11 @@ def latest_by_key_job(records: DataFrame, job_name: str = "latest_by_key", **kw)
     """Keyed records -> table of the latest value per key; a null value deletes.
 
     The aggregate emits tombstone rows (value null) so the upsert table sees
-    the delete; reading the table drops them.
+    the delete; reading the table drops them.  Records with a ``timestamp`` and a
+    ``partition`` are ordered by them first (:func:`keytally.sources.topics.read_order`).
     """
-    return start_upsert(tables.latest_by_key(records, deletes=False), ["key"], job_name, **kw)
+    placed = records.withColumn("_place", read_order(records))
+    return start_upsert(tables.latest_by_key(placed, order="_place", deletes=False), ["key"], job_name, **kw)
 
 
 def quarantine_job(records: DataFrame, job_name: str, *, fresh: bool = False, available_now: bool = True,

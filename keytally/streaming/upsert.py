@@ -70,6 +70,10 @@ class UpsertSink:
         self.path = path.rstrip("/")
         self.schema, self.keys, self.compact_every = schema, keys, compact_every
 
+    def batch(self, spark: SparkSession, schema: StructType, batch_id: int) -> DataFrame:
+        """The rows of one written batch."""
+        return spark.read.schema(schema).parquet(f"{self.path}/{BATCH_COL}={batch_id}")
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COL}={batch_id}")
         maybe_compact(batch.sparkSession, self.path, self.schema, self.keys, batch_id, self.compact_every)
