@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,11 +35,29 @@ from keytally.llm.common import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"  # the file's space mark
-REMEMBERED = 100_000  # parts remembered by a worker
+REMEMBERED = 500_000  # parts remembered by a worker
+SHORT = 48  # longer parts hardly come again
 ROWS = 500  # rows that a worker encodes before it hands them on
 _PARTS = re.compile(" *[^ ]+| +")
 
 
+class Remembered(dict):
+    """Part -> its ids as bytes, encoded when first met; the older half goes when full."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, part: str) -> bytes:
+        ids = np.array(self.encode(part), np.int32).tobytes()
+        if len(part) <= SHORT:
+            if len(self) >= REMEMBERED:
+                for old in list(self)[:REMEMBERED // 2]:
+                    del self[old]
+            self[part] = ids
+        return ids
+
+
 class Codec:
     """Pieces (text, score, id) and the ids of the 256 bytes.  The automaton is built
     where it is used; only the pieces travel (their number is the vocabulary's)."""
@@ -74,8 +93,14 @@ class Codec:
         self.single = {t for t, _, _ in self.pieces if len(t) == 1}
         self.unknown = min(s for _, s, _ in self.pieces) - 10
         raw = {i: t.encode() for t, _, i in self.pieces} | {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
-        self.raw = raw
-        self.seen: dict[str, bytes] = {}
+        # all pieces' bytes in one table, with their place and length by id
+        self.lengths = np.zeros(max(raw) + 1, np.int64)
+        self.places = np.zeros(max(raw) + 1, np.int64)
+        ids = sorted(raw)
+        self.lengths[ids] = [len(raw[i]) for i in ids]
+        self.places[ids] = np.cumsum(self.lengths[ids]) - self.lengths[ids]
+        self.bytes = np.frombuffer(b"".join(raw[i] for i in ids), np.uint8)
+        self.seen = Remembered(self.best_path)
         self._ready = True
 
     def best_path(self, part: str) -> list[int]:
@@ -106,44 +131,81 @@ class Codec:
             at = start[at]
         return out[::-1]
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode_bytes(self, text: str) -> bytes:
+        """The ids of ``text`` as int32 bytes."""
         if not self._ready:
             self._build()
-        if not text:
-            return np.empty(0, np.int32)
-        out = []
-        for part in _PARTS.findall(" " + text):
-            ids = self.seen.get(part)
-            if ids is None:
-                ids = np.array(self.best_path(part), np.int32).tobytes()
-                if len(part) <= 64:  # longer parts hardly come again
-                    if len(self.seen) >= REMEMBERED:
-                        self.seen.clear()
-                    self.seen[part] = ids
-            out.append(ids)
-        return np.frombuffer(b"".join(out), np.int32)
+        return b"".join(map(self.seen.__getitem__, _PARTS.findall(" " + text))) if text else b""
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.encode_bytes(text), np.int32)
 
     def decode(self, ids) -> str:
+        ids = np.asarray(ids, np.int32)
+        return self.texts(ids, np.array([0, len(ids)]))[0][0].as_py()
+
+    def encode_all(self, texts: list[str | None]) -> pa.ListArray:
+        """The ids of each text; null for a null."""
+        packed = [None if t is None else self.encode_bytes(t) for t in texts]
+        ends = np.cumsum([0, *(len(p) // 4 if p else 0 for p in packed)], dtype=np.int32)
+        values = np.frombuffer(b"".join(p for p in packed if p), np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()),
+                                        mask=pa.array([p is None for p in packed], pa.bool_()))
+
+    def decode_all(self, ids: pa.ListArray) -> pa.StringArray:
+        """The text of each list of ids; null for a null."""
+        ends = np.asarray(ids.offsets, np.int64)  # a slice's offsets start where it does
+        values = np.asarray(ids.values.slice(ends[0], ends[-1] - ends[0]))
+        texts, _ = self.texts(values, ends - ends[0])
+        return pc.if_else(ids.is_null(), pa.scalar(None, pa.string()), texts) if ids.null_count else texts
+
+    def texts(self, ids: np.ndarray, ends: np.ndarray) -> tuple[pa.StringArray, np.ndarray]:
+        """The texts of the rows ``ids[ends[k]:ends[k + 1]]``, and the ends of their bytes.
+        Pieces' bytes are gathered from the table in one step; the space that encoding put
+        in front of a text is left out.  Bytes that are no UTF-8 become U+FFFD."""
         if not self._ready:
             self._build()
-        text = b"".join(map(self.raw.__getitem__, ids))
-        return text[1:].decode("utf-8", "replace")
-
-
-def _with_column(df: DataFrame, source: str, out: str, kind: T.DataType, make) -> DataFrame:
-    """``df`` with column ``out`` made from ``source`` by ``make`` (list -> Arrow array),
-    ``ROWS`` rows at a time; the other columns pass through as they are."""
-    names = df.columns
-    kept = [k for k, c in enumerate(names) if c.lower() != out.lower()]
+        lengths = self.lengths[ids]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        flat = self.bytes[np.repeat(self.places[ids] - upto[:-1], lengths) + np.arange(upto[-1])]
+        byte_ends = upto[ends]
+        keep = np.ones(len(flat), bool)
+        filled = byte_ends[:-1] < byte_ends[1:]
+        keep[byte_ends[:-1][filled]] = False
+        flat = flat[keep]
+        byte_ends = byte_ends - np.concatenate([[0], np.cumsum(filled)])
+        raw, starts = flat.tobytes(), byte_ends[:-1][byte_ends[:-1] < byte_ends[1:]]
+        try:
+            raw.decode()
+            sound = not ((flat[starts] & 0xC0) == 0x80).any()  # no row begins inside a character
+        except UnicodeDecodeError:
+            sound = False
+        if sound:
+            return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(byte_ends.astype(np.int32)), pa.py_buffer(raw)), byte_ends
+        return pa.array([raw[s:e].decode("utf-8", "replace") for s, e in zip(byte_ends, byte_ends[1:])], pa.string()), byte_ends
+
+
+_HERE: dict[int, Codec] = {}  # a worker's codec, and what it remembers, outlives its tasks
+
+
+def _kept(codec: Codec) -> Codec:
+    return _HERE.setdefault(hash((len(codec.pieces), tuple(codec.pieces[-50:]), tuple(codec.byte_ids))), codec)
+
+
+def _with_columns(df: DataFrame, source: str, outs: dict[str, T.DataType], make) -> DataFrame:
+    """``df`` with columns ``outs`` made from ``source`` by ``make`` (Arrow array -> Arrow
+    arrays), ``ROWS`` rows at a time; the other columns pass through as they are."""
+    names, taken = df.columns, {c.lower() for c in outs}
+    kept = [k for k, c in enumerate(names) if c.lower() not in taken]
     at = [c.lower() for c in names].index(source.lower())
-    schema = T.StructType([df.schema.fields[k] for k in kept] + [T.StructField(out, kind)])
+    schema = T.StructType([df.schema.fields[k] for k in kept] + [T.StructField(c, t) for c, t in outs.items()])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(0, batch.num_rows, ROWS):
                 part = batch.slice(r, ROWS)
-                yield pa.RecordBatch.from_arrays([part.column(k) for k in kept] + [make(part.column(at).to_pylist())],
-                                                 names=[names[k] for k in kept] + [out])
+                yield pa.RecordBatch.from_arrays([part.column(k) for k in kept] + make(part.column(at)),
+                                                 names=[names[k] for k in kept] + list(outs))
 
     return df.mapInArrow(apply, schema)
 
@@ -152,31 +214,35 @@ def encode(docs: DataFrame, text_col: str = "text", out: str = "ids", codec: Cod
     """``docs`` with the piece ids of ``text_col`` as a further, last column (replacing
     one of that name)."""
     codec = codec or Codec.from_file()
-
-    def make(texts: list[str | None]) -> pa.Array:
-        ids = [None if t is None else codec.encode(t) for t in texts]
-        return pa.array(ids, pa.list_(pa.int32()))
-
-    return _with_column(docs, text_col, out, T.ArrayType(T.IntegerType()), make)
+    return _with_columns(docs, text_col, {out: T.ArrayType(T.IntegerType())},
+                         lambda texts: [_kept(codec).encode_all(texts.to_pylist())])
 
 
 def decode(tokens: DataFrame, ids_col: str = "ids", out: str = "decoded", codec: Codec | None = None) -> DataFrame:
     """``tokens`` with the text of ``ids_col`` as a further, last column."""
     codec = codec or Codec.from_file()
+    return _with_columns(tokens, ids_col, {out: T.StringType()}, lambda ids: [_kept(codec).decode_all(ids)])
+
+
+def round_trip(docs: DataFrame, text_col: str = "text", out: str = "ids", decoded: str = "decoded",
+               codec: Codec | None = None) -> DataFrame:
+    """``docs`` encoded and decoded again, in one pass over the rows."""
+    codec = codec or Codec.from_file()
 
-    def make(rows: list[list[int] | None]) -> pa.Array:
-        return pa.array([None if x is None else codec.decode(x) for x in rows], pa.string())
+    def make(texts: pa.Array) -> list[pa.Array]:
+        ids = _kept(codec).encode_all(texts.to_pylist())
+        return [ids, _kept(codec).decode_all(ids)]
 
-    return _with_column(tokens, ids_col, out, T.StringType(), make)
+    return _with_columns(docs, text_col, {out: T.ArrayType(T.IntegerType()), decoded: T.StringType()}, make)
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: the number of ids, a hash of them,
     how many stand for single bytes, and whether the text came back."""
     codec = Codec.from_file()
-    tokens = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), codec=codec)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     low, high = min(codec.byte_ids), max(codec.byte_ids)
-    return decode(tokens, codec=codec).select(
+    return round_trip(docs, codec=codec).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.size(F.filter("ids", lambda i: i.between(low, high))).cast("long").alias("n_byte_tokens"),
         F.lower(F.lpad(F.hex(F.xxhash64("ids")), 16, "0")).alias("ids_hash"),
