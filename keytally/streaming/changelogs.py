@@ -7,9 +7,10 @@ One streaming query holds two branches over the same source:
 * the records of the micro-batch, as they are;
 * per key that the micro-batch touches, what was known of it before: the totals of
   earlier micro-batches, or its current value and version.  They live in Spark's own
-  state store (``transformWithStateInPandas``, RocksDB under the checkpoint) and are fed
-  by rows that each task has reduced to one per key (or key and value), so a hot key
-  costs its task count, and a micro-batch reads and writes the state of its own keys only.
+  state store (RocksDB under the checkpoint; a streaming aggregate where all totals are
+  sums, else ``transformWithStateInPandas``) and are fed by rows that each task has
+  reduced to one per key (or key and value), so a hot key costs its task count, and a
+  micro-batch reads and writes the state of its own keys only.
 
 ``foreachBatch`` then runs the batch operators of :mod:`keytally.operators.changelog`
 (two-level, skew-safe) over the records, seeded with the second branch, and writes
@@ -94,9 +95,21 @@ class EarlierTotals(StatefulProcessor):
         pass
 
 
-def with_earlier_totals(rows: DataFrame, key: str, aggs: dict[str, tuple[str, str]]) -> DataFrame:
-    """The rows of each micro-batch (``_earlier`` 0) and, of every key among them that
-    was seen before, its totals of earlier micro-batches (``_earlier`` 1)."""
+def _only_sums(aggs: dict[str, tuple[str, str]]) -> bool:
+    return all(kind == "sum" for kind, _ in aggs.values())
+
+
+def with_totals(rows: DataFrame, key: str, aggs: dict[str, tuple[str, str]]) -> DataFrame:
+    """The rows of each micro-batch (``_state`` 0) and what Spark's state knows of every
+    key among them (``_state`` 1).
+
+    Sums come from a streaming aggregate, with this micro-batch in them; they are taken
+    back in :func:`earlier_totals`.  A maximum cannot be, so other aggregates come from
+    :class:`EarlierTotals`, without this micro-batch."""
+    if _only_sums(aggs):
+        totals = rows.groupBy(key).agg(*[F.sum(F.col(c)).cast("long").alias(n) for n, (_, c) in aggs.items()])
+        return rows.withColumn("_state", F.lit(0)).unionByName(
+            totals.withColumn("_state", F.lit(1)), allowMissingColumns=True)
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     kinds = {name: kind for name, (kind, _) in aggs.items()}
     schema = f"`{key}` string, " + ", ".join(f"{n} long" for n in kinds)
@@ -115,8 +128,17 @@ def with_earlier_totals(rows: DataFrame, key: str, aggs: dict[str, tuple[str, st
     shares = rows.select(key, *[F.col(c).cast("long").alias(n) for n, (_, c) in aggs.items()])
     earlier = (shares.mapInPandas(per_task, schema).groupBy(key)
                .transformWithStateInPandas(EarlierTotals(key, kinds), schema, "Append", "None"))
-    return rows.withColumn("_earlier", F.lit(0)).unionByName(
-        earlier.withColumn("_earlier", F.lit(1)), allowMissingColumns=True)
+    return rows.withColumn("_state", F.lit(0)).unionByName(
+        earlier.withColumn("_state", F.lit(1)), allowMissingColumns=True)
+
+
+def earlier_totals(batch: DataFrame, key: str, aggs: dict[str, tuple[str, str]]) -> DataFrame:
+    """The totals of earlier micro-batches of the keys of this one."""
+    known = batch.where("_state = 1").select(key, *aggs)
+    if not _only_sums(aggs):
+        return known
+    own = batch.where("_state = 0").select(key, *[(-F.col(c)).cast("long").alias(n) for n, (_, c) in aggs.items()])
+    return known.unionByName(own).groupBy(key).agg(*[F.sum(n).alias(n) for n in aggs])
 
 
 def _ordered(records: DataFrame) -> DataFrame:
@@ -144,9 +166,9 @@ class _RunningBatch:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # read several times below; recomputed from the source if lost
         try:
-            rows = batch.where("_earlier = 0").drop("_earlier", *self.aggs)
-            earlier = batch.where("_earlier = 1").select(self.key, *self.aggs)
-            out = running(rows, self.key, self.order, self.aggs, lead=_lead(rows), initial=earlier)
+            rows = batch.where("_state = 0").drop("_state", *self.aggs)
+            out = running(rows, self.key, self.order, self.aggs, lead=_lead(rows),
+                          initial=earlier_totals(batch, self.key, self.aggs))
             _write(self.finish(out), self.base, batch_id, self.out_schema, self.extra_sink)
         finally:
             batch.unpersist()
@@ -160,9 +182,9 @@ def _write(out: DataFrame, base: str, batch_id: int, schema: StructType, extra_s
 
 
 def _start(df: DataFrame, step, base: str, job_name: str, available_now: bool, processing_time: str | None,
-           fresh: bool) -> ChangelogJob:
+           fresh: bool, mode: str = "append") -> ChangelogJob:
     claim(df.sparkSession, f"{base}/changelog", f"{base}/checkpoint", BATCH_COL)
-    w = (df.writeStream.queryName(f"{job_name}_{base.rsplit('/', 1)[-1]}" if fresh else job_name)
+    w = (df.writeStream.queryName(f"{job_name}_{base.rsplit('/', 1)[-1]}" if fresh else job_name).outputMode(mode)
          .option("checkpointLocation", f"{base}/checkpoint").foreachBatch(step))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 second")
     with session_conf(df.sparkSession, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}):
@@ -174,7 +196,8 @@ def _running_job(rows: DataFrame, key: str, order: list[str], aggs, finish, sche
                  base: str | None = None, extra_sink=None) -> ChangelogJob:
     base = base or job_dir(rows.sparkSession, job_name, fresh=fresh)
     step = _RunningBatch(base, key, order, aggs, finish, StructType.fromDDL(schema), extra_sink)
-    return _start(with_earlier_totals(rows, key, aggs), step, base, job_name, available_now, processing_time, fresh)
+    return _start(with_totals(rows, key, aggs), step, base, job_name, available_now, processing_time, fresh,
+                  "update" if _only_sums(aggs) else "append")
 
 
 def _place(records: DataFrame) -> str:
