@@ -5,8 +5,11 @@ into its longest runs of a secret's alphabet, so that quotes, brackets, ``=``, `
 ``#`` and the like end a run wherever they stand.  Past a ``name:`` in front and dots
 behind, a run is a candidate if it has a digit, or mixed case without one, and
 ``SHORTEST`` or more characters, or ``NAMED_SHORTEST`` where a secret's name stands in
-front.  A word can hold several candidates; they share its ``word_index``.  A candidate
-is described by its length, how its characters change class, how much of it a word list
+front.  Behind a secret's name and ``=`` or ``:``, in the word or in the two before it,
+the whole value up to a quote, bracket, comma or space is the candidate instead, whatever
+it is made of (``&`` ends it in an address); letters alone count from ``SHORTEST`` on.  So
+is the password of ``scheme://user:password@host``.  A word can hold several candidates;
+they share its ``word_index``.  A candidate is described by its length, how its characters change class, how much of it a word list
 covers, whether it looks like part of a path, address or identifier, and by what stands
 in front of it: the neighbouring words and the rest of its own, as its name.  A random
 forest trained on labelled findings (``labelled_findings``) scores it; its trees are
@@ -68,8 +71,21 @@ VARIED = r"(?s)[0-9]|[a-z].*[A-Z]"
 _ALPHABET = r"A-Za-z0-9+/_.~@:%\-"
 #: What stands before a run, and the run; the last match takes the rest of the word.
 RUN = r"(?s)(.*?)([" + _ALPHABET + "]{" + str(NAMED_SHORTEST) + r",}+(?:={1,2}(?![=\"'" + _ALPHABET + r"]))?|\z)"
-#: Names in front of a run's value; a scheme is none.
-RUN_NAMES = r"^(?:(?:[\-.]*[A-Za-z_][A-Za-z0-9_.\-]*)?:(?!//))+"
+_VALUE = r"[^\s\"'`<>,;()\[\]{}\\]"
+_OPEN = r"[\"'`(\[{]*"
+#: A named value inside a word; names may follow each other.
+IN_WORD = (NAME + r"[\"'\])]*[=:]{1,3}" + _OPEN + "(?!(?:" + _alternatives(SECRET_NAMES) + r")[\"'\]]*[=:])("
+           + _VALUE + "{" + str(NAMED_SHORTEST) + ",}+)")
+#: The words before end with a name and its sign, or the word itself begins with the sign.
+SIGN_BEFORE = NAME + r"(?: is)?[\"'`)\]}]*\s*[=:]{1,3}[\s\"'`(\[{]*$"
+NAME_BEFORE = NAME + r"(?: is)?[\"'`)\]}]*\s*$"
+AFTER = "^" + _OPEN + "(" + _VALUE + "{" + str(NAMED_SHORTEST) + ",}+)"
+AFTER_SIGN = "^[=:]{1,3}" + _OPEN + "(" + _VALUE + "{" + str(NAMED_SHORTEST) + ",}+)"
+#: The name and sign at the end of what stands before a value.
+NAMED_TAIL = NAME + r"[\"'`)\]]*[=:]{1,3}[\"'`(\[{]*$"
+IN_ADDRESS = r"://[^\s/:@]{1,100}+:([^\s/:@]{6,100})@"
+#: A name in front of a run's value, or nothing between two colons.
+RUN_NAME = r"^(?:[\-.]*[A-Za-z_][A-Za-z0-9_.\-]*)?$"
 
 FEATURES = ["length", "digits", "upper", "lower", "other", "changes", "hexed", "covered", "path", "dotted", "dashed",
             "at", "named", "digest", "known", "distinct", "longest_letters"]
@@ -125,6 +141,7 @@ def _kinds(i: Column) -> list[tuple[int, Column, Column, Column]]:
     cut = lambda c: F.substr(c, F.lit(1), long.cast("int"))
     short = F.lit(NAMED_SHORTEST) + F.pmod(F.hash(i), F.lit(SHORTEST - NAMED_SHORTEST))
     brief = lambda c: F.substr(c, F.lit(1), short.cast("int"))
+    letters = lambda k: F.translate(sha(k, 64), "0123456789", "ghilmnorst")
     return [
         (1, two, none, F.concat(F.lit("AKIA"), caps("a", 16))),
         (1, two, set_to, F.concat(F.lit("AKIA"), caps("b", 16))),
@@ -168,6 +185,15 @@ def _kinds(i: Column) -> list[tuple[int, Column, Column, Column]]:
         (0, two, set_to, F.concat(cap, F.initcap(pick(WORDS, "a1")))),
         (0, two, set_to, F.concat(F.lit("/"), text, F.lit("/"), pick(WORDS, "b1"), digits("b1", 1))),
         (0, F.concat(text, F.lit(" "), name, F.lit(":")), none, F.concat_ws("-", F.lit("2024"), digits("c1", 2), digits("d1", 2))),
+        # whole values behind a name: with signs in them, or of letters alone
+        (1, two, set_to, F.concat(brief(any64("e1", 80)), F.lit("!"), any64("f1", 3))),
+        (1, two, set_to, F.concat(F.initcap(any64("g1", 4)), digits("g1", 1), F.lit("&"), any64("h1", 5), F.lit("#"))),
+        (1, F.concat(text, F.lit(" "), name, F.lit(":")), none, F.concat(any64("i1", 5), F.lit("$"), any64("j1", 6))),
+        (1, two, set_to, cut(letters("k1"))), (1, F.concat(text, F.lit(" "), name, F.lit(":")), none, cut(letters("l1"))),
+        (1, two, F.lit("://user:password:"), brief(any64("m1", 80))), (1, two, F.lit("://user:password:"), brief(sha("n1", 64))),
+        (0, two, set_to, F.concat(F.lit("$"), F.upper(text), F.lit("_"), F.upper(pick(WORDS, "o1")))),
+        (0, two, set_to, F.concat(text, pick(WORDS, "p1"), pick(WORDS, "q1"))),
+        (0, F.concat(text, F.lit(" "), name, F.lit(":")), none, F.concat(text, F.lit("."), pick(WORDS, "r1"), F.lit("."), name)),
     ]
 
 
@@ -211,43 +237,90 @@ def score(model, features: Column) -> Column:
     return reduce(lambda a, b: a + b, trees) / F.lit(float(len(trees)))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` reads it (an
+    expression read inside a lambda is computed for every element)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def names_of(run: Column) -> Column:
+    """The names in front of a run's value, each with its colon; a scheme is none.  Told
+    part by part, since Java matches a repeated group by recursion: its depth would grow
+    with the word."""
+    def length(parts: Column) -> Column:
+        is_name = F.transform(parts, lambda p, i: (i < F.size(parts) - 1) & p.rlike(RUN_NAME)
+                              & ~F.coalesce(F.get(parts, i + 1).startswith("//"), F.lit(False)))
+        names = F.slice(parts, F.lit(1), F.array_position(is_name, F.lit(False)).cast("int") - 1)
+        return F.aggregate(names, F.lit(0), lambda n, p: n + F.length(p) + 1)
+
+    return F.substr(run, F.lit(1), _let(F.split(run, ":"), length))
+
+
+def named_values(w: Column, b: Column) -> Column:
+    """array<struct<v, l>>: the whole values of a word that stand behind a secret's name,
+    the two words before included, or in an address, and what leads to them."""
+    up_to = lambda t, e: F.call_function("substring_index", t, e, F.lit(1))
+    end = F.when(w.contains("://") | w.contains("?"), F.lit("&")).otherwise(F.lit("\u0000"))
+    own = lambda v: F.rtrim(up_to(v, end), F.lit(".:!?"))
+    lead = F.concat(b, F.lit(" "))
+    inside = F.transform(F.regexp_extract_all(w, F.lit(IN_WORD), F.lit(1)), lambda v: F.struct(
+        own(v).alias("v"), F.concat(lead, F.regexp_extract(up_to(w, v), NAMED_TAIL, 0)).alias("l")))
+    after = F.when(lead.rlike(SIGN_BEFORE), F.regexp_extract(w, AFTER, 1)) \
+        .when(lead.rlike(NAME_BEFORE), F.regexp_extract(w, AFTER_SIGN, 1)).otherwise(F.lit(""))
+    before = F.array(F.struct(own(after).alias("v"), F.concat(F.rtrim(lead), F.lit(" ")).alias("l")))
+    address = F.transform(F.regexp_extract_all(w, F.lit(IN_ADDRESS), F.lit(1)), lambda v: F.struct(
+        v.alias("v"), F.concat(lead, F.lit("://user:password:")).alias("l")))
+    return F.concat(F.filter(F.concat(inside, before), lambda s: (F.length(s["v"]) >= NAMED_SHORTEST)
+                              & (s["v"].rlike(VARIED) | (F.length(s["v"]) >= SHORTEST))), address)
+
+
 def findings(text: Column, model) -> Column:
     """array<struct<word_index, value, score>> of every candidate of a text."""
-    words = F.split(text, r"[\x20\x09-\x0D]+")
     # each word with the two words in front of it
-    placed = F.transform(
+    placed = _let(F.split(text, r"[\x20\x09-\x0D]+"), lambda words: F.transform(
         F.filter(F.transform(words, lambda w, k: F.struct(k.alias("k"), w.alias("w"))),
-                 lambda s: (F.length(s["w"]) >= NAMED_SHORTEST) & s["w"].rlike(VARIED)),
+                 lambda s: F.length(s["w"]) >= NAMED_SHORTEST),
         lambda s: F.struct(s["k"].alias("k"), s["w"].alias("w"),
-                           F.concat_ws(" ", F.get(words, s["k"] - 2), F.get(words, s["k"] - 1)).alias("b")))
-    long = F.filter(placed, lambda s: (F.length(s["w"]) >= SHORTEST) | F.concat_ws(" ", s["b"], s["w"]).rlike(NAME))
+                           F.concat_ws(" ", F.get(words, s["k"] - 2), F.get(words, s["k"] - 1)).alias("b"))))
+    signed = lambda c: c.contains("=") | c.contains(":")
+    some = F.filter(placed, lambda s: s["w"].rlike(VARIED) | signed(s["w"]) | signed(s["b"]))
+    long = F.filter(some, lambda s: ((F.length(s["w"]) >= SHORTEST) & s["w"].rlike(VARIED))
+                    | F.concat_ws(" ", s["b"], s["w"]).rlike(NAME) | s["w"].contains("://"))
     cut = F.transform(long, lambda s: F.struct(
         s["k"].alias("k"), s["b"].alias("b"), F.regexp_extract_all(s["w"], F.lit(RUN), F.lit(1)).alias("gaps"),
-        F.regexp_extract_all(s["w"], F.lit(RUN), F.lit(2)).alias("runs")))
-
-    def run(s: Column, r: Column, j: Column) -> Column:
-        # a name reaches back to the run before at most
-        before = F.when(j == 0, F.concat(s["b"], F.lit(" "))).otherwise(F.get(s["runs"], j - 1))
-        return F.struct(s["k"].alias("k"), F.regexp_replace(r, r"[.:]+$", "").alias("r"),
-                        F.concat(before, F.get(s["gaps"], j)).alias("l"))
-
-    runs = F.flatten(F.transform(cut, lambda s: F.transform(s["runs"], lambda r, j: run(s, r, j))))
-    named = F.transform(F.filter(runs, lambda s: s["r"].rlike(VARIED)), lambda s: F.struct(
-        s["k"].alias("k"), s["r"].alias("r"), s["l"].alias("l"),
-        # behind a name, a colon in the value does not end another
-        F.when(s["l"].rlike(NAMED), F.regexp_extract(s["r"], "^:*", 0))
-        .otherwise(F.regexp_extract(s["r"], RUN_NAMES, 0)).alias("n")))
-    valued = F.transform(named, lambda s: F.struct(
-        s["k"].alias("k"), F.substr(s["r"], F.length(s["n"]) + 1).alias("v"), F.concat(s["l"], s["n"]).alias("l")))
-    shaped = F.filter(valued, lambda s: s["v"].rlike(VARIED) & (
-        (F.length(s["v"]) >= SHORTEST) | ((F.length(s["v"]) >= NAMED_SHORTEST) & s["l"].rlike(NAMED))))
+        F.regexp_extract_all(s["w"], F.lit(RUN), F.lit(2)).alias("runs"), named_values(s["w"], s["b"]).alias("values")))
+
+    def candidates(cut: Column) -> Column:
+        def run(s: Column, r: Column, j: Column) -> Column:
+            # a name reaches back to the run before at most
+            before = F.when(j == 0, F.concat(s["b"], F.lit(" "))).otherwise(F.get(s["runs"], j - 1))
+            return F.struct(s["k"].alias("k"), F.rtrim(r, F.lit(".:")).alias("r"),
+                            F.concat(before, F.get(s["gaps"], j)).alias("l"), s["values"].alias("values"))
+
+        runs = F.flatten(F.transform(cut, lambda s: F.transform(s["runs"], lambda r, j: run(s, r, j))))
+        named = F.transform(F.filter(runs, lambda s: s["r"].rlike(VARIED)), lambda s: F.struct(
+            s["k"].alias("k"), s["r"].alias("r"), s["l"].alias("l"), s["values"].alias("values"),
+            # behind a name, a colon in the value does not end another
+            F.when(s["l"].rlike(NAMED), F.regexp_extract(s["r"], "^:*+", 0))
+            .otherwise(names_of(s["r"])).alias("n")))
+        valued = F.transform(named, lambda s: F.struct(
+            s["k"].alias("k"), F.substr(s["r"], F.length(s["n"]) + 1).alias("v"), F.concat(s["l"], s["n"]).alias("l"),
+            s["values"].alias("values")))
+        shaped = F.filter(valued, lambda s: s["v"].rlike(VARIED) & (
+            (F.length(s["v"]) >= SHORTEST) | ((F.length(s["v"]) >= NAMED_SHORTEST) & s["l"].rlike(NAMED)))
+            # a run in, or around, a whole value is no candidate of its own
+            & ~F.exists(s["values"], lambda x: x["v"].contains(s["v"]) | s["v"].contains(x["v"])))
+        return F.concat(
+            F.transform(shaped, lambda s: F.struct(s["k"].alias("k"), s["v"].alias("v"), s["l"].alias("l"))),
+            F.flatten(F.transform(cut, lambda s: F.transform(s["values"], lambda x: F.struct(
+                s["k"].alias("k"), x["v"].alias("v"), x["l"].alias("l"))))))
 
     def scored(s: Column) -> Column:
         made = describe(s["v"], s["l"])
         return F.struct(s["k"].alias("k"), s["v"].alias("v"),
                         F.array(*[F.coalesce(made[c], F.lit(0.0)) for c in FEATURES]).alias("f"))
 
-    return F.transform(F.transform(shaped, scored), lambda s: F.struct(
+    return F.transform(F.transform(_let(cut, candidates), scored), lambda s: F.struct(
         s["k"].alias("word_index"), s["v"].alias("value"), score(model, s["f"]).alias("score")))
 
 
