@@ -10,21 +10,27 @@ The extra copies are drawn by the cube method: probabilities move along the null
 space of the constraints (sum of sizes, number of documents) until they reach 0 or
 1, so both totals stay as they are at every step.  A source is dealt by a hash to
 groups of about ``group`` documents; each group's flight ends with two or fewer
-documents undecided, these of all groups meet in the next round, and what is left
-of a source's last group is landed: the choice with the smallest miss in words.
-Choices are drawn from a hash of the ids, so reruns agree.
+documents undecided, and these of all groups meet in the next round.  In a source's last
+group ``RESERVE`` documents of sizes spread over all of them do not fly; they and the two
+that are left are landed together: of all choices the one that misses the words least,
+then the documents.  Choices are drawn from a hash of the rows, so reruns agree.
+
+Rows that are repeated whole are one class with a count.  The copies of a class are drawn
+as documents of their own, but only how many of them are taken is kept, so no list of
+copies is ever gathered and which of them is which does not matter.
 
 Defined cases: a null text has size 0 and is taken 0 times its size; a null source
 is a source, last in order; documents of size 0 take no part in the draw (taken 0);
-repeated ids and rows are separate documents, dealt together; with no words at all
-targets are 0; an empty table gives an empty result; other columns are kept by
-``mixed`` and ignored by ``mix_sizes``.
+repeated ids and rows are separate documents; with no words at all targets are 0; an
+empty table gives an empty result; other columns are kept by ``mixed`` (where they tell
+rows apart) and ignored by ``mix_sizes``.
 """
 
 from __future__ import annotations
 
 import random
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,6 +39,8 @@ from keytally.llm.common import free_name, stored, table
 
 CAP = 3
 GROUP = 2000
+RESERVE = 14  # documents that are landed with the undecided ones
+TOGETHER = 10_000  # copies of a class that are numbered in one task
 WORDS = r"[^\x20\x09-\x0D]+"
 SEED = 42
 _EPS = 1e-9
@@ -75,11 +83,15 @@ def flight(size: list[float], p: list[float], rng: random.Random) -> list[float]
 
 
 def land(size: list[float], p: list[float]) -> list[float]:
-    """Round the two or fewer entries that are left so that the miss in words is least."""
+    """Round the few entries that are left so that the miss in words is least, and of
+    such choices the miss in documents."""
     left = [i for i, x in enumerate(p) if 0.0 < x < 1.0]
-    want = sum(size[i] * p[i] for i in left)
-    best = min(range(1 << len(left)),
-               key=lambda bits: abs(sum(size[i] for k, i in enumerate(left) if bits >> k & 1) - want))
+    words, docs = np.zeros(1), np.zeros(1)
+    for i in left:  # bit k of a choice says whether the k-th is taken
+        words, docs = np.concatenate([words, words + size[i]]), np.concatenate([docs, docs + 1])
+    miss = np.abs(words - sum(size[i] * p[i] for i in left))
+    far = np.abs(docs - sum(p[i] for i in left))
+    best = int(np.lexsort((np.arange(len(miss)), far, np.round(miss)))[0])
     for k, i in enumerate(left):
         p[i] = float(best >> k & 1)
     return p
@@ -87,12 +99,19 @@ def land(size: list[float], p: list[float]) -> list[float]:
 
 def _draw(pdf: pd.DataFrame) -> pd.DataFrame:
     # largest first: the documents that stay undecided, and the miss they leave, are small
-    pdf = pdf.sort_values(["size", "h", "id"], ascending=[False, True, True], ignore_index=True)
+    pdf = pdf.sort_values(["size", "h", "k"], ascending=[False, True, True], ignore_index=True)
     rng = random.Random(f"{SEED}-{pdf['h'].iat[0]}-{len(pdf)}")
-    size = pdf["size"].astype(float).tolist()
-    p = flight(size, pdf["p"].tolist(), rng)
-    pdf["p"] = land(size, p) if pdf["last"].iat[0] else p
-    return pdf[["id", "source", "size", "h", "p"]]
+    size, p = pdf["size"].astype(float).to_numpy(), pdf["p"].to_numpy().copy()
+    if pdf["last"].iat[0]:
+        # one of every so many by size, the smallest among them
+        kept = np.unique(np.linspace(0, len(pdf) - 1, min(RESERVE, len(pdf))).astype(int))
+        fly = np.setdiff1d(np.arange(len(pdf)), kept)
+        p[fly] = flight(size[fly].tolist(), p[fly].tolist(), rng)
+        p = land(size.tolist(), p.tolist())
+    else:
+        p = flight(size.tolist(), p.tolist(), rng)
+    pdf["p"] = p
+    return pdf[["source", "size", "cls", "k", "h", "p"]]
 
 
 def targets(sizes: DataFrame, cap: int = CAP) -> DataFrame:
@@ -125,19 +144,29 @@ def targets(sizes: DataFrame, cap: int = CAP) -> DataFrame:
     return first.select("source", "docs", "source_size", target.alias("target"))
 
 
-def mix_sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-              cap: int = CAP, group: int = GROUP) -> DataFrame:
-    """One row per document: id, ``size``, ``source_size``, ``target``, ``taken``."""
-    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORDS)), F.lit(0)).cast("long")
-    rows = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size")),
-                  "sizes")
-    goal = stored(targets(rows, cap), "targets")
+def _words(text_col: str):
+    return F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORDS)), F.lit(0)).cast("long")
+
+
+def _class(df: DataFrame, cols: list[str]):
+    """A hash of a row's columns (maps have none and tell no rows apart)."""
+    kinds = dict(df.dtypes)
+    return F.xxhash64(*[F.col(f"`{c}`") for c in cols if "map<" not in kinds[c]])
+
+
+def _decided(rows: DataFrame, cap: int, group: int) -> DataFrame:
+    """(id, source, size, cls) rows -> one row per class: how many copies there are, how
+    often each is taken at least (``whole``), and how many once more (``extra``)."""
+    rows = stored(rows.groupBy("id", "source", "size", "cls").agg(F.count(F.lit(1)).alias("copies")), "sizes")
+    goal = stored(targets(rows.select("source", (F.col("size") * F.col("copies")).alias("size")), cap), "targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rated = (rows.join(goal.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
              .withColumn("whole", F.floor(rate)).withColumn("p", rate - F.col("whole")))
+    rated = stored(rated, "rated")
     drawn = (F.col("size") > 0) & (F.col("p") > _EPS) & (F.col("p") < 1 - _EPS)
-    left = rated.where(drawn).select("id", "source", "size", F.xxhash64("id", "size", F.lit(SEED)).alias("h"), "p")
-    decided = None
+    left = (_copies(rated.where(drawn).select("source", "size", "cls", "copies", "p"))
+            .select("source", "size", "cls", "k", F.xxhash64("cls", "size", "k", F.lit(SEED)).alias("h"), "p"))
+    extra = None
     for level in range(40):
         per = left.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / F.lit(group)).cast("int").alias("groups"))
         per = per.withColumnRenamed("source", "s")
@@ -145,46 +174,63 @@ def mix_sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source
                  .withColumn("g", F.pmod(F.xxhash64("h", F.lit(level)), F.col("groups")).cast("int"))
                  .withColumn("last", F.col("groups") == 1))
         done = stored(dealt.groupBy("source", "g").applyInPandas(
-            _draw, "id " + dict(rows.dtypes)["id"] + ", source " + dict(rows.dtypes)["source"]
-            + ", size long, h long, p double"), "draw")
-        chosen = done.where("p = 0 or p = 1")
-        decided = chosen if decided is None else decided.unionByName(chosen)
+            _draw, "source " + dict(rows.dtypes)["source"] + ", size long, cls long, k long, h long, p double"), "draw")
+        chosen = done.where("p = 1").groupBy("source", "size", "cls").agg(F.count(F.lit(1)).alias("extra"))
+        extra = chosen if extra is None else extra.unionByName(chosen)
         left = done.where("p > 0 and p < 1")
         if left.isEmpty():
             break
-    extra = (decided.groupBy("id", "source", "size").agg(F.sort_array(F.collect_list("p")).alias("ps")))
-    # rows that share id, source and size are told apart by their number only
-    same = Window.partitionBy("id", "source", "size").orderBy(F.lit(1))
-    numbered = rated.withColumn("k", F.row_number().over(same))
-    joined = numbered.alias("a").join(extra.alias("b"), F.col("a.id").eqNullSafe(F.col("b.id"))
-                                      & F.col("a.source").eqNullSafe(F.col("b.source"))
-                                      & (F.col("a.size") == F.col("b.size")), "left")
-    once = F.coalesce(F.get("ps", F.col("k") - 1), F.when(F.col("p") >= 1 - _EPS, 1.0).otherwise(0.0))
-    taken = F.least(F.col("whole") + once.cast("long"), F.lit(cap)) * F.col("a.size")
-    return joined.select(F.col("a.id").alias(id_col), F.col("a.source").alias(source_col),
-                         F.col("a.size").alias("size"), "source_size",
-                         "target", taken.cast("long").alias("taken"))
+    extra = (extra.groupBy("source", "size", "cls").agg(F.sum("extra").alias("extra"))
+             .toDF("xsource", "xsize", "xcls", "extra"))
+    both = rated.join(extra, F.col("source").eqNullSafe(F.col("xsource")) & (F.col("size") == F.col("xsize"))
+                      & (F.col("cls") == F.col("xcls")), "left")
+    sure = F.when(F.col("p") >= 1 - _EPS, F.col("copies")).otherwise(F.lit(0))
+    return both.select("id", "source", "size", "cls", "copies", "source_size", "target",
+                       F.least("whole", F.lit(cap)).cast("int").alias("whole"),
+                       F.when(F.col("whole") >= cap, F.lit(0)).otherwise(F.coalesce("extra", sure)).cast("long").alias("extra"))
+
+
+def _copies(classes: DataFrame) -> DataFrame:
+    """A row for each copy of a class, numbered ``k``.  A class of very many copies is cut
+    before it is expanded, so its copies are made in many tasks."""
+    part = (classes.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / TOGETHER))))
+            .repartition("cls", "part"))
+    first = F.col("part") * TOGETHER
+    return part.withColumn("k", F.explode(F.sequence(first, F.least(first + TOGETHER, F.col("copies")) - 1))).drop("part")
+
+
+def mix_sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
+              cap: int = CAP, group: int = GROUP) -> DataFrame:
+    """One row per document: id, ``size``, ``source_size``, ``target``, ``taken``."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), _words(text_col).alias("size"),
+                       _class(docs, [id_col, source_col, text_col]).alias("cls"))
+    times = F.col("whole") + (F.col("k") < F.col("extra")).cast("int")
+    return _copies(_decided(rows, cap, group)).select(
+        F.col("id").alias(id_col), F.col("source").alias(source_col), F.col("size").alias("size"), "source_size",
+        "target", (times * F.col("size")).cast("long").alias("taken"))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
           cap: int = CAP, group: int = GROUP) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as it is taken, columns as
-    they are.  Documents of no words weigh nothing in the mix and are kept once."""
+    they are.  Documents of no words weigh nothing in the mix and are kept once.
+
+    Where only some copies of a class are taken once more, the class is brought to one
+    row and that row repeated: its copies are equal in every column."""
     cols = docs.columns
-    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORDS)), F.lit(0)).cast("long")
-    n, k = free_name(docs, "mix_size"), free_name(docs, "mix_k")
-    copies = (mix_sizes(docs, id_col, source_col, text_col, cap, group)
-              .select(F.col(id_col).alias("mid"), F.col(source_col).alias("msource"), F.col("size").alias("msize"),
-                      F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(F.lit(1)).cast("int")
-                      .alias("copies"))
-              .groupBy("mid", "msource", "msize").agg(F.sort_array(F.collect_list("copies")).alias("copies")))
-    same = Window.partitionBy(F.col(id_col), F.col(source_col), F.col(n)).orderBy(F.lit(1))
-    numbered = docs.withColumn(n, size).withColumn(k, F.row_number().over(same))
-    both = numbered.join(copies, F.col(id_col).eqNullSafe(F.col("mid"))
-                         & F.col(source_col).eqNullSafe(F.col("msource")) & (F.col(n) == F.col("msize")))
-    times = F.get("copies", F.col(k) - 1)
-    return (both.where(times > 0).withColumn(free_name(docs, "mix_copy"), F.explode(F.sequence(F.lit(1), times)))
-            .select(*[F.col(f"`{c}`") for c in cols]))
+    cls, total, copies, row = (free_name(docs, f"mix_{c}") for c in ("cls", "total", "copies", "row"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), _words(text_col).alias("size"),
+                       _class(docs, cols).alias("cls"))
+    once = F.when(F.col("size") > 0, F.col("whole")).otherwise(F.lit(1))
+    decided = stored(_decided(rows, cap, group).groupBy("cls").agg(
+        F.sum(once * F.col("copies") + F.col("extra")).alias(total), F.sum("copies").alias(copies)), "decided")
+    taken = docs.withColumn(cls, _class(docs, cols)).join(decided.withColumnRenamed("cls", cls), cls)
+    even = F.col(total) % F.col(copies) == 0
+    same = (taken.where(even & (F.col(total) > 0))
+            .withColumn(row, F.explode(F.sequence(F.lit(1), (F.col(total) / F.col(copies)).cast("int")))))
+    some = (taken.where(~even).groupBy(cls).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in cols])).alias(row),
+                                                F.first(total).alias("copies")).withColumnRenamed(cls, "cls"))
+    return same.select(*[F.col(f"`{c}`") for c in cols]).unionByName(_copies(some).select(f"{row}.*"))
 
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
