@@ -43,14 +43,20 @@ def fold(id_col: Column, modulus: int, held: int) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % F.lit(modulus) == F.lit(held), F.lit(True))
 
 
+#: Bytes of text that a classifier's sample brings to the driver at most.
+SAMPLE_BYTES = 64 * 1024 * 1024
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, modulus: int, held: int,
                     per_class: int, seed: int = 42) -> list[tuple[str, int]]:
     """(text, label) of at most ``per_class`` labelled training rows of each class.
 
     Rows are taken in the order of a hash of the id, so a rerun takes the same
     ones.  Ids whose labels disagree, null ids and null labels are left out; a
-    null text counts as empty.  The ids (2 x ``per_class`` at most) are the only
-    thing broadcast; the driver receives their texts.
+    null text counts as empty, and an id that occurs twice counts once, with its least
+    text.  The ids (2 x ``per_class`` at most) are the only thing broadcast.  The driver
+    receives one text of each, in the same order as long as they are within
+    ``SAMPLE_BYTES`` together; a text that would exceed it is left out.
     """
     clean = (labels.select(F.col("doc_id").alias("_id"), F.col(label_col).cast("int").alias("_y"))
              .where(F.col("_id").isNotNull() & F.col("_y").isin(0, 1))
@@ -61,11 +67,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, modulus:
     for y in (0, 1):
         part = clean.where(F.col("_y") == y).orderBy("_h", "_id").limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
-    rows = (docs.select(F.col("doc_id").alias("_id"), F.coalesce(F.col("text"), F.lit("")).alias("_text"))
-            .join(F.broadcast(picked), "_id").select("_h", "_id", "_text", "_y").collect())
-    seen, out = set(), []
-    for r in sorted(rows, key=lambda r: (r["_h"], r["_id"], r["_text"])):
-        if r["_id"] not in seen:  # a document id that occurs twice counts once
-            seen.add(r["_id"])
-            out.append((r["_text"], int(r["_y"])))
-    return out
+    texts = (docs.select(F.col("doc_id").alias("_id"), F.coalesce(F.col("text"), F.lit("")).alias("_text"))
+             .join(F.broadcast(picked), "_id").groupBy("_h", "_id", "_y").agg(F.min("_text").alias("_text")))
+    texts = stored(texts.withColumn("_n", F.octet_length("_text")), "sample")
+    room, ids = SAMPLE_BYTES, []
+    for r in sorted(texts.select("_h", "_id", "_n").collect()):
+        if r["_n"] <= room:
+            room -= r["_n"]
+            ids.append(r["_id"])
+    rows = texts.where(F.col("_id").isin(ids)).select("_h", "_id", "_text", "_y").collect() if ids else []
+    return [(r["_text"], int(r["_y"])) for r in sorted(rows, key=lambda r: (r["_h"], r["_id"]))]
