@@ -93,8 +93,9 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     among equal ids the smallest text.  The columns stay as they are."""
     cols = docs.columns
     fp, cls = free_name(docs, "fp"), free_name(docs, "class_fp")
-    marked = docs.withColumn(fp, fingerprint_column(text_col, shingle))
-    found = classes(stored(marked.select(F.col(fp).alias("fp")), "simhash"), radius, agree)
+    # written beside its row: the fingerprint is computed once and read twice
+    marked = stored(docs.withColumn(fp, fingerprint_column(text_col, shingle)), "simhash")
+    found = classes(marked.select(F.col(fp).alias("fp")), radius, agree)
     found = found.select(F.col("fp").alias(fp), F.col("class_fp").alias(cls))
     whole = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(cols)])
     order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(text_col))
