@@ -379,7 +379,9 @@ def repeats_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _find_anchors, "key long, h long, d long, lo long, anchor int, size int"), "anchors")
     # written: the join below can then split the rows of a very frequent anchor
     twice = stored(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "repeated")
-    hits = stored(found.join(twice, "h"), "hits")
+    # the same plan at every size: a side that is broadcast only while it is small would
+    # let the shuffle grow faster than the input
+    hits = stored(found.join(twice.hint("merge"), "h"), "hits")
     per = stored(hits.groupBy("h", "d").agg(F.count(F.lit(1)).alias("n"), F.min("anchor").alias("anchor"),
                                             F.min("size").alias("size"),
                                             F.min(F.struct("key", "lo")).alias("at")), "regions")
