@@ -67,7 +67,7 @@ NAME = r"(?i)(?:^|[^a-z])(?:" + _alternatives(SECRET_NAMES) + ")"
 NAMED = NAME + _BETWEEN
 DIGEST = r"(?i)(?:^|[^a-z])(?:" + _alternatives(DIGEST_NAMES) + ")" + _BETWEEN.replace("=:", "=:#", 1)
 LIST = "(?i)" + _alternatives(sorted(WORDS, key=len, reverse=True))
-VARIED = r"(?s)[0-9]|[a-z].*[A-Z]"
+VARIED = r"(?s)[0-9]|^[^a-z]*+[a-z].*[A-Z]"  # tried from the first small letter only: linear
 _ALPHABET = r"A-Za-z0-9+/_.~@:%\-"
 #: What stands before a run, and the run; the last match takes the rest of the word.
 RUN = r"(?s)(.*?)([" + _ALPHABET + "]{" + str(NAMED_SHORTEST) + r",}+(?:={1,2}(?![=\"'" + _ALPHABET + r"]))?|\z)"
