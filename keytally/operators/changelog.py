@@ -75,13 +75,16 @@ def default_buckets(df: DataFrame, rows: int | None = None) -> int:
     return max(by_parts, by_rows)
 
 
-def order_cuts(df: DataFrame, lead: str, buckets: int | None = None) -> Cuts:
-    """Cuts of ``lead`` that leave about equally many rows of ``df`` between them."""
+def order_cuts(df: DataFrame, lead: str, buckets: int | None = None, rows_per_bucket: int | None = None) -> Cuts:
+    """Cuts of ``lead`` that leave about equally many rows of ``df`` between them: so many
+    ``buckets``, or else about ``rows_per_bucket`` rows in each (but a bucket for every core)."""
     shares = [k / QUANTILES for k in range(1, QUANTILES)]
     row = df.agg(F.percentile_approx(lead, shares, ACCURACY).alias("at"), F.min(lead).alias("lo"),
                  F.max(lead).alias("hi"), F.count(lead).alias("n")).first()
     if row["lo"] is None:
         return Cuts((), 0, 0)
+    if not buckets and rows_per_bucket:
+        buckets = max(df.sparkSession.sparkContext.defaultParallelism, -(-int(row["n"]) // rows_per_bucket))
     wanted = buckets or default_buckets(df, int(row["n"]))
     inner = min(wanted, QUANTILES)
     picked = {int(row["at"][round(k * QUANTILES / inner) - 1]) for k in range(1, inner)}

@@ -67,8 +67,8 @@ def line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cuts = wordcount.line_cuts(topics.text_lines(topics.read_table(spark, sf_dir, "documents")))
-    out = wordcount.running_word_count(_lines(spark, sf_dir), bounds=cuts)
+    # of the plain table: the lines are dealt by bucket anyway
+    out = wordcount.running_word_count(topics.text_lines(topics.read_table(spark, sf_dir, "documents")))
     return out.withColumnRenamed("offset", "doc_id")
 
 

@@ -1,5 +1,6 @@
 """Word splitting (trap T1) and word count."""
 
+import random
 import re
 
 import pytest
@@ -73,6 +74,47 @@ def test_running_word_count_brute_force(spark):
     assert got == sorted(want)
 
 
+def read_log(lines):
+    """The word log of (offset, text) lines: by offset (null first), then position."""
+    toks = [(off, pos, w) for off, t in lines if t is not None for pos, w in enumerate(jdk_split(t))]
+    seen, want = {}, []
+    for off, pos, w in sorted(toks, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        seen[w] = seen.get(w, 0) + 1
+        want.append((off, pos, w, seen[w]))
+    return want
+
+
+def by_place(rows):
+    return sorted(map(tuple, rows), key=lambda r: (r[0] is not None, r[0] or 0, *r[1:]))
+
+
+@pytest.mark.parametrize("group_chars", [1, 40, 1 << 20])
+def test_running_word_count_odd_lines(spark, group_chars):
+    """Lines without a place, lines that share one, and buckets too large for one group."""
+    rnd = random.Random(9)
+    lines = [(rnd.choice([None, *range(30), -5, 10**15]),
+              rnd.choice([None, "", "!!!", " ".join(rnd.choices(["a", "b", "c", "Ünï", "x-y"], k=rnd.randint(1, 9)))]))
+             for _ in range(200)]
+    df = spark.createDataFrame(lines, "offset long, value string")
+    got = wordcount.running_word_count(df, buckets=4, group_chars=group_chars)
+    assert by_place(got.collect()) == by_place(read_log(lines))
+
+
+def test_running_word_count_without_lines(spark):
+    none = spark.createDataFrame([], "offset long, value string")
+    assert wordcount.running_word_count(none).collect() == []
+    nulls = spark.createDataFrame([(1, None), (None, "a a")], "offset long, value string")
+    assert by_place(wordcount.running_word_count(nulls).collect()) == [(None, 0, "a", 1), (None, 1, "a", 2)]
+
+
+def test_running_word_count_shuffles_lines_not_words(spark):
+    lines = [(i, "the cat the") for i in range(50)]
+    df = spark.createDataFrame(lines, "offset long, value string")
+    plan = wordcount.running_word_count(df, buckets=5)._jdf.queryExecution().optimizedPlan().toString()
+    # one window, over the totals; before, a second one sorted every word of every line
+    assert plan.count("Window [") == 1 and "Generate" not in plan
+
+
 def test_word_count_on_documents_plan_is_partial_then_final(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     df = wordcount.word_count(text_lines(docs))
