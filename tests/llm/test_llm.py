@@ -311,6 +311,18 @@ def test_hot_anchors_are_split(spark, hot):
     assert sorted(got) == [(i, *w) for i, w in enumerate(plain_removal(rows))]
 
 
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_texts_are_dealt_alike_with_and_without_hot_anchors(spark, hot):
+    rng = random.Random(13)
+    passage = "".join(rng.choices("abcdefgh ", k=500))
+    rows = [(k, "".join(rng.choices("abcdefgh ", k=300)) + passage) for k in range(20)]
+    df = suffix_dedup.repeats_removed(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # regions were fetched in the last job or, with a hot anchor, in one of their own
+    assert plan.count("FlatMapCoGroupsInPandas") == 1
+    assert {r["n_removed"] for r in df.collect()} <= set(range(500, 520))
+
+
 def test_regions_of_a_hot_anchor_meet_by_their_surroundings():
     rng = random.Random(12)
     passage = rng.randbytes(200)
