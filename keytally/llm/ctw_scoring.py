@@ -40,7 +40,7 @@ from keytally.llm.fingerprints import _hashes
 
 DEPTH = 5
 CHUNK = 8 << 20  # bytes of text in a chunk, about
-BLOCK = 1 << 20  # positions worked on at a time
+BLOCK = 1 << 16  # positions worked on at a time: a code (48 bits) and its place fill a number
 MODULUS, HELD = 7, 2
 GRAM, WORD = 0, 1
 _PAD = b"\n" * DEPTH
@@ -95,15 +95,29 @@ class Chunk:
         """(codes, document numbers) of all text positions, block by block."""
         for r in range(DEPTH, len(self.data), BLOCK):
             stop = min(r + BLOCK, len(self.data))
-            doc = np.searchsorted(self.end, np.arange(r, stop), side="right")
+            first, last = np.searchsorted(self.end, [r, stop - 1], side="right")
+            own = slice(first, last + 1)
+            doc = np.repeat(np.arange(first, last + 1, dtype=np.int32),
+                            np.minimum(self.end[own], stop) - np.maximum(self.start[own], r))
             text = np.arange(r, stop) >= self.start[doc] + DEPTH
             yield window_codes(self.data, r, stop)[text], doc[text]
 
+    def numbered(self):
+        """(distinct codes, each position's place among them, document numbers), block
+        by block: whoever looks a code up does so once a block, not once a position."""
+        for code, doc in self.blocks():
+            both = (code << np.uint64(16)) | np.arange(len(code), dtype=np.uint64)
+            both.sort()
+            in_order = both >> np.uint64(16)
+            new = np.r_[True, in_order[1:] != in_order[:-1]][:len(code)]
+            place = np.empty(len(code), np.int32)
+            place[(both & np.uint64(0xFFFF)).astype(np.int64)] = np.cumsum(new) - 1
+            yield in_order[new], place, doc
+
     def grams(self, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct window codes and their training counts."""
         keys, counts = [], []
-        for code, doc in self.blocks():
-            k, inverse = np.unique(code, return_inverse=True)
+        for k, inverse, doc in self.numbered():
             keys.append(k)
             counts.append(np.bincount(inverse, train[doc], len(k)).astype(np.int64))
         return _added(np.concatenate(keys), np.concatenate(counts))
@@ -114,6 +128,11 @@ class Chunk:
         return _added(every, weight)
 
 
+def _distinct(parts: list[np.ndarray]) -> np.ndarray:
+    keys = np.sort(np.concatenate(parts))
+    return keys[np.r_[True, keys[1:] != keys[:-1]][:len(keys)]]
+
+
 def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order with the sums of their counts."""
     if not len(keys):
@@ -305,16 +324,18 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
         if not len(pdf):
             return pd.DataFrame([], columns=["id", "held", "n_tokens", "n_known", "base", "score", "n_bytes"])
         part, none = Chunk(pdf), np.zeros(len(pdf), dtype=bool)
+        blocks = list(part.numbered())
+        grams = _distinct([k for k, _, _ in blocks])
         looked = {}
-        for k, (keys, _), dtype in ((GRAM, part.grams(none), np.float32), (WORD, part.distinct_words(none), np.float64)):
+        for k, keys, dtype in ((GRAM, grams, np.float32), (WORD, part.distinct_words(none)[0], np.float64)):
             values, b = np.zeros(len(keys)), bucket_of(keys, k, buckets)
             for r in got[got["kind"] == k].itertuples():
                 values[b == r.bucket] = _unpack(r.value, dtype)
             looked[k] = (keys, values)
         score = np.zeros(len(pdf))
         keys, values = looked[GRAM]
-        for code, doc in part.blocks():
-            score += np.bincount(doc, values[np.searchsorted(keys, code)], len(pdf))
+        for own, inverse, doc in blocks:
+            score += np.bincount(doc, values[np.searchsorted(keys, own)][inverse], len(pdf))
         keys, counts = looked[WORD]
         logs = np.log10((counts + 1) / (n_all + n_kinds + 1))
         end = math.log10((ends + 1) / (n_all + n_kinds + 1))

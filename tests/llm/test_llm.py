@@ -411,6 +411,24 @@ def test_scores_are_those_of_the_whole_tree(spark, texts):
         assert r["score"] == pytest.approx(s, rel=1e-4)
 
 
+def test_windows_are_looked_up_once_a_block(monkeypatch):
+    monkeypatch.setattr(ctw_scoring, "BLOCK", 700)
+    rng = random.Random(14)
+    texts = [None, "", *(" ".join(rng.choices(["ab", "abc", "über", "x" * 900], k=rng.randrange(1, 60))) for _ in range(30))]
+    part = ctw_scoring.Chunk(pd.DataFrame({"text": texts}))
+    looked, codes, docs = 0, [], []
+    for keys, place, doc in part.numbered():
+        assert (np.diff(keys.astype(np.int64)) > 0).all()
+        looked += len(keys)
+        codes.append(keys[place])
+        docs.append(doc)
+    codes, docs = np.concatenate(codes), np.concatenate(docs)
+    lines = [b"\n" * ctw_scoring.DEPTH + ctw_scoring.normal(t)[0] for t in texts]
+    want = [int.from_bytes(line[k - 5:k][::-1] + line[k:k + 1], "big") for line in lines for k in range(5, len(line))]
+    assert codes.tolist() == want and looked < len(want) / 2
+    assert docs.tolist() == [i for i, line in enumerate(lines) for _ in range(5, len(line))]
+
+
 def test_scores_odd(odd, empty):
     got = ctw_scoring.lm_scores(odd).collect()
     assert len(got) == len(odd_rows()) and all(math.isfinite(r["score"]) for r in got)
